@@ -14,6 +14,11 @@ from touchline.functions import codes, formulas
 from touchline.operators.events import flag_events, of_known_players
 
 KEYS = ["matchId", "playerId"]
+COUNTERS = [
+    "normalPasses", "keyPasses", "accNormalPasses", "accKeyPasses", "duelsWon", "neutralDuels",
+    "totalDuels", "effectiveFreeKicks", "penaltiesScored", "totalFreeKicks", "targetAndGoal",
+    "targetNotGoal", "totalShots", "shotsOnTarget", "numGoals", "foulLoss", "ownGoals",
+]
 
 
 def _is(event_class: int) -> Column:
@@ -75,8 +80,6 @@ def all_counters() -> dict[str, Column]:
             **discipline_counters()}
 
 
-COUNTERS = list(all_counters())
-
 
 def count_events(events: DataFrame, counters: dict[str, Column], keys: list[str | Column] = KEYS):
     """Grouped counters over typed events; works on batch and streaming frames."""

@@ -164,7 +164,8 @@ class Bridge:
 
     @cached_property
     def match_dates(self) -> DataFrame:
-        return self.sheets.select("matchId", "match_date").distinct()
+        """One row per match: every match has exactly one odd team."""
+        return self.sheets.where(F.col("teamId") % 2 == 1).select("matchId", "match_date")
 
     @cached_property
     def lineup_season(self) -> Season:
@@ -284,11 +285,10 @@ class Bridge:
             F.lit(None).cast("string").alias("label"), "team1", "team2")
 
     def _plain_requests(self, frame: DataFrame, seq: Column, req_type: int, **fields) -> DataFrame:
-        team = self.prediction_requests.schema["team1"].dataType
-        value = {"date": "string", "name": "string", "label": "string", "team1": team, "team2": team}
+        values = {**fields, "req_type": F.lit(req_type)}
         return frame.select(
-            seq.cast("bigint").alias("request_seq"), F.lit(req_type).alias("req_type"),
-            *[fields.get(c, F.lit(None).cast(t)).alias(c) for c, t in value.items()])
+            seq.cast("bigint").alias("request_seq"),
+            *[values.get(c, F.lit(None)).cast(t).alias(c) for c, t in schemas.REQUEST.items()])
 
     @cached_property
     def profile_requests(self) -> DataFrame:

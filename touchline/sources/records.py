@@ -24,7 +24,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """One row per line; a line that is not JSON keeps its text in ``_corrupt_record``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     passthrough = [c for c in lines.columns if c != "value"]
-    record = F.from_json("value", schemas.RECORD, options)
+    record = F.from_json("value", schemas.ddl(schemas.RECORD), options)
     return lines.select(*passthrough, record.alias("r")).select(*passthrough, "r.*")
 
 
@@ -34,7 +34,7 @@ def corrupt_lines(records: DataFrame) -> DataFrame:
 
 def route_events(records: DataFrame) -> DataFrame:
     """Records carrying an ``eventId``, with the tag ids as a plain array."""
-    keep = [c for c in records.columns if c not in schemas.RECORD.names]
+    keep = [c for c in records.columns if c not in schemas.RECORD]
     return records.where(F.col("eventId").isNotNull()).select(
         *keep,
         "matchId",
@@ -47,10 +47,10 @@ def route_events(records: DataFrame) -> DataFrame:
 
 def route_matches(records: DataFrame) -> DataFrame:
     """Records without an ``eventId`` that decode to a match, with the date parsed."""
-    keep = [c for c in records.columns if c not in schemas.RECORD.names]
+    keep = [c for c in records.columns if c not in schemas.RECORD]
     is_match = F.col("eventId").isNull() & F.col("wyId").isNotNull()
     return records.where(is_match).select(
-        *keep, *schemas.MATCH_FIELDS, text.match_date(F.col("date")).alias("match_date")
+        *keep, *schemas.MATCH, text.match_date(F.col("date")).alias("match_date")
     )
 
 
@@ -64,4 +64,18 @@ def event_line(events: DataFrame, *carry: str) -> DataFrame:
 
 def match_line(matches: DataFrame, *carry: str) -> DataFrame:
     """Match records as feed lines."""
-    return matches.select(*carry, F.to_json(F.struct(*schemas.MATCH_FIELDS)).alias("value"))
+    return matches.select(*carry, F.to_json(F.struct(*schemas.MATCH)).alias("value"))
+
+
+def feed_lines(events: DataFrame, matches: DataFrame) -> DataFrame:
+    """Events and match records as one feed: match by match, the record before its events.
+
+    Only events whose match is known are sent. The order is a distributed range sort.
+    """
+    headers = match_line(matches, "wyId", "match_date").select(
+        "match_date", F.col("wyId").alias("matchId"), F.lit(False).alias("is_event"),
+        F.lit(None).cast("bigint").alias("event_id"), "value")
+    dates = matches.select(F.col("wyId").alias("matchId"), "match_date")
+    lines = event_line(events.join(dates, "matchId"), "match_date", "matchId", "event_id").select(
+        "match_date", "matchId", F.lit(True).alias("is_event"), "event_id", "value")
+    return headers.unionByName(lines).orderBy("match_date", "matchId", "is_event", "event_id")

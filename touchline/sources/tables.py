@@ -16,12 +16,12 @@ CAREER_COUNTERS = [
 
 def read_players(spark: SparkSession, path: str) -> DataFrame:
     """Player file with header. Only the attributes are kept; counters come from events."""
-    rows = spark.read.schema(schemas.PLAYER).option("header", True).csv(path)
+    rows = spark.read.schema(schemas.ddl(schemas.PLAYER)).option("header", True).csv(path)
     return rows.select(*schemas.PLAYER_ATTRIBUTES)
 
 
 def read_teams(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.TEAM).option("header", True).csv(path)
+    return spark.read.schema(schemas.ddl(schemas.TEAM)).option("header", True).csv(path)
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
@@ -33,7 +33,7 @@ def number_requests(lines: DataFrame) -> DataFrame:
     """Parse request lines; ``request_seq`` follows the order of the lines."""
     if "request_seq" not in lines.columns:
         lines = lines.withColumn("request_seq", F.monotonically_increasing_id())
-    return lines.select("request_seq", F.from_json("value", schemas.REQUEST).alias("r")).select(
+    return lines.select("request_seq", F.from_json("value", schemas.ddl(schemas.REQUEST)).alias("r")).select(
         "request_seq", "r.*"
     )
 

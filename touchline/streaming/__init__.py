@@ -1 +1,4 @@
-"""Structured Streaming forms of the season operators."""
+"""Structured Streaming forms of the season operators.
+
+Sources and sinks are given by the caller; each query has its own checkpoint folder.
+"""
