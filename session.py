@@ -7,9 +7,9 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: str | None = None, partitions: str = "8") -> SparkSession:
+def local_session(cpus: str | None = None, partitions: str = "8", **more: str) -> SparkSession:
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName("touchline")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
@@ -17,7 +17,9 @@ def local_session(cpus: str | None = None, partitions: str = "8") -> SparkSessio
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.host", "127.0.0.1").config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in more.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -113,37 +113,44 @@ def report_lists(entries: DataFrame) -> DataFrame:
         carded("yellowCards").alias("yellow_cards"), carded("redCards").alias("red_cards"))
 
 
-def match_reports(requests: DataFrame, season: Season) -> DataFrame:
-    """Report per request on (label, date), or the message why there is none."""
-    asked = of_type(requests, MATCH_REPORT).select(
-        "request_seq", F.col("label").alias("asked_label"),
-        F.col("date").try_cast("date").alias("asked_date"))
-    header = first_matches(season.matches.select(
-        "wyId", "status", "label", "match_date", "duration", "winner", "venue", "gameweek"))
-    winners = season.teams.select(F.col("Id").alias("winner"), F.col("name").alias("winner_name"))
-    lists = report_lists(report_entries(season.matches, season.players, season.teams))
-    found = (
-        asked.join(header, (F.col("asked_label") == F.col("label"))
-                   & (F.col("asked_date") == F.col("match_date")), "left")
-        .join(winners, "winner", "left")
-        .join(lists.withColumnRenamed("matchId", "wyId"), "wyId", "left")
-    )
+def reports_by_match(matches: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
+    """The finished report of every given match, with the message if there is nothing to report."""
+    winners = teams.select(F.col("Id").alias("winner"), F.col("name").alias("winner_name"))
+    lists = report_lists(report_entries(matches, players, teams))
+    header = matches.drop("teamsData", "date")
+    found = header.join(winners, "winner", "left").join(
+        lists.withColumnRenamed("matchId", "wyId"), "wyId", "left")
     winner = F.when(F.col("winner") == 0, F.lit("None")).otherwise(F.col("winner_name"))
     msg = (
-        F.when(F.col("wyId").isNull(), F.lit("No Matches found"))
-        .when(F.coalesce(F.col("status") != "Played", F.lit(True)),
-              text.not_played(F.coalesce("status", F.lit("None"))))
+        F.when(F.coalesce(F.col("status") != "Played", F.lit(True)),
+               text.not_played(F.coalesce("status", F.lit("None"))))
         .when(winner.isNull(), F.lit("Invalid Data"))
     )
-    fields = {
-        "date": text.iso_date(F.col("match_date")), "duration": F.col("duration"),
-        "label": F.col("label"), "winner": winner, "venue": F.col("venue"),
-        "gameweek": F.col("gameweek"),
-        **{n: F.coalesce(n, F.array()) for n in REPORT_FIELDS[6:]},
-    }
-    return found.withColumn("msg", msg).select(
-        "request_seq",
-        *[F.when(F.col("msg").isNull(), fields[n]).alias(n) for n in REPORT_FIELDS], "msg")
+    lists_or_empty = [F.coalesce(n, F.array()).alias(n) for n in REPORT_FIELDS[6:]]
+    return found.select(
+        "match_date", text.iso_date(F.col("match_date")).alias("date"), "duration", "label",
+        winner.alias("winner"), "venue", "gameweek", *lists_or_empty, msg.alias("msg"))
+
+
+def match_reports(requests: DataFrame, season: Season) -> DataFrame:
+    """Report per request on (label, date), or the message why there is none.
+
+    Matches nobody asked about are dropped first; a match asked about often is reported once and
+    its report then joined to the requests.
+    """
+    asked = of_type(requests, MATCH_REPORT).select(
+        "request_seq", F.col("label").alias("asked_label"),
+        F.col("date").try_cast("date").alias("asked_date"))
+    wanted = asked.select(F.col("asked_label").alias("label"),
+                          F.col("asked_date").alias("match_date")).distinct()
+    matches = first_matches(season.matches.join(wanted, ["label", "match_date"], "left_semi"))
+    reports = reports_by_match(matches, season.players, season.teams)
+    same = (F.col("asked_label") == F.col("label")) & (F.col("asked_date") == F.col("match_date"))
+    found = asked.join(reports, same, "left")
+    msg = F.when(F.col("label").isNull(), F.lit("No Matches found")).otherwise(F.col("msg"))
+    valid = F.col("label").isNotNull() & F.col("msg").isNull()
+    return found.select(
+        "request_seq", *[F.when(valid, F.col(n)).alias(n) for n in REPORT_FIELDS], msg.alias("msg"))
 
 
 def _answer(fields: DataFrame, req_type: int, body: list) -> DataFrame:

@@ -128,7 +128,8 @@ class Bridge:
     @cached_property
     def _matchdays(self) -> Column:
         """Matchdays on which a known player had an event: one small array."""
-        days = of_known_players(self.events.select("matchday", "playerId"), self.players)
+        seen = self.events.select("matchday", "playerId").distinct()
+        days = of_known_players(seen, self.players)
         return days.agg(F.array_sort(F.collect_set("matchday")).alias("days")).scalar()
 
     @cached_property

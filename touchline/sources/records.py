@@ -21,7 +21,8 @@ def line_stream(spark: SparkSession, source: str = "text", **options: str) -> Da
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """One row per line; a line that is not JSON keeps its text in ``_corrupt_record``."""
+    """One row per line; a field of the wrong type becomes NULL, and a line with such a field or
+    that is no JSON at all keeps its text in ``_corrupt_record``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     passthrough = [c for c in lines.columns if c != "value"]
     record = F.from_json("value", schemas.ddl(schemas.RECORD), options)
@@ -29,7 +30,9 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 
 def corrupt_lines(records: DataFrame) -> DataFrame:
-    return records.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
+    """Lines from which neither an event nor a match could be read."""
+    lost = F.col("eventId").isNull() & F.col("wyId").isNull()
+    return records.where(lost & F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
 
 
 def route_events(records: DataFrame) -> DataFrame:

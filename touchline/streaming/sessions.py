@@ -17,6 +17,9 @@ from touchline.streaming.counters import trigger
 
 def match_sessions(events: DataFrame, gap: str, delay: str) -> DataFrame:
     """Final counters per (match, player), emitted once the player's match has gone quiet."""
+    # Merge sessions before the shuffle, so a player with many events is one row per task.
+    events.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     marked = events.withWatermark("ts", delay)
     keys = [F.session_window("ts", gap).alias("session"), "matchId", "playerId"]
     counts = metrics.count_events(marked, metrics.all_counters(), keys)
