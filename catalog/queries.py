@@ -87,7 +87,7 @@ def match_lines(b: Bridge) -> DataFrame:
 @query
 def events_typed(b: Bridge) -> DataFrame:
     """Event lines decoded, routed, kept for known players and flagged by tag."""
-    typed = records.route_events(records.parse_lines(event_lines(b)))
+    typed = records.read_events(event_lines(b))
     flagged = events.flag_events(events.of_known_players(typed, b.players))
     return flagged.select(*KEYS, "eventId", "subEventId", *events.TAG_FLAGS)
 
@@ -107,12 +107,11 @@ def feed_lines(b: Bridge) -> DataFrame:
 
 @query
 def match_dates(b: Bridge) -> DataFrame:
-    parsed = records.parse_lines(match_lines(b))
-    return records.route_matches(parsed).select("wyId", "status", "match_date")
+    return records.read_matches(match_lines(b)).select("wyId", "status", "match_date")
 
 
 def decoded_sheets(b: Bridge) -> DataFrame:
-    return sheets.team_sheets(records.route_matches(records.parse_lines(match_lines(b))))
+    return sheets.team_sheets(records.read_matches(match_lines(b)))
 
 
 @query
@@ -128,7 +127,7 @@ def substitutions_flat(b: Bridge) -> DataFrame:
 @query
 def append_matches(b: Bridge) -> DataFrame:
     """Every header is sent a second time; each match is stored once."""
-    stored = records.route_matches(records.parse_lines(match_lines(b))).select(*HEADER)
+    stored = records.read_matches(match_lines(b)).select(*HEADER)
     return sinks.append_matches(stored, b.season.matches.select(*HEADER))
 
 

@@ -21,10 +21,10 @@ TAG_FLAGS = {
 
 def flag_events(events: DataFrame) -> DataFrame:
     """One boolean per tag, so that each tag array is searched once per tag and row."""
-    flags = {name: F.coalesce(F.array_contains("tag_ids", tag), F.lit(False))
-             for name, tag in TAG_FLAGS.items()}
-    penalty = F.coalesce(F.col("subEventId") == codes.PENALTY, F.lit(False))
-    return events.withColumns({**flags, "is_penalty": penalty})
+    flags = [f"coalesce(array_contains(tag_ids, {tag}), false) AS {name}"
+             for name, tag in TAG_FLAGS.items()]
+    penalty = f"coalesce(subEventId = {codes.PENALTY}, false) AS is_penalty"
+    return events.selectExpr("*", *flags, penalty)
 
 
 def of_known_players(frame: DataFrame, players: DataFrame) -> DataFrame:

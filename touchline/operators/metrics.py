@@ -21,69 +21,64 @@ COUNTERS = [
 ]
 
 
-def _is(event_class: int) -> Column:
-    return F.col("eventId") == event_class
-
-
-def pass_counters() -> dict[str, Column]:
-    acc, inacc, key = F.col("t_acc"), F.col("t_inacc"), F.col("t_key")
-    on = _is(codes.PASS)
+def pass_counters() -> dict[str, str]:
+    on = f"eventId = {codes.PASS}"
     return {
-        "normalPasses": on & ((acc & ~key) | (~acc & inacc)),
-        "keyPasses": on & key & (acc | ~inacc),
-        "accNormalPasses": on & acc & ~key,
-        "accKeyPasses": on & acc & key,
+        "normalPasses": f"{on} AND (t_acc AND NOT t_key OR NOT t_acc AND t_inacc)",
+        "keyPasses": f"{on} AND t_key AND (t_acc OR NOT t_inacc)",
+        "accNormalPasses": f"{on} AND t_acc AND NOT t_key",
+        "accKeyPasses": f"{on} AND t_acc AND t_key",
     }
 
 
-def duel_counters() -> dict[str, Column]:
-    lost, neutral, won = F.col("t_lost"), F.col("t_neutral"), F.col("t_won")
-    on = _is(codes.DUEL)
+def duel_counters() -> dict[str, str]:
+    on = f"eventId = {codes.DUEL}"
     return {
-        "duelsWon": on & won & ~lost & ~neutral,
-        "neutralDuels": on & neutral & ~lost,
-        "totalDuels": on & (lost | neutral | won),
+        "duelsWon": f"{on} AND t_won AND NOT t_lost AND NOT t_neutral",
+        "neutralDuels": f"{on} AND t_neutral AND NOT t_lost",
+        "totalDuels": f"{on} AND (t_lost OR t_neutral OR t_won)",
     }
 
 
-def freekick_counters() -> dict[str, Column]:
-    on = _is(codes.FREE_KICK)
+def freekick_counters() -> dict[str, str]:
+    on = f"eventId = {codes.FREE_KICK}"
     return {
-        "effectiveFreeKicks": on & F.col("t_acc"),
-        "penaltiesScored": on & F.col("is_penalty") & F.col("t_goal"),
+        "effectiveFreeKicks": f"{on} AND t_acc",
+        "penaltiesScored": f"{on} AND is_penalty AND t_goal",
         "totalFreeKicks": on,
     }
 
 
-def shot_counters() -> dict[str, Column]:
-    acc, goal = F.col("t_acc"), F.col("t_goal")
-    on = _is(codes.SHOT)
+def shot_counters() -> dict[str, str]:
+    on = f"eventId = {codes.SHOT}"
     return {
-        "targetAndGoal": on & acc & goal,
-        "targetNotGoal": on & acc & ~goal,
-        "totalShots": on & (acc | F.col("t_inacc")),
-        "shotsOnTarget": on & acc,
+        "targetAndGoal": f"{on} AND t_acc AND t_goal",
+        "targetNotGoal": f"{on} AND t_acc AND NOT t_goal",
+        "totalShots": f"{on} AND (t_acc OR t_inacc)",
+        "shotsOnTarget": f"{on} AND t_acc",
     }
 
 
-def discipline_counters() -> dict[str, Column]:
+def discipline_counters() -> dict[str, str]:
     """Goals count whether or not the shot was tagged accurate; an own goal on any event."""
     return {
-        "numGoals": _is(codes.SHOT) & F.col("t_goal"),
-        "foulLoss": _is(codes.FOUL),
-        "ownGoals": F.col("t_own_goal"),
+        "numGoals": f"eventId = {codes.SHOT} AND t_goal",
+        "foulLoss": f"eventId = {codes.FOUL}",
+        "ownGoals": "t_own_goal",
     }
 
 
-def all_counters() -> dict[str, Column]:
+def all_counters() -> dict[str, str]:
     return {**pass_counters(), **duel_counters(), **freekick_counters(), **shot_counters(),
             **discipline_counters()}
 
 
+def count_events(events: DataFrame, counters: dict[str, str], keys: list[str | Column] = KEYS):
+    """Grouped counters over typed events; works on batch and streaming frames.
 
-def count_events(events: DataFrame, counters: dict[str, Column], keys: list[str | Column] = KEYS):
-    """Grouped counters over typed events; works on batch and streaming frames."""
-    aggs = [F.count_if(cond).alias(name) for name, cond in counters.items()]
+    ``counters`` maps a name to the condition on the event flags that is counted.
+    """
+    aggs = [F.expr(f"count_if({cond})").alias(name) for name, cond in counters.items()]
     return flag_events(events).groupBy(*keys).agg(*aggs)
 
 

@@ -7,23 +7,25 @@ expressions over it and team strength needs one chemistry lookup per unordered p
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.functions import codes, formulas, text
-from touchline.operators.chemistry import lookup, pair_key
+from touchline.operators.chemistry import lookup
 
 
 def squad_places(requests: DataFrame) -> DataFrame:
     """Prediction requests as one row per named place: (request_seq, team, slot, name)."""
-    def squad(team: int) -> Column:
-        names = F.array(*[F.col(f"team{team}.{s}") for s in schemas.SQUAD_SLOTS])
-        return F.transform(names, lambda n, i: F.struct(
-            F.lit(team).alias("team"), (i + 1).alias("slot"), n.alias("name")))
+    def squad(team: int) -> str:
+        names = ", ".join(f"team{team}.{slot}" for slot in schemas.SQUAD_SLOTS)
+        return (f"transform(array({names}), (n, i) ->"
+                f" struct({team} AS team, i + 1 AS slot, n AS name))")
 
-    return requests.where(F.col("req_type") == 1).select(
-        "request_seq", F.inline(F.concat(squad(1), squad(2))))
+    return requests.where("req_type = 1").selectExpr(
+        "request_seq", f"inline(concat({squad(1)}, {squad(2)}))")
 
 
 def named_places(requests: DataFrame, by_name: DataFrame) -> DataFrame:
@@ -38,8 +40,10 @@ def role_counts(places: DataFrame) -> DataFrame:
         *[F.count_if(F.col("role") == r).alias(r) for r in ("GK", "DF", "MD", "FW")])
 
 
-def valid_squad(gk: Column, df: Column, md: Column, fw: Column) -> Column:
-    return (gk == 1) & (df >= 3) & (md >= 2) & (fw >= 1)
+def valid_squad(count_of_role: Callable[[str], str]) -> str:
+    """Condition for a valid squad, given the text that counts a role."""
+    return (f"{count_of_role('GK')} = 1 AND {count_of_role('DF')} >= 3"
+            f" AND {count_of_role('MD')} >= 2 AND {count_of_role('FW')} >= 1")
 
 
 def squads(places: DataFrame) -> DataFrame:
@@ -48,35 +52,26 @@ def squads(places: DataFrame) -> DataFrame:
     ``profiles`` counts the player rows that match any requested name: a repeated name lowers
     it, a namesake raises it. ``eligible`` requests get a strength.
     """
-    place = F.struct("team", "slot", "name", "namesakes", "Id", "role", "rating")
-    gathered = places.groupBy("request_seq").agg(
-        F.array_sort(F.collect_list(place)).alias("places"))
-
-    def count(team: int, role: str) -> Column:
-        return F.size(F.filter("places", lambda p: (p["team"] == team) & (p["role"] == role)))
+    gathered = places.groupBy("request_seq").agg(F.expr(
+        "array_sort(collect_list(struct(team, slot, name, namesakes, Id, role, rating)))"
+        " AS places"))
 
-    def valid(team: int) -> Column:
-        return valid_squad(*[count(team, r) for r in ("GK", "DF", "MD", "FW")])
+    def valid(team: int) -> str:
+        return valid_squad(
+            lambda role: f"size(filter(places, p -> p.team = {team} AND p.role = '{role}'))")
 
-    named = F.array_distinct(F.transform(
-        F.filter("places", lambda p: p["Id"].isNotNull()),
-        lambda p: F.struct(p["name"].alias("name"), p["namesakes"].alias("n"))))
-    missing = F.filter("places", lambda p: p["Id"].isNull())
     # Places are checked slot by slot, the first team before the second.
-    first_missing = F.get(F.array_sort(F.transform(missing, lambda p: F.struct(
-        p["slot"].alias("slot"), p["team"].alias("team"), p["name"].alias("name")))), F.lit(0))
-    judged = gathered.select(
-        "request_seq", "places",
-        valid(1).alias("valid1"),
-        valid(2).alias("valid2"),
-        F.aggregate(named, F.lit(0).cast("bigint"), lambda s, n: s + n["n"]).alias("profiles"),
-        first_missing["name"].alias("missing"),
-        (F.size(missing) > 0).alias("any_missing"),
-        F.exists("places", lambda p: F.coalesce(
-            p["rating"] < codes.RETIRED_BELOW, F.lit(False))).alias("retired"),
-    )
-    eligible = (F.col("profiles") == 2 * codes.SQUAD_SIZE) & ~F.col("any_missing") & ~F.col("retired")
-    return judged.withColumn("eligible", eligible)
+    judged = gathered.selectExpr(
+        "request_seq", "places", f"{valid(1)} AS valid1", f"{valid(2)} AS valid2",
+        """aggregate(array_distinct(transform(filter(places, p -> p.Id IS NOT NULL),
+             p -> struct(p.name AS name, p.namesakes AS n))), 0L, (s, d) -> s + d.n) AS profiles""",
+        """array_sort(transform(filter(places, p -> p.Id IS NULL),
+             p -> struct(p.slot, p.team, p.name))) AS missing""",
+        f"exists(places, p -> coalesce(p.rating < {codes.RETIRED_BELOW}, false)) AS retired")
+    return judged.selectExpr(
+        "request_seq", "places", "valid1", "valid2", "profiles", "get(missing, 0).name AS missing",
+        "size(missing) > 0 AS any_missing", "retired",
+        f"profiles = {2 * codes.SQUAD_SIZE} AND size(missing) = 0 AND NOT retired AS eligible")
 
 
 def squad_pairs(judged: DataFrame) -> DataFrame:
@@ -84,17 +79,12 @@ def squad_pairs(judged: DataFrame) -> DataFrame:
 
     The number of pairs is fixed by the eleven places of the request format.
     """
-    def pairs_with(p: Column) -> Column:
-        later = F.filter("places", lambda q: (q["team"] == p["team"]) & (q["slot"] > p["slot"]))
-        return F.transform(later, lambda q: F.struct(p.alias("a"), q.alias("b")))
-
-    pairs = F.flatten(F.transform("places", pairs_with))
-    return judged.select("request_seq", F.inline(pairs)).select(
-        "request_seq", F.col("a.team").alias("team"),
-        F.col("a.slot").alias("slot1"), F.col("b.slot").alias("slot2"),
-        F.col("a.rating").alias("rating1"), F.col("b.rating").alias("rating2"),
-        *pair_key(F.col("a.Id"), F.col("b.Id")),
-    )
+    pairs = """inline(flatten(transform(places, p -> transform(
+        filter(places, q -> q.team = p.team AND q.slot > p.slot), q -> struct(p AS a, q AS b)))))"""
+    return judged.selectExpr("request_seq", pairs).selectExpr(
+        "request_seq", "a.team AS team", "a.slot AS slot1", "b.slot AS slot2",
+        "a.rating AS rating1", "b.rating AS rating2",
+        "least(a.Id, b.Id) AS player1", "greatest(a.Id, b.Id) AS player2")
 
 
 def player_strengths(judged: DataFrame, chemistry: DataFrame) -> DataFrame:

@@ -31,9 +31,8 @@ class Season:
     @classmethod
     def from_lines(cls, lines: DataFrame, players: DataFrame, teams: DataFrame) -> Season:
         """Season from the raw feed; a header that was sent again counts once."""
-        parsed = records.parse_lines(lines)
-        matches = records.route_matches(parsed).dropDuplicates(["wyId"])
-        return cls(players, teams, matches, records.route_events(parsed))
+        matches = records.read_matches(lines).dropDuplicates(["wyId"])
+        return cls(players, teams, matches, records.read_events(lines))
 
     @cached_property
     def sheets(self) -> DataFrame:

@@ -22,48 +22,43 @@ SQUAD = 14
 MATCHDAY_DAYS = 6
 FIRST_DAY = "2024-01-01"
 
-# Event classes by stream event type.
-CLASSES = {"view": codes.PASS, "click": codes.DUEL, "signup": codes.FREE_KICK,
-           "purchase": codes.SHOT}
-
 EVENT_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,"
                 " value DOUBLE, props STRING")
 
+# Event class by stream event type; any other type is a foul.
+CLASS = f"""CASE event_type WHEN 'view' THEN {codes.PASS} WHEN 'click' THEN {codes.DUEL}
+  WHEN 'signup' THEN {codes.FREE_KICK} WHEN 'purchase' THEN {codes.SHOT} ELSE {codes.FOUL} END"""
+
+# When an event carries a tag.
+TAGS = {
+    codes.DUEL_LOST: "event_type = 'click' AND k % 10 < 3",
+    codes.DUEL_NEUTRAL: "event_type = 'click' AND k % 10 BETWEEN 3 AND 5",
+    codes.DUEL_WON: "event_type = 'click' AND k % 10 BETWEEN 6 AND 8",
+    codes.ACCURATE: "event_type = 'view' AND k % 10 < 7"
+                    " OR event_type IN ('signup', 'purchase') AND k % 2 = 0",
+    codes.INACCURATE: "event_type = 'view' AND k % 10 IN (7, 8)"
+                      " OR event_type IN ('signup', 'purchase') AND k % 2 = 1",
+    codes.KEY_PASS: "event_type = 'view' AND k % 4 = 0",
+    codes.GOAL: "event_type = 'signup' AND k % 10 = 0 OR event_type = 'purchase' AND k % 6 = 0",
+    codes.OWN_GOAL: "k = 24",
+}
+
 
 def typed_events(raw: DataFrame) -> DataFrame:
     """Stream events as match events; works on batch and streaming frames."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
-    player = 2 * F.col("user_id") + F.col("event_id") % 2
-    team = F.floor(player / SQUAD) + 1
-    days = F.datediff(F.to_date("ts"), F.lit(FIRST_DAY).cast("date"))
-    matchday = F.floor(days / MATCHDAY_DAYS).cast("int")
-
-    def is_kind(name: str, cond: Column) -> Column:
-        return (kind == name) & cond
-
-    tags = {
-        codes.DUEL_LOST: is_kind("click", k % 10 < 3),
-        codes.DUEL_NEUTRAL: is_kind("click", (k % 10).between(3, 5)),
-        codes.DUEL_WON: is_kind("click", (k % 10).between(6, 8)),
-        codes.ACCURATE: is_kind("view", k % 10 < 7)
-        | (kind.isin("signup", "purchase") & (k % 2 == 0)),
-        codes.INACCURATE: is_kind("view", (k % 10).isin(7, 8))
-        | (kind.isin("signup", "purchase") & (k % 2 == 1)),
-        codes.KEY_PASS: is_kind("view", k % 4 == 0),
-        codes.GOAL: is_kind("signup", k % 10 == 0) | is_kind("purchase", k % 6 == 0),
-        codes.OWN_GOAL: k == 24,
-    }
-    classes = F.coalesce(*[F.when(kind == n, F.lit(c)) for n, c in CLASSES.items()],
-                         F.lit(codes.FOUL))
-    return raw.select(
-        "event_id", "ts", player.alias("playerId"), team.alias("teamId"), matchday.alias("matchday"),
-        (matchday * F.lit(100000).cast("bigint") + F.floor((team - 1) / 2)).alias("matchId"),
-        classes.alias("eventId"),
-        F.when(is_kind("signup", k % 5 == 0), F.lit(codes.PENALTY)).otherwise(F.lit(0))
-        .alias("subEventId"),
-        F.array_compact(F.array(*[F.when(c, F.lit(t)) for t, c in tags.items()])).alias("tag_ids"),
-    )
+    tags = ", ".join(f"IF({cond}, {tag}, NULL)" for tag, cond in TAGS.items())
+    # ``k`` gets a projection of its own, so that the JSON is read once per event.
+    keyed = raw.selectExpr(
+        "event_id", "ts", "event_type", "2 * user_id + event_id % 2 AS playerId",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        f"CAST(floor(datediff(CAST(ts AS DATE), DATE'{FIRST_DAY}') / {MATCHDAY_DAYS}) AS INT)"
+        " AS matchday")
+    return keyed.selectExpr(
+        "event_id", "ts", "playerId", f"playerId DIV {SQUAD} + 1 AS teamId", "matchday",
+        f"matchday * 100000L + playerId DIV {2 * SQUAD} AS matchId",
+        f"{CLASS} AS eventId",
+        f"IF(event_type = 'signup' AND k % 5 = 0, {codes.PENALTY}, 0) AS subEventId",
+        f"array_compact(array({tags})) AS tag_ids")
 
 
 class Bridge:
@@ -100,20 +95,16 @@ class Bridge:
 
     @cached_property
     def players(self) -> DataFrame:
-        key = F.col("c_custkey")
-        slot = (key % SQUAD).cast("int")
-        customers = self.table("customer").where(key < self._team_count * SQUAD)
-        role = (F.when(slot == 0, "GK").when(slot.isin(1, 2, 3, 4, 12), "DF")
-                .when(slot.isin(5, 6, 7, 8, 13), "MD").otherwise("FW"))
-        return customers.select(
-            key.alias("Id"), F.col("c_name").alias("name"),
-            (F.floor(key / SQUAD) + 1).alias("teamId"), slot.alias("slot"), role.alias("role"),
-            (165 + key % 31).cast("int").alias("height"),
-            (60 + key % 37).cast("int").alias("weight"),
-            *[F.lit(None).cast(t).alias(c) for c, t in
-              (("birthArea", "string"), ("birthDate", "timestamp"), ("foot", "string"),
-               ("passportArea", "string"))],
-        )
+        customers = self.table("customer").where(F.col("c_custkey") < self._team_count * SQUAD)
+        slot = f"CAST(c_custkey % {SQUAD} AS INT)"
+        return customers.selectExpr(
+            "c_custkey AS Id", "c_name AS name", f"c_custkey DIV {SQUAD} + 1 AS teamId",
+            f"{slot} AS slot",
+            f"CASE WHEN {slot} = 0 THEN 'GK' WHEN {slot} IN (1, 2, 3, 4, 12) THEN 'DF'"
+            f" WHEN {slot} IN (5, 6, 7, 8, 13) THEN 'MD' ELSE 'FW' END AS role",
+            "CAST(165 + c_custkey % 31 AS INT) AS height", "CAST(60 + c_custkey % 37 AS INT) AS weight",
+            "CAST(NULL AS STRING) AS birthArea", "CAST(NULL AS TIMESTAMP) AS birthDate",
+            "CAST(NULL AS STRING) AS foot", "CAST(NULL AS STRING) AS passportArea")
 
     @cached_property
     def events(self) -> DataFrame:
@@ -135,33 +126,27 @@ class Bridge:
     @cached_property
     def sheets(self) -> DataFrame:
         """Line-ups and substitutions of every team on every matchday, without scores."""
-        member = F.struct("slot", F.col("Id").alias("playerId"))
         squads = self.players.groupBy("teamId").agg(
-            F.array_sort(F.collect_list(member)).alias("squad"))
+            F.expr("array_sort(collect_list(struct(slot, Id AS playerId))) AS squad"))
         days = squads.select("teamId", "squad", F.explode(self._matchdays).alias("matchday"))
 
-        def part(cond) -> Column:
-            return F.transform(F.filter("squad", lambda s: cond(s["slot"])),
-                               lambda s: F.struct(s["playerId"].alias("playerId")))
-
-        def at(slot: int) -> Column:
-            return F.get(F.filter("squad", lambda s: s["slot"] == slot), F.lit(0))["playerId"]
-
-        def swap(on: int, off: int, minute: int) -> Column:
-            return F.struct(at(on).alias("playerIn"), at(off).alias("playerOut"),
-                            (F.col("matchday") + minute).alias("minute"))
-
-        swaps = F.filter(F.array(swap(11, 10, 60), swap(12, 11, 75)),
-                         lambda s: s["playerIn"].isNotNull() & s["playerOut"].isNotNull())
-        return days.select(
-            (F.col("matchday") * F.lit(100000).cast("bigint")
-             + F.floor((F.col("teamId") - 1) / 2)).alias("matchId"),
-            F.date_add(F.lit(FIRST_DAY).cast("date"), F.col("matchday") * MATCHDAY_DAYS)
-            .alias("match_date"),
-            F.lit(True).alias("both_formed"), "teamId", "matchday",
-            F.struct(part(lambda s: s > 10).alias("bench"), part(lambda s: s <= 10).alias("lineup"),
-                     swaps.alias("substitutions")).alias("formation"),
-        )
+        def part(cond: str) -> str:
+            return f"transform(filter(squad, s -> {cond}), s -> struct(s.playerId AS playerId))"
+
+        def at(slot: int) -> str:
+            return f"get(filter(squad, s -> s.slot = {slot}), 0).playerId"
+
+        def swap(on: int, off: int, minute: int) -> str:
+            return (f"struct({at(on)} AS playerIn, {at(off)} AS playerOut,"
+                    f" matchday + {minute} AS minute)")
+
+        return days.selectExpr(
+            "matchday * 100000L + (teamId - 1) DIV 2 AS matchId",
+            f"date_add(DATE'{FIRST_DAY}', matchday * {MATCHDAY_DAYS}) AS match_date",
+            "true AS both_formed", "teamId", "matchday",
+            f"struct({part('s.slot > 10')} AS bench, {part('s.slot <= 10')} AS lineup,"
+            f" filter(array({swap(11, 10, 60)}, {swap(12, 11, 75)}),"
+            " s -> s.playerIn IS NOT NULL AND s.playerOut IS NOT NULL) AS substitutions) AS formation")
 
     @cached_property
     def match_dates(self) -> DataFrame:
@@ -176,77 +161,54 @@ class Bridge:
     @cached_property
     def match_records(self) -> DataFrame:
         """Whole match records: header, both formations, goals and cards noted on the sheets."""
-        def entries(section: str) -> Column:
-            return F.transform(f"formation.{section}", lambda e, i: F.struct(
-                F.lit(section).alias("section"), i.alias("place"), e["playerId"].alias("playerId")))
-
-        rows = self.sheets.select(
-            "matchId", "matchday", "teamId", "formation.substitutions",
-            F.inline(F.concat(entries("bench"), entries("lineup"))))
-        noted = rows.join(
-            self.lineup_season.metrics.select(
-                "matchId", "playerId", "numGoals", "ownGoals", "foulLoss"),
-            ["matchId", "playerId"], "left").fillna(0, ["numGoals", "ownGoals", "foulLoss"])
-
-        def card(fouls: int) -> Column:
-            return F.when(F.col("foulLoss") >= fouls, "1").otherwise("0")
-
-        entry = F.struct(
-            "teamId", "section", "place", "playerId",
-            F.col("numGoals").cast("string").alias("goals"),
-            F.col("ownGoals").cast("string").alias("ownGoals"),
-            card(3).alias("yellowCards"), card(5).alias("redCards"))
-        odd = F.col("teamId") % 2 == 1
-        games = noted.groupBy("matchId").agg(
-            F.min("matchday").alias("matchday"),
-            F.min("teamId").alias("home"), F.max("teamId").alias("away"),
-            F.sum(F.when(odd, F.col("numGoals")).otherwise(F.col("ownGoals"))).alias("h"),
-            F.sum(F.when(odd, F.col("ownGoals")).otherwise(F.col("numGoals"))).alias("a"),
-            F.array_sort(F.collect_list(entry)).alias("entries"),
-            F.max(F.when(odd, F.col("substitutions"))).alias("swaps1"),
-            F.max(F.when(~odd, F.col("substitutions"))).alias("swaps2"),
-        )
-
-        def section(team: Column, name: str) -> Column:
-            mine = F.filter("entries", lambda e: (e["teamId"] == team) & (e["section"] == name))
-            return F.transform(mine, lambda e: F.struct(*[
-                e[c].alias(c) for c in
-                ("playerId", "goals", "ownGoals", "yellowCards", "redCards")]))
-
-        def team(team_id: Column, swaps: str) -> Column:
-            formation = F.struct(section(team_id, "bench").alias("bench"),
-                                 section(team_id, "lineup").alias("lineup"),
-                                 F.col(swaps).alias("substitutions"))
-            return F.struct(team_id.alias("teamId"), F.lit(1).alias("hasFormation"),
-                            formation.alias("formation"))
+        def entries(section: str) -> str:
+            return (f"transform(formation.{section}, (e, i) ->"
+                    f" struct('{section}' AS section, i AS place, e.playerId AS playerId))")
+
+        rows = self.sheets.selectExpr(
+            "matchId", "matchday", "teamId", "formation.substitutions AS swaps",
+            f"inline(concat({entries('bench')}, {entries('lineup')}))")
+        stats = self.lineup_season.metrics.select(
+            "matchId", "playerId", "numGoals", "ownGoals", "foulLoss")
+        noted = rows.join(stats, ["matchId", "playerId"], "left").selectExpr(
+            "matchId", "matchday", "teamId", "teamId % 2 = 1 AS odd", "swaps",
+            "coalesce(numGoals, 0L) AS goals", "coalesce(ownGoals, 0L) AS own",
+            """struct(teamId, section, place, playerId, string(coalesce(numGoals, 0L)) AS goals,
+              string(coalesce(ownGoals, 0L)) AS ownGoals, IF(foulLoss >= 3, '1', '0') AS yellowCards,
+              IF(foulLoss >= 5, '1', '0') AS redCards) AS entry""")
+        games = noted.groupBy("matchId").agg(*map(F.expr, (
+            "min(matchday) AS matchday", "min(teamId) AS home", "max(teamId) AS away",
+            "sum(IF(odd, goals, own)) AS h", "sum(IF(odd, own, goals)) AS a",
+            "array_sort(collect_list(entry)) AS entries",
+            "max(IF(odd, swaps, NULL)) AS home_swaps", "max(IF(odd, NULL, swaps)) AS away_swaps")))
+
+        def section(side: str, name: str) -> str:
+            return (f"transform(filter(entries, e -> e.teamId = {side} AND e.section = '{name}'),"
+                    " e -> struct(e.playerId, e.goals, e.ownGoals, e.yellowCards, e.redCards))")
+
+        def team(side: str) -> str:
+            return (f"string({side}), struct({side} AS teamId, 1 AS hasFormation,"
+                    f" struct({section(side, 'bench')} AS bench, {section(side, 'lineup')} AS lineup,"
+                    f" {side}_swaps AS substitutions) AS formation)")
 
         def named(side: str) -> DataFrame:
-            return self.teams.select(F.col("Id").alias(side), F.col("name").alias(f"{side}_name"))
-
-        home, away = F.col("home"), F.col("away")
-        day = F.date_add(F.lit(FIRST_DAY).cast("date"), F.col("matchday") * MATCHDAY_DAYS)
-        date = F.concat(F.date_format(day, "MMMM d, yyyy"), F.lit(" at 3:00:00 PM GMT"))
-        label = F.concat(F.col("home_name"), F.lit(" - "), F.col("away_name"), F.lit(", "),
-                         F.col("h").cast("string"), F.lit(" - "), F.col("a").cast("string"))
-        winner = F.when(F.col("h") > F.col("a"), home).when(F.col("a") > F.col("h"), away)
-        played = games.join(named("home"), "home").join(named("away"), "away").select(
-            F.col("matchId").alias("wyId"), F.lit("Played").alias("status"), date.alias("date"),
-            label.alias("label"), F.lit("Regular").alias("duration"),
-            F.coalesce(winner, F.lit(0).cast("bigint")).alias("winner"),
-            F.concat(F.lit("Ground "), home.cast("string")).alias("venue"),
-            (F.col("matchday") + 1).alias("gameweek"),
-            F.create_map(home.cast("string"), team(home, "swaps1"),
-                         away.cast("string"), team(away, "swaps2"))
-            .cast(f"MAP<STRING, {schemas.TEAM_DATA}>").alias("teamsData"),
-        )
+            return self.teams.selectExpr(f"Id AS {side}", f"name AS {side}_name")
+
+        day = f"date_add(DATE'{FIRST_DAY}', matchday * {MATCHDAY_DAYS})"
+        played = games.join(named("home"), "home").join(named("away"), "away").selectExpr(
+            "matchId AS wyId", "'Played' AS status",
+            f"date_format({day}, 'MMMM d, yyyy') || ' at 3:00:00 PM GMT' AS date",
+            "home_name || ' - ' || away_name || ', ' || h || ' - ' || a AS label",
+            "'Regular' AS duration",
+            "CASE WHEN h > a THEN home WHEN a > h THEN away ELSE 0L END AS winner",
+            "'Ground ' || home AS venue", "matchday + 1 AS gameweek",
+            f"CAST(map({team('home')}, {team('away')}) AS {schemas.MATCH['teamsData']}) AS teamsData")
         # One match that was never played, so that its status is always among the answers.
-        suspended = self.spark.range(1).select(
-            F.lit(99900000).cast("bigint").alias("wyId"), F.lit("Suspended").alias("status"),
-            F.lit("January 31, 2024 at 3:00:00 PM GMT").alias("date"),
-            F.lit("Suspended fixture, 0 - 0").alias("label"), F.lit("Regular").alias("duration"),
-            F.lit(0).cast("bigint").alias("winner"), F.lit("Ground 0").alias("venue"),
-            F.lit(6).alias("gameweek"),
-            F.create_map().cast(f"MAP<STRING, {schemas.TEAM_DATA}>").alias("teamsData"))
+        suspended = self.spark.range(1).selectExpr(
+            "99900000L AS wyId", "'Suspended' AS status",
+            "'January 31, 2024 at 3:00:00 PM GMT' AS date", "'Suspended fixture, 0 - 0' AS label",
+            "'Regular' AS duration", "0L AS winner", "'Ground 0' AS venue", "6 AS gameweek",
+            f"CAST(map() AS {schemas.MATCH['teamsData']}) AS teamsData")
         return played.unionByName(suspended).withColumn(
             "match_date", text.match_date(F.col("date")))
 
@@ -260,30 +222,25 @@ class Bridge:
     def prediction_requests(self) -> DataFrame:
         """Five prediction requests per pair of teams: the starters; a squad with a player who
         never played; a repeated name; an unknown name; no keeper."""
-        slots = F.array_sort(F.collect_list(F.struct("slot", "name")))
-        squads = self.players.groupBy("teamId").agg(
-            F.transform(slots, lambda s: s["name"]).alias("names"))
-        odd = F.col("teamId") % 2 == 1
-        pairs = squads.groupBy(F.floor((F.col("teamId") - 1) / 2).alias("m")).agg(
-            F.max(F.when(odd, F.col("names"))).alias("names1"),
-            F.max(F.when(~odd, F.col("names"))).alias("names2"))
-
-        def squad(team: int, swaps: dict[int, Column]) -> Column:
-            names = F.col(f"names{team}")
-            places = [swaps.get(i, F.get(names, F.lit(i))) for i in range(codes.SQUAD_SIZE)]
-            title = F.concat(F.lit(f"Side {team} of "), F.col("m").cast("string"))
-            return F.struct(title.alias("name"),
-                            *[p.alias(s) for p, s in zip(places, schemas.SQUAD_SLOTS)])
-
-        name = lambda i: F.get(F.col("names1"), F.lit(i))
-        kinds = [{}, {8: name(13)}, {1: name(0)}, {3: F.lit("No Such Player")}, {0: name(12)}]
-        variants = F.array(*[
-            F.struct(F.lit(i).alias("kind"), squad(1, swaps).alias("team1"),
-                     squad(2, {}).alias("team2")) for i, swaps in enumerate(kinds)])
-        return pairs.select("m", F.inline(variants)).select(
-            (F.col("m") * 10 + F.col("kind")).alias("request_seq"), F.lit(1).alias("req_type"),
-            F.lit("2024-02-01").alias("date"), F.lit(None).cast("string").alias("name"),
-            F.lit(None).cast("string").alias("label"), "team1", "team2")
+        squads = self.players.groupBy("teamId").agg(F.expr(
+            "transform(array_sort(collect_list(struct(slot, name))), s -> s.name) AS names"))
+        pairs = squads.groupBy(F.expr("(teamId - 1) DIV 2 AS m")).agg(
+            F.expr("max(IF(teamId % 2 = 1, names, NULL)) AS names1"),
+            F.expr("max(IF(teamId % 2 = 0, names, NULL)) AS names2"))
+
+        def squad(team: int, swaps: dict[int, str]) -> str:
+            places = [f"{swaps.get(i, f'get(names{team}, {i})')} AS {slot}"
+                      for i, slot in enumerate(schemas.SQUAD_SLOTS)]
+            return f"struct('Side {team} of ' || m AS name, {', '.join(places)})"
+
+        kinds = [{}, {8: "get(names1, 13)"}, {1: "get(names1, 0)"}, {3: "'No Such Player'"},
+                 {0: "get(names1, 12)"}]
+        variants = ", ".join(
+            f"struct({i} AS kind, {squad(1, swaps)} AS team1, {squad(2, {})} AS team2)"
+            for i, swaps in enumerate(kinds))
+        return pairs.selectExpr("m", f"inline(array({variants}))").selectExpr(
+            "m * 10 + kind AS request_seq", "1 AS req_type", "'2024-02-01' AS date",
+            "CAST(NULL AS STRING) AS name", "CAST(NULL AS STRING) AS label", "team1", "team2")
 
     def _plain_requests(self, frame: DataFrame, seq: Column, req_type: int, **fields) -> DataFrame:
         values = {**fields, "req_type": F.lit(req_type)}

@@ -20,13 +20,33 @@ def line_stream(spark: SparkSession, source: str = "text", **options: str) -> Da
     )
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame, fields: dict[str, str] = schemas.RECORD) -> DataFrame:
     """One row per line; a field of the wrong type becomes NULL, and a line with such a field or
-    that is no JSON at all keeps its text in ``_corrupt_record``."""
+    that is no JSON at all keeps its text in ``_corrupt_record``.
+
+    The record is unpacked by a generator: later filters then stay above it, where a projection
+    would let every one of them parse the line again.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     passthrough = [c for c in lines.columns if c != "value"]
-    record = F.from_json("value", schemas.ddl(schemas.RECORD), options)
-    return lines.select(*passthrough, record.alias("r")).select(*passthrough, "r.*")
+    record = F.from_json("value", schemas.ddl(fields), options)
+    return lines.select(*passthrough, F.inline(F.array(record)))
+
+
+def read_events(lines: DataFrame) -> DataFrame:
+    """Typed events of the feed."""
+    return route_events(parse_lines(lines, schemas.EVENT))
+
+
+def read_matches(lines: DataFrame) -> DataFrame:
+    """Match records of the feed.
+
+    Matches are a tiny part of the lines, so lines that cannot be one are passed over without
+    parsing. A key may be spelled with an escape, so lines with one are always parsed.
+    """
+    value = F.col("value")
+    likely = value.contains('"wyId"') | value.contains("\\u")
+    return route_matches(parse_lines(lines.where(likely), {**schemas.MATCH, "eventId": "INT"}))
 
 
 def corrupt_lines(records: DataFrame) -> DataFrame:

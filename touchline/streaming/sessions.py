@@ -33,8 +33,7 @@ def match_intake(lines: DataFrame, delay: str = "1 day") -> DataFrame:
 
     ``lines`` carries ``value`` and the timestamp ``ts`` it arrived at.
     """
-    matches = records.route_matches(records.parse_lines(lines))
-    return matches.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["wyId"])
+    return records.read_matches(lines).withWatermark("ts", delay).dropDuplicatesWithinWatermark(["wyId"])
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
