@@ -283,7 +283,7 @@ def chemistry_as_of(b: Bridge) -> DataFrame:
 
 def stored_season(b: Bridge, *more: str) -> Season:
     """Season whose shared stages are tables: several parts of an answer read them."""
-    return b.lineup_season.with_stored("metrics", "history", *more)
+    return b.lineup_season.with_stored("counts", "history", *more)
 
 
 def named_requests(b: Bridge, season: Season) -> DataFrame:
@@ -404,7 +404,7 @@ def match_cards(b: Bridge) -> DataFrame:
 @query
 def request_dispatch(b: Bridge) -> DataFrame:
     """Requests of all types as JSON lines in, answers as JSON lines out, read back field by field."""
-    season = stored_matches(b).with_stored("metrics", "history")
+    season = stored_matches(b).with_stored("counts", "history")
     fields = [c for c in b.requests.columns if c != "request_seq"]
     lines = without_rookies(b).select("request_seq", F.to_json(F.struct(*fields)).alias("value"))
     stored = sinks.materialise(lines, "requests")

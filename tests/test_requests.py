@@ -32,7 +32,7 @@ def cup(spark):
                      fx.event(ids[name], 3, tags, match=m), fx.event(ids[name], 10, tags, match=m)]
     season = Season.from_lines(fx.lines(spark, feed), fx.players(spark, people),
                                fx.teams(spark, [(10, "Home FC"), (20, "Away FC")]))
-    return season.with_stored("metrics", "history", "profiles")
+    return season.with_stored("counts", "history", "profiles")
 
 
 def ask(spark, season, requests, smoothing=False):

@@ -107,7 +107,12 @@ def match_metrics(events: DataFrame, players: DataFrame) -> DataFrame:
     Unknown players are dropped after the aggregation: by then their rows are few, and the
     semi join never has to move raw events.
     """
-    return with_ratios(of_known_players(count_events(events, all_counters()), players))
+    return of_known_players(all_metrics(events), players)
+
+
+def all_metrics(events: DataFrame) -> DataFrame:
+    """The same for whoever the events name."""
+    return with_ratios(count_events(events, all_counters()))
 
 
 def metric_rows(appearances: DataFrame, metrics: DataFrame) -> DataFrame:

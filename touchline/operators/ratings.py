@@ -20,6 +20,7 @@ from touchline.operators.ordered import BlockOf, calendar_year
 STATE = "STRUCT<rating: DOUBLE, numMatches: BIGINT, fouls: BIGINT, ownGoals: BIGINT>"
 GAME = ["match_date", "matchId", "teamId", "played", "in_chemistry", "contribution",
         "foulLoss", "ownGoals"]
+RATIOS = ["passAccuracy", "duelEffectiveness", "freeKick", "shotsEffectiveness"]
 HISTORY = (
     "ARRAY<STRUCT<match_date: DATE, matchId: BIGINT, teamId: BIGINT, in_chemistry: BOOLEAN,"
     " contribution: DOUBLE, performance: DOUBLE, previous_rating: DOUBLE, rating: DOUBLE,"
@@ -31,25 +32,20 @@ def career_rows(appearances: DataFrame, metrics: DataFrame, match_dates: DataFra
     """One row per player and match: the team-sheet place and what was counted.
 
     A player with events but no place on the sheet is kept (not played), because fouls and
-    own goals of the career count wherever they happened.
+    own goals of the career count wherever they happened. The metrics come in as they leave
+    their aggregation, so this join needs no further shuffle of them. Players that are not in
+    the player table do no harm here: nobody asks for their rating.
     """
+    mean = formulas.contribution(*(F.col(r) for r in RATIOS))
+    counted = metrics.select("matchId", "playerId", "foulLoss", "ownGoals", mean.alias("mean"))
+    rows = appearances.join(counted, ["matchId", "playerId"], "full")
     dates = match_dates.select("matchId", F.col("match_date").alias("header_date"))
-    counted = metrics.join(dates, "matchId").select(
-        "matchId", "playerId", "header_date", "foulLoss", "ownGoals",
-        "passAccuracy", "duelEffectiveness", "freeKick", "shotsEffectiveness")
-    mean = formulas.contribution(
-        F.col("passAccuracy"), F.col("duelEffectiveness"),
-        F.col("freeKick"), F.col("shotsEffectiveness"))
-    zero, no = F.lit(0).cast("bigint"), F.lit(False)
-    return appearances.join(counted, ["matchId", "playerId"], "full").select(
-        "playerId", "matchId", "teamId",
-        F.coalesce("match_date", "header_date").alias("match_date"),
-        F.coalesce("played", no).alias("played"),
-        F.coalesce("in_chemistry", no).alias("in_chemistry"),
-        F.coalesce(F.col("time_weight") * mean, F.lit(0.0)).alias("contribution"),
-        F.coalesce("foulLoss", zero).alias("foulLoss"),
-        F.coalesce("ownGoals", zero).alias("ownGoals"),
-    )
+    dated = rows.join(dates, "matchId", "left").selectExpr(
+        "playerId", "matchId", "teamId", "coalesce(match_date, header_date) AS match_date",
+        "coalesce(played, false) AS played", "coalesce(in_chemistry, false) AS in_chemistry",
+        "coalesce(time_weight * coalesce(mean, 0.0D), 0.0D) AS contribution",
+        "coalesce(foulLoss, 0L) AS foulLoss", "coalesce(ownGoals, 0L) AS ownGoals")
+    return dated.where("match_date IS NOT NULL AND playerId IS NOT NULL")
 
 
 def _after(state: Column, game: Column) -> dict[str, Column]:
@@ -103,7 +99,11 @@ def _block_starts(blocks: DataFrame) -> DataFrame:
 
 def rating_history(rows: DataFrame, block_of: BlockOf = calendar_year) -> DataFrame:
     """Performance, previous and new rating for every match a player played."""
-    blocks = rows.groupBy("playerId", block_of(F.col("match_date")).alias("block")).agg(
+    # The block is computed before the grouping and known to be there, so that both uses of the
+    # blocks below are the same plan and share one shuffle.
+    dated = rows.withColumn("block", block_of(F.col("match_date"))).where(
+        "playerId IS NOT NULL AND block IS NOT NULL")
+    blocks = dated.groupBy("playerId", "block").agg(
         F.array_sort(F.collect_list(F.struct(*GAME))).alias("games"))
 
     def replay(acc: Column, game: Column) -> Column:

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from touchline.operators import chemistry, metrics, profiles, ratings, sheets
+from touchline.operators.events import of_known_players
 from touchline.sources import records
 from touchline.sources.sinks import materialise
 
@@ -42,14 +43,19 @@ class Season:
     def appearances(self) -> DataFrame:
         return sheets.appearances(self.sheets)
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Metrics of everyone the events name; the one stage that reads the events."""
+        return metrics.all_metrics(self.events)
+
     @cached_property
     def metrics(self) -> DataFrame:
-        return metrics.match_metrics(self.events, self.players)
+        return of_known_players(self.counts, self.players)
 
     @cached_property
     def career_rows(self) -> DataFrame:
         dates = self.match_dates if self.match_dates is not None else sheets.match_dates(self.matches)
-        return ratings.career_rows(self.appearances, self.metrics, dates)
+        return ratings.career_rows(self.appearances, self.counts, dates)
 
     @cached_property
     def history(self) -> DataFrame:
