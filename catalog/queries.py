@@ -281,14 +281,9 @@ def chemistry_as_of(b: Bridge) -> DataFrame:
 # Requests
 
 
-def stored_season(b: Bridge, *more: str) -> Season:
-    """Season whose shared stages are tables: several parts of an answer read them."""
-    return b.lineup_season.with_stored("counts", "history", *more)
-
-
-def named_requests(b: Bridge, season: Season) -> DataFrame:
-    profiles = season.profiles.select("name", "Id", "role", "rating")
-    return squads.named_places(b.prediction_requests, answers.first_by_name(profiles))
+def prediction_season(b: Bridge) -> Season:
+    """Season whose ratings, names and chemistry are tables."""
+    return b.lineup_season.with_stored("history", "rated_names", "chemistry")
 
 
 def without_rookies(b: Bridge) -> DataFrame:
@@ -297,45 +292,46 @@ def without_rookies(b: Bridge) -> DataFrame:
 
 
 def judged(b: Bridge, season: Season) -> DataFrame:
-    return answers.judged_squads(without_rookies(b), season.profiles, smoothing=False)
+    return answers.judged_squads(without_rookies(b), season, smoothing=False)
 
 
 @query
 def chemistry_lookup(b: Bridge) -> DataFrame:
-    season = stored_season(b)
-    places = squads.squads(named_requests(b, season))
+    season = prediction_season(b)
+    places = squads.squads(squads.named_places(b.prediction_requests, season.rated_names))
     found = chemistry.lookup(squads.squad_pairs(places), season.chemistry)
     return rounded(found.select("request_seq", "team", "slot1", "slot2", "chemistry"), "chemistry")
 
 
 @query
 def squad_roles(b: Bridge) -> DataFrame:
-    return squads.role_counts(named_requests(b, stored_season(b)))
+    season = b.lineup_season.with_stored("rated_names")
+    return squads.role_counts(squads.named_places(b.prediction_requests, season.rated_names))
 
 
 @query
 def squad_validity(b: Bridge) -> DataFrame:
-    return judged(b, stored_season(b)).select(
+    return judged(b, b.lineup_season.with_stored("rated_names")).select(
         "request_seq", "valid1", "valid2", "profiles", "any_missing", "retired", "eligible")
 
 
 @query
 def player_strength(b: Bridge) -> DataFrame:
-    season = stored_season(b)
+    season = prediction_season(b)
     rows = squads.player_strengths(judged(b, season), season.chemistry).drop("rating")
     return rounded(rows, "mean_chemistry", "strength")
 
 
 @query
 def team_strength(b: Bridge) -> DataFrame:
-    season = stored_season(b)
+    season = prediction_season(b)
     return rounded(squads.team_strengths(judged(b, season), season.chemistry),
                    "strength1", "strength2")
 
 
 @query
 def win_chances(b: Bridge) -> DataFrame:
-    season = stored_season(b)
+    season = prediction_season(b)
     strengths = squads.team_strengths(judged(b, season), season.chemistry)
     chances = squads.win_chances(strengths).drop("strength1", "strength2")
     return rounded(chances, "chance1", "chance2")
@@ -343,27 +339,28 @@ def win_chances(b: Bridge) -> DataFrame:
 
 @query
 def predict_responses(b: Bridge) -> DataFrame:
-    predictions = answers.win_predictions(without_rookies(b), stored_season(b), smoothing=False)
+    predictions = answers.win_predictions(without_rookies(b), prediction_season(b), smoothing=False)
     return rounded(predictions, "chance1", "chance2")
 
 
 @query
 def predict_smoothed(b: Bridge) -> DataFrame:
     """All prediction requests, players with few matches rated by their cluster."""
-    season = stored_season(b, "profiles")
+    season = b.lineup_season.with_stored("counts", "history", "chemistry", "profiles")
     return answers.win_predictions(b.prediction_requests, season)
 
 
 @query
 def cluster_smoothing(b: Bridge) -> DataFrame:
-    profiles = sinks.materialise(stored_season(b).profiles, "profiles")
-    return smoothing.smooth_ratings(profiles).select(
+    season = b.lineup_season.with_stored("counts", "profiles")
+    return smoothing.smooth_ratings(season.profiles).select(
         "Id", "name", "numMatches", "rating", "prediction", "smoothed_rating")
 
 
 @query
 def player_profile(b: Bridge) -> DataFrame:
-    return answers.profile_answers(b.profile_requests, stored_season(b).profiles).select(
+    season = b.lineup_season.with_stored("by_name")
+    return answers.profile_answers(b.profile_requests, season.by_name).select(
         "request_seq", "name", "role", "height", "weight", "fouls", "goals", "own_goals",
         "percent_pass_accuracy", "percent_shots_on_target", "msg")
 
@@ -404,7 +401,7 @@ def match_cards(b: Bridge) -> DataFrame:
 @query
 def request_dispatch(b: Bridge) -> DataFrame:
     """Requests of all types as JSON lines in, answers as JSON lines out, read back field by field."""
-    season = stored_matches(b).with_stored("counts", "history")
+    season = stored_matches(b).with_stored("counts", "history", "by_name", "chemistry")
     fields = [c for c in b.requests.columns if c != "request_seq"]
     lines = without_rookies(b).select("request_seq", F.to_json(F.struct(*fields)).alias("value"))
     stored = sinks.materialise(lines, "requests")

@@ -92,7 +92,7 @@ def test_first_reason_is_kept_as_detail(spark, cup):
 
 def test_player_strengths_add_up_to_the_team(spark, cup):
     asked = tables.number_requests(fx.request_lines(spark, [fx.prediction(HOME, AWAY)]))
-    judged = answers.judged_squads(asked, cup.profiles, smoothing=False)
+    judged = answers.judged_squads(asked, cup, smoothing=False)
     single = squads.player_strengths(judged, cup.chemistry).groupBy("team").agg(
         (F.sum("strength") / 11).alias("s")).collect()
     both = squads.team_strengths(judged, cup.chemistry).collect()[0]
@@ -104,7 +104,9 @@ def test_retired_player(spark, cup):
     low = cup.profiles.withColumn(
         "rating", F.when(F.col("name") == "A3", 0.1).otherwise(F.col("rating")))
     asked = tables.number_requests(fx.request_lines(spark, [fx.prediction(HOME, AWAY)]))
-    row = answers.judged_squads(asked, low, smoothing=False).collect()[0]
+    season = Season(cup.players, cup.teams, cup.matches, cup.events)
+    season.__dict__["profiles"] = low
+    row = answers.judged_squads(asked, season, smoothing=False).collect()[0]
     assert (row.profiles, row.retired, row.msg) == (22, True, "Player Does Not Exist")
 
 

@@ -11,6 +11,7 @@ from touchline.operators.profiles import first_by_name
 from touchline.operators.smoothing import smooth_ratings
 from touchline.operators.sheets import formation_entries
 from touchline.plans.season import Season
+from touchline.sources.sinks import materialise
 
 WIN_PREDICTION, PLAYER_PROFILE, MATCH_REPORT = 1, 2, 3
 
@@ -25,7 +26,7 @@ def of_type(requests: DataFrame, req_type: int) -> DataFrame:
     return requests.where(F.col("req_type") == req_type)
 
 
-def judged_squads(requests: DataFrame, profiles: DataFrame, smoothing: bool = True) -> DataFrame:
+def judged_squads(requests: DataFrame, season: Season, smoothing: bool = True) -> DataFrame:
     """Squads of all prediction requests with the verdict on each.
 
     With ``smoothing`` the rating of players with few matches is their cluster's mean; the
@@ -33,16 +34,18 @@ def judged_squads(requests: DataFrame, profiles: DataFrame, smoothing: bool = Tr
     for.
     """
     if smoothing:
-        smoothed = smooth_ratings(profiles)
-        profiles = smoothed.withColumn("rating", F.col("smoothed_rating"))
-    named = first_by_name(profiles.select("name", "Id", "role", "rating"))
+        smoothed = smooth_ratings(season.profiles).select(
+            "name", "Id", "role", F.col("smoothed_rating").alias("rating"))
+        named = materialise(first_by_name(smoothed), "smoothed-names")
+    else:
+        named = season.rated_names
     return squads.verdict(squads.squads(squads.named_places(requests, named)))
 
 
 def win_predictions(requests: DataFrame, season: Season, smoothing: bool = True) -> DataFrame:
     """Winning chances per request, or the message why there are none."""
     asked = of_type(requests, WIN_PREDICTION)
-    judged = judged_squads(asked, season.profiles, smoothing)
+    judged = judged_squads(asked, season, smoothing)
     chances = squads.win_chances(squads.team_strengths(judged, season.chemistry))
     verdicts = judged.select("request_seq", "msg", "detail")
     valid = F.col("msg").isNull()
@@ -55,12 +58,12 @@ def win_predictions(requests: DataFrame, season: Season, smoothing: bool = True)
         "msg", "detail")
 
 
-def profile_answers(requests: DataFrame, profiles: DataFrame) -> DataFrame:
+def profile_answers(requests: DataFrame, by_name: DataFrame) -> DataFrame:
     """The thirteen profile fields per request, or the message that nobody has the name."""
     asked = of_type(requests, PLAYER_PROFILE).select("request_seq", F.col("name").alias("asked"))
     accuracy = F.when(F.col("normalPasses") + F.col("keyPasses") > 0, F.col("passAcc"))
     on_target = F.try_divide("shotsOnTarget", "totalShots")
-    fields = first_by_name(profiles).select(
+    fields = by_name.select(
         "name", "birthArea", text.iso_date(F.col("birthDate")).alias("birthDate"), "foot", "role",
         "height", "passportArea", "weight",
         F.col("numFouls").alias("fouls"), F.col("numGoals").alias("goals"),
@@ -171,7 +174,7 @@ def answer_requests(requests: DataFrame, season: Season, smoothing: bool = True)
         .alias("response"))
     return (
         _answer(win_predictions(requests, season, smoothing), WIN_PREDICTION, teams)
-        .unionByName(_answer(profile_answers(requests, season.profiles), PLAYER_PROFILE,
+        .unionByName(_answer(profile_answers(requests, season.by_name), PLAYER_PROFILE,
                              [F.col(c) for c in PROFILE_FIELDS]))
         .unionByName(_answer(match_reports(requests, season), MATCH_REPORT,
                              [F.col(c) for c in REPORT_FIELDS]))

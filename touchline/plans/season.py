@@ -78,9 +78,24 @@ class Season:
         totals = metrics.career_totals(self.metrics)
         return profiles.player_profiles(self.players, totals, self.latest)
 
+    @cached_property
+    def by_name(self) -> DataFrame:
+        """Profiles as requests find them."""
+        return profiles.first_by_name(self.profiles)
+
+    @cached_property
+    def rated_names(self) -> DataFrame:
+        """The little of a profile that a prediction needs."""
+        return profiles.first_by_name(self.profiles.select("name", "Id", "role", "rating"))
+
     def with_stored(self, *stages: str) -> Season:
-        """The same season with the named stages written to the shared folder and read back,
-        for answers that use them in several jobs."""
+        """The same season with the named stages written to the shared folder and read back.
+
+        For stages that several parts of an answer use, and for the tables that requests are
+        joined with: both sides of such a join are then plain shuffles, so Spark can split a
+        name or pair that a large share of the requests ask for. Name inputs before the stages
+        made from them.
+        """
         stored = replace(self)
         for name in stages:
             stored.__dict__[name] = materialise(getattr(stored, name), name)
