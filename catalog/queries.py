@@ -374,7 +374,8 @@ def stored_matches(b: Bridge) -> Season:
 
 @query
 def match_report(b: Bridge) -> DataFrame:
-    reports = answers.match_reports(b.report_requests, stored_matches(b))
+    season = stored_matches(b)
+    reports = answers.match_reports(b.report_requests, season)
     lists = ["goals", "own_goals", "yellow_cards", "red_cards"]
     return reports.withColumns({c: F.to_json(c) for c in lists})
 

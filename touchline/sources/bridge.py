@@ -29,28 +29,27 @@ EVENT_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type S
 CLASS = f"""CASE event_type WHEN 'view' THEN {codes.PASS} WHEN 'click' THEN {codes.DUEL}
   WHEN 'signup' THEN {codes.FREE_KICK} WHEN 'purchase' THEN {codes.SHOT} ELSE {codes.FOUL} END"""
 
-# When an event carries a tag.
-TAGS = {
-    codes.DUEL_LOST: "event_type = 'click' AND k % 10 < 3",
-    codes.DUEL_NEUTRAL: "event_type = 'click' AND k % 10 BETWEEN 3 AND 5",
-    codes.DUEL_WON: "event_type = 'click' AND k % 10 BETWEEN 6 AND 8",
-    codes.ACCURATE: "event_type = 'view' AND k % 10 < 7"
-                    " OR event_type IN ('signup', 'purchase') AND k % 2 = 0",
-    codes.INACCURATE: "event_type = 'view' AND k % 10 IN (7, 8)"
-                      " OR event_type IN ('signup', 'purchase') AND k % 2 = 1",
-    codes.KEY_PASS: "event_type = 'view' AND k % 4 = 0",
-    codes.GOAL: "event_type = 'signup' AND k % 10 = 0 OR event_type = 'purchase' AND k % 6 = 0",
-    codes.OWN_GOAL: "k = 24",
-}
+# The tags of an event, at most one from each of the three conditions.
+OUTCOME = f"""CASE
+  WHEN event_type = 'click' AND k % 10 < 3 THEN {codes.DUEL_LOST}
+  WHEN event_type = 'click' AND k % 10 < 6 THEN {codes.DUEL_NEUTRAL}
+  WHEN event_type = 'click' AND k % 10 < 9 THEN {codes.DUEL_WON}
+  WHEN event_type = 'view' AND k % 10 < 7 THEN {codes.ACCURATE}
+  WHEN event_type = 'view' AND k % 10 < 9 THEN {codes.INACCURATE}
+  WHEN event_type IN ('signup', 'purchase') THEN IF(k % 2 = 0, {codes.ACCURATE}, {codes.INACCURATE})
+  END"""
+EXTRA = f"""CASE WHEN event_type = 'view' AND k % 4 = 0 THEN {codes.KEY_PASS}
+  WHEN event_type = 'signup' AND k % 10 = 0 OR event_type = 'purchase' AND k % 6 = 0
+  THEN {codes.GOAL} END"""
+OWN_GOAL = f"IF(k = 24, {codes.OWN_GOAL}, NULL)"
 
 
 def typed_events(raw: DataFrame) -> DataFrame:
     """Stream events as match events; works on batch and streaming frames."""
-    tags = ", ".join(f"IF({cond}, {tag}, NULL)" for tag, cond in TAGS.items())
-    # ``k`` gets a projection of its own, so that the JSON is read once per event.
+    # ``k`` gets a projection of its own, so that the text is searched once per event.
     keyed = raw.selectExpr(
         "event_id", "ts", "event_type", "2 * user_id + event_id % 2 AS playerId",
-        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        """try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) AS k""",
         f"CAST(floor(datediff(CAST(ts AS DATE), DATE'{FIRST_DAY}') / {MATCHDAY_DAYS}) AS INT)"
         " AS matchday")
     return keyed.selectExpr(
@@ -58,7 +57,7 @@ def typed_events(raw: DataFrame) -> DataFrame:
         f"matchday * 100000L + playerId DIV {2 * SQUAD} AS matchId",
         f"{CLASS} AS eventId",
         f"IF(event_type = 'signup' AND k % 5 = 0, {codes.PENALTY}, 0) AS subEventId",
-        f"array_compact(array({tags})) AS tag_ids")
+        f"array_compact(array({OUTCOME}, {EXTRA}, {OWN_GOAL})) AS tag_ids")
 
 
 class Bridge:
