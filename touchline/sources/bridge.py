@@ -22,8 +22,12 @@ SQUAD = 14
 MATCHDAY_DAYS = 6
 FIRST_DAY = "2024-01-01"
 
-EVENT_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,"
-                " value DOUBLE, props STRING")
+# Fixed format: the columns of the test tables that are used.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING",
+}
 
 # Event class by stream event type; any other type is a foul.
 CLASS = f"""CASE event_type WHEN 'view' THEN {codes.PASS} WHEN 'click' THEN {codes.DUEL}
@@ -68,14 +72,14 @@ class Bridge:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def stream(self, name: str, schema: str) -> DataFrame:
+    def stream(self, name: str) -> DataFrame:
         """The table as a streaming source, be it one file or a folder of part files."""
         path = f"{self.sf_dir}/{name}.parquet"
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         files = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        reader = self.spark.readStream.schema(schema)
+        reader = self.spark.readStream.schema(SCHEMAS[name])
         if files.getFileStatus(hadoop).isDirectory():
             return reader.parquet(path)
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
@@ -112,7 +116,7 @@ class Bridge:
     @cached_property
     def event_stream(self) -> DataFrame:
         """Streaming events; the instant is cast because watermarks need a time zone."""
-        return typed_events(self.stream("events", EVENT_SCHEMA)).withColumn(
+        return typed_events(self.stream("events")).withColumn(
             "ts", F.col("ts").cast("timestamp"))
 
     @cached_property
