@@ -14,7 +14,7 @@ from touchline.plans.season import Season
 from touchline.sources import records, sinks, tables
 from touchline.sources.bridge import Bridge
 from touchline.streaming import chemistry as chemistry_stream
-from touchline.streaming import counters, ratings, sessions
+from touchline.streaming import counters, finalise, ratings, sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -454,6 +454,16 @@ def stream_match_intake(b: Bridge) -> DataFrame:
     return _run(b, "matches", lambda out, cp: sessions.append_to(intake, out, cp))
 
 
+@query
+def stream_finished_matches(b: Bridge) -> DataFrame:
+    """Career rows of the matches that are over by the end of the stream."""
+    quiet = finalise.quiet_matches(b.event_stream, "6 days", "1 hour")
+    rows = _run(b, "finished", lambda path, cp: finalise.write_finished(
+        quiet, lambda: b.lineup_season, path, cp))
+    return rounded(rows.select(*KEYS, "teamId", "match_date", "played", "contribution", "foulLoss",
+                               "ownGoals"), "contribution")
+
+
 def _rating_lines(b: Bridge) -> str:
     """Folder of rating lines made by the stateful stream from a table of finished matches."""
     source = sinks.shared_folder(b.spark, "finished")
