@@ -160,7 +160,7 @@ asked as (
   select m * 10 + kind as request_seq, kind, m,
     case when kind = 1 and team = 1 and slot = 8 then 13 when kind = 2 and team = 1 and slot = 1 then 0
          when kind = 4 and team = 1 and slot = 0 then 12 else slot end as who,
-    kind = 3 and team = 1 and slot = 3 as unknown, team, slot + 1 as slot
+    kind = 3 and team = 1 and slot = 3 as unknown, team, cast(slot + 1 as int) as slot
   from (select distinct ("teamId" - 1) // 2 as m from fx_players),
     (select unnest(range(5)) as kind), (select unnest([1, 2]) as team),
     (select unnest(range(11)) as slot)),

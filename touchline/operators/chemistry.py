@@ -8,11 +8,10 @@ and the join itself is split at run time if a match should ever be oversized.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions import codes, formulas
-from touchline.operators.ordered import BlockOf, calendar_year, running_totals
 
 PAIR = ["player1", "player2"]
 
@@ -48,12 +47,16 @@ def chemistry_table(deltas: DataFrame) -> DataFrame:
     return deltas.groupBy(*PAIR).agg(value.alias("chemistry"))
 
 
-def chemistry_as_of(deltas: DataFrame, block_of: BlockOf = calendar_year) -> DataFrame:
-    """Value of every pair right after each match they shared."""
-    start = F.lit(codes.INITIAL_CHEMISTRY)
-    rows = running_totals(deltas, PAIR, ["match_date", "matchId"], {"sum": F.col("delta")},
-                          block_of)
-    return rows.withColumn("chemistry", start + F.col("sum")).drop("sum")
+def chemistry_as_of(deltas: DataFrame) -> DataFrame:
+    """Value of every pair right after each match they shared.
+
+    A pair has one row per shared match, beside those of all other pairs of that match, so no
+    pair can hold a large share of the rows and one window over the pair is enough.
+    """
+    so_far = (Window.partitionBy(*PAIR).orderBy("match_date", "matchId")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    value = F.lit(codes.INITIAL_CHEMISTRY) + F.sum("delta").over(so_far)
+    return deltas.withColumn("chemistry", value)
 
 
 def pair_key(id1: Column, id2: Column) -> list[Column]:
