@@ -42,3 +42,15 @@ def test_pinned_totals(spark, sf_dir):
                               pytest.approx(0.724219, abs=1e-6))
     pairs = season.chemistry.agg(F.count("*"), F.sum("chemistry")).collect()[0]
     assert (pairs[0], pairs[1]) == (276, pytest.approx(133.7828, abs=1e-3))
+
+
+def test_invariants(spark, sf_dir):
+    """Contribution is bounded, chances add up, every pair is stored once with the lower id first."""
+    bridge = Bridge(spark, sf_dir)
+    top = bridge.lineup_season.history.agg(F.min("contribution"), F.max("contribution")).collect()[0]
+    assert 0 <= top[0] and top[1] <= 1.05 * 5 / 4
+    pairs = bridge.lineup_season.chemistry
+    assert pairs.where("player1 >= player2").count() == 0
+    assert pairs.select("player1", "player2").distinct().count() == pairs.count()
+    chances = contract.queries()["win_chances"](spark, "/root/testdata/sf0.01").collect()
+    assert chances and all(c.chance1 + c.chance2 == pytest.approx(100) for c in chances)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tests import fixtures as fx
@@ -76,3 +78,51 @@ def test_counters_are_combined_before_the_shuffle(spark):
         .executedPlan().toString()
     below = plan.split("Exchange hashpartitioning(matchId")[1]
     assert "partial_count_if" in below or "partial_count(" in below
+
+
+def by_hand(events):
+    """Counters of each (match, player), one event after the other."""
+    rows = {}
+    for e in events:
+        row = rows.setdefault((e["matchId"], e["playerId"]), dict.fromkeys(metrics.COUNTERS, 0))
+        tags, kind = {t["id"] for t in e["tags"]}, e["eventId"]
+        hits = []
+        if kind == 8 and 1801 in tags:
+            hits = ["accKeyPasses", "keyPasses"] if 302 in tags else ["accNormalPasses", "normalPasses"]
+        elif kind == 8 and 1802 in tags:
+            hits = ["normalPasses"]
+        elif kind == 8 and 302 in tags:
+            hits = ["keyPasses"]
+        elif kind == 1:
+            first = next((t for t in (701, 702, 703) if t in tags), None)
+            hits = {701: ["totalDuels"], 702: ["neutralDuels", "totalDuels"],
+                    703: ["duelsWon", "totalDuels"], None: []}[first]
+        elif kind == 3:
+            hits = ["totalFreeKicks"] + ["effectiveFreeKicks"] * (1801 in tags)
+            hits += ["penaltiesScored"] * (e["subEventId"] == 35 and 101 in tags)
+        elif kind == 10:
+            if 1801 in tags:
+                hits = ["totalShots", "shotsOnTarget", "targetAndGoal" if 101 in tags else "targetNotGoal"]
+            elif 1802 in tags:
+                hits = ["totalShots"]
+            hits += ["numGoals"] * (101 in tags)
+        elif kind == 2:
+            hits = ["foulLoss"]
+        for name in [*hits, *["ownGoals"] * (102 in tags)]:
+            row[name] += 1
+    return rows
+
+
+def test_random_events_with_a_hot_player_against_brute_force(spark):
+    rng = random.Random(3)
+    tags = [101, 102, 302, 701, 702, 703, 1801, 1802]
+    events = [
+        fx.event(1 if rng.random() < 0.34 else rng.randint(2, 9), rng.choice([1, 2, 3, 8, 10, 7]),
+                 rng.sample(tags, rng.randint(0, 4)), sub=rng.choice([35, 31, ""]),
+                 match=rng.randint(1, 3))
+        for _ in range(4000)]
+    typed = records.route_events(records.parse_lines(fx.lines(spark, events).repartition(6)))
+    known = fx.players(spark, [(i, f"P{i}", "GK") for i in range(1, 9)])
+    got = {(r.matchId, r.playerId): {c: r[c] for c in metrics.COUNTERS}
+           for r in metrics.match_metrics(typed, known).collect()}
+    assert got == {k: v for k, v in by_hand(events).items() if k[1] < 9}
