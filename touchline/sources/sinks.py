@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,18 +19,13 @@ def append_matches(stored: DataFrame, arrived: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
+    """A fresh folder below the one named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder.
+    A session without that setting uses its warehouse, which all executors reach too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="touchline-")
-        spark.sparkContext.setCheckpointDir(root)
+    root = root or spark.sparkContext.getCheckpointDir()
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
