@@ -16,6 +16,9 @@ SLICE_BYTES = 2_000_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Everything but ASCII letters, digits and the parts of other characters.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _RANDOM = np.random.default_rng(20240229)
 BYTE_VALUE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 LOWER_VALUE = BYTE_VALUE.copy()
@@ -57,8 +60,9 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 class Words:
     """The words of consecutive documents: hashes, and where each document's words begin."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        space = SPACE[data]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False,
+                 between: np.ndarray = SPACE):
+        space = between[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
         begins = ~space
