@@ -29,7 +29,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(frame: DataFrame, purpose: str) -> DataFrame:
+def materialise(frame: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write a stage table to the shared folder and read it back.
 
     Used where one stage feeds several jobs; survives the loss of executors because
@@ -37,7 +37,7 @@ def materialise(frame: DataFrame, purpose: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = shared_folder(spark, purpose)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return spark.read.schema(frame.schema).parquet(path)
 
 
