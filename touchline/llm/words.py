@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text handled at a time; bounds the memory of the arrays below (a longer document is one piece).
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
