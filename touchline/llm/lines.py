@@ -25,12 +25,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.attach import attached
 from touchline.sources.sinks import materialise
 
 THRESHOLD = 2
 LEAST_CHARS = 24
-#: Bytes of line numbers up to which they are sent to all tasks; more meet the documents in a shuffle.
-BROADCAST_BYTES = 32 << 20
 
 _BLANK = " \t\r\x0b\x0c"
 
@@ -47,12 +46,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _with_gone(docs: DataFrame, places: DataFrame) -> DataFrame:
     """Documents with the array of line numbers that ``places`` (doc_id, line_no) has for them."""
-    lists = materialise(places.groupBy("doc_id").agg(F.collect_set("line_no").alias("gone")),
-                        "line-numbers").withColumnRenamed("doc_id", "_gone_doc")
-    size = lists.agg(F.sum(F.size("gone") * 4 + 32)).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        lists = F.broadcast(lists)
-    return docs.join(lists, F.col("doc_id") == F.col("_gone_doc"), "left").drop("_gone_doc")
+    return attached(docs, places, F.col("line_no"), 4, "gone")
 
 
 def _segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:

@@ -33,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm import sketch
+from touchline.llm.attach import attached
 from touchline.llm.words import Words, mixed, range_hashes, signed, text_slices
 from touchline.sources.sinks import materialise
 
 SIZE = 50
 ANCHOR = 8
 #: Cells per row of the sketch, as a power of two. Wider sketches let fewer single windows through.
-SKETCH_BITS = 24
+SKETCH_BITS = 25
 
 _SEGMENTS = "doc_id long, start int, anchor long, digest long, windows binary"
 
@@ -138,10 +139,13 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_ranges(docs: DataFrame, size: int = SIZE, bits: int = SKETCH_BITS) -> DataFrame:
     """(doc_id, start, windows): runs of window starts that an earlier document has as well."""
     found = materialise(segments(docs, size, bits), "segments")
-    firsts = found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("first_doc"),
-                                                   F.count("*").alias("copies"))
-    # Most first copies of segments are the only ones; the join has one row per key on one side.
-    marked = found.join(firsts, ["anchor", "digest"])
+    # What the sketch took for repeated and is not, goes before anything is compared.
+    shared = materialise(
+        found.groupBy("anchor").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"))
+        .where("d0 < d1").select("anchor"), "anchors")
+    firsts = found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("first_doc"))
+    # One row per key on the right of both joins, so that a hot passage can be split.
+    marked = found.join(shared, "anchor", "left_semi").join(firsts, ["anchor", "digest"])
     later = (marked.where("doc_id > first_doc")
              .select("doc_id", "start", (F.length("windows") / 8).cast("int").alias("windows")))
     first = marked.where("doc_id = first_doc").select("doc_id", "start", "anchor", "windows")
@@ -187,11 +191,9 @@ def _cut(size: int):
 def remove_repeats(docs: DataFrame, size: int = SIZE, bits: int = SKETCH_BITS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) for every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # A document's ranges are bounded by its own length.
-    ranges = (repeated_ranges(docs, size, bits).groupBy("doc_id")
-              .agg(F.collect_list(F.struct("start", "windows")).alias("ranges")))
-    return (docs.join(ranges, "doc_id", "left")
-            .mapInArrow(_cut(size), "doc_id long, n_words long, n_removed long, kept_text string"))
+    ranges = repeated_ranges(docs, size, bits)
+    return attached(docs, ranges, F.struct("start", "windows"), 16, "ranges").mapInArrow(
+        _cut(size), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def digests(kept: DataFrame) -> DataFrame:
