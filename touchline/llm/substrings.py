@@ -5,7 +5,7 @@ word sequence also starts in a document with a smaller ``doc_id`` is removed.
 
 1. Every window has an *anchor*: the smallest hash among its runs of ``ANCHOR`` words. Equal
    windows have equal anchors, and neighbouring windows mostly share one, so there are about
-   twenty times fewer anchors than windows. Count-min sketches of the anchors, one per partition,
+   fourteen times fewer anchors than windows. Count-min sketches of the anchors, one per partition,
    are merged; they never count too little.
 2. A second pass keeps only windows whose anchor is estimated to be repeated. A window that
    really is repeated has a repeated anchor, so none is lost; a wrong estimate only costs a row.
@@ -33,12 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm import sketch
-from touchline.llm.attach import attached
 from touchline.llm.words import Words, mixed, range_hashes, signed, text_slices
 from touchline.sources.sinks import materialise
 
 SIZE = 50
-ANCHOR = 8
+ANCHOR = 24
 #: Cells per row of the sketch, as a power of two. Wider sketches let fewer single windows through.
 SKETCH_BITS = 25
 
@@ -191,8 +190,10 @@ def _cut(size: int):
 def remove_repeats(docs: DataFrame, size: int = SIZE, bits: int = SKETCH_BITS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) for every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranges = repeated_ranges(docs, size, bits)
-    return attached(docs, ranges, F.struct("start", "windows"), 16, "ranges").mapInArrow(
+    # A document's ranges are bounded by its own length.
+    ranges = (repeated_ranges(docs, size, bits).groupBy("doc_id")
+              .agg(F.collect_list(F.struct("start", "windows")).alias("ranges")))
+    return docs.join(ranges, "doc_id", "left").mapInArrow(
         _cut(size), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
