@@ -115,33 +115,14 @@ def _signatures(size: int, lower: bool, percent: int, counts, heavy: int):
     return per_partition
 
 
-def _hash_column(name: str):
-    def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield mixed(batch.column(name).to_numpy().astype(np.int64).view(np.uint64))
-    return hashes_of
-
-
-def _filter_of(keys: DataFrame, name: str, bits: int):
-    """Packed sketch that tells which values cannot be among ``keys``; its size is fixed."""
-    counts = sketch.merged(keys.select(name), _hash_column(name), bits, "uint8")
-    return keys.sparkSession.sparkContext.broadcast(np.packbits(counts > 0, axis=1))
-
-
-def _may_have(packed: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
-    keep = np.ones(len(values), bool)
-    for line, cell in enumerate(sketch.cells(mixed(values.view(np.uint64)), bits)):
-        keep &= (packed[line, cell >> 3] >> (7 - (cell & 7)) & 1) > 0
-    return keep
-
-
 def _sets_of(docs: DataFrame, pairs: DataFrame, size: int, lower: bool) -> DataFrame:
     """(id, set) for the documents in ``pairs``, and a few more."""
-    wanted = _filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id", ID_BITS)
+    wanted = sketch.filter_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id", ID_BITS)
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            keep = _may_have(wanted.value, ids, ID_BITS)
+            keep = sketch.may_have(wanted.value, ids, ID_BITS)
             batch = batch.filter(pa.array(keep))
             ids = ids[keep]
             for row, rows, document, hashes in _sets(batch, size, lower):
@@ -204,14 +185,14 @@ def _across_groups(signed_reps: DataFrame, percent: int) -> DataFrame:
     shared = materialise(
         entries.groupBy("token").agg(F.min("group_id").alias("g0"), F.max("group_id").alias("g1"))
         .where("g0 < g1").select("token"), "shared")
-    known = _filter_of(shared, "token", TOKEN_BITS)
+    known = sketch.filter_of(shared, "token", TOKEN_BITS)
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             signature = batch.column("signature")
             values = signature.flatten().to_numpy()
             counts = np.diff(signature.offsets.to_numpy())
-            keep = _may_have(known.value, values, TOKEN_BITS)
+            keep = sketch.may_have(known.value, values, TOKEN_BITS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(batch.column(c).to_numpy(), counts)[keep])
                  for c in ("doc_id", "group_id", "n_shingles")] + [pa.array(values[keep])],

@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from touchline.llm.words import mixed
+
 DEPTH = 2
 
 
@@ -60,3 +62,21 @@ def merged(frame: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.n
         return np.zeros((DEPTH, 1 << bits), dtype)
     total = parts.treeReduce(both, 3)
     return np.frombuffer(zlib.decompress(total), dtype).reshape(DEPTH, 1 << bits)
+
+
+def filter_of(keys: DataFrame, name: str, bits: int):
+    """Packed sketch that tells which values cannot be among ``keys``, sent to all tasks."""
+
+    def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield mixed(batch.column(name).to_numpy().astype(np.int64).view(np.uint64))
+
+    counts = merged(keys.select(name), hashes_of, bits, "uint8")
+    return keys.sparkSession.sparkContext.broadcast(np.packbits(counts > 0, axis=1))
+
+
+def may_have(packed: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    """False where a value is certainly not among the keys of the filter."""
+    keep = np.ones(len(values), bool)
+    for row, cell in enumerate(cells(mixed(values.view(np.uint64)), bits)):
+        keep &= (packed[row, cell >> 3] >> (7 - (cell & 7)) & 1) > 0
+    return keep

@@ -10,9 +10,10 @@ word sequence also starts in a document with a smaller ``doc_id`` is removed.
 2. A second pass keeps only windows whose anchor is estimated to be repeated. A window that
    really is repeated has a repeated anchor, so none is lost; a wrong estimate only costs a row.
    Consecutive kept windows with one anchor form a *segment*, and segments are grouped exactly.
-   In a segment that an earlier document has too, all windows are repeated. Only the
-   first copy of each segment is opened, and its windows are grouped exactly: whatever
-   window of a smaller document equals one of them is in the first copy of some segment.
+   In a segment that an earlier document has too, all windows are repeated. Only first
+   copies are opened, where different segments have an anchor in common, and their windows are
+   grouped exactly: whatever window of a smaller document equals one of them is in the first
+   copy of some segment.
 
 Windows are compared by the hash of the window and the hash of its anchor together (128 bits), so
 wrong matches are not to be expected at any corpus size. Hot passages are minima over a key, which
@@ -40,6 +41,8 @@ SIZE = 50
 ANCHOR = 24
 #: Cells per row of the sketch, as a power of two. Wider sketches let fewer single windows through.
 SKETCH_BITS = 25
+#: The same for the segments to open; a wrong one opened adds rows, but changes no result.
+OPEN_BITS = 23
 
 _SEGMENTS = "doc_id long, start int, anchor long, digest long, windows binary"
 
@@ -120,36 +123,48 @@ def segments(docs: DataFrame, size: int = SIZE, bits: int = SKETCH_BITS) -> Data
     return docs.mapInArrow(per_partition, _SEGMENTS)
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every window of a segment."""
-    for batch in batches:
-        blobs = batch.column("windows").to_pylist()
-        counts = np.array([len(b) // 8 for b in blobs], np.int64)
-        inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        column = {name: np.repeat(batch.column(name).to_numpy(), counts)
-                  for name in ("doc_id", "start", "anchor")}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(column["doc_id"]),
-             pa.array((column["start"] + inside).astype(np.int32)), pa.array(column["anchor"]),
-             pa.array(np.frombuffer(b"".join(blobs), np.int64))],
-            ["doc_id", "start", "anchor", "window"])
+def _opened(wanted):
+    """A row for every window of a wanted segment."""
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = sketch.may_have(wanted.value, batch.column("key").to_numpy(), OPEN_BITS)
+            batch = batch.filter(pa.array(keep))
+            blobs = batch.column("windows").to_pylist()
+            counts = np.array([len(b) // 8 for b in blobs], np.int64)
+            inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            column = {name: np.repeat(batch.column(name).to_numpy(), counts)
+                      for name in ("doc_id", "start", "anchor")}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column["doc_id"]),
+                 pa.array((column["start"] + inside).astype(np.int32)),
+                 pa.array(column["anchor"]), pa.array(np.frombuffer(b"".join(blobs), np.int64))],
+                ["doc_id", "start", "anchor", "window"])
+
+    return per_partition
 
 
 def repeated_ranges(docs: DataFrame, size: int = SIZE, bits: int = SKETCH_BITS) -> DataFrame:
     """(doc_id, start, windows): runs of window starts that an earlier document has as well."""
     found = materialise(segments(docs, size, bits), "segments")
-    # What the sketch took for repeated and is not, goes before anything is compared.
-    shared = materialise(
-        found.groupBy("anchor").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"))
-        .where("d0 < d1").select("anchor"), "anchors")
-    firsts = found.groupBy("anchor", "digest").agg(F.min("doc_id").alias("first_doc"))
-    # One row per key on the right of both joins, so that a hot passage can be split.
-    marked = found.join(shared, "anchor", "left_semi").join(firsts, ["anchor", "digest"])
-    later = (marked.where("doc_id > first_doc")
-             .select("doc_id", "start", (F.length("windows") / 8).cast("int").alias("windows")))
-    first = marked.where("doc_id = first_doc").select("doc_id", "start", "anchor", "windows")
-    opened = first.mapInArrow(_opened, "doc_id long, start int, anchor long, window long")
-    opened = materialise(opened, "windows")
+    small = found.drop("windows")
+    firsts = materialise(
+        small.groupBy("anchor", "digest").agg(F.min("doc_id").alias("first_doc")), "firsts")
+    # One row per key on the right, so that a hot passage can be split.
+    later = (found.select("anchor", "digest", "doc_id", "start",
+                          (F.length("windows") / 8).cast("int").alias("windows"))
+             .join(firsts, ["anchor", "digest"]).where("doc_id > first_doc")
+             .select("doc_id", "start", "windows"))
+    # Segments that differ and have an anchor in common; all others are done with, and so is what
+    # the sketch took for repeated and is not.
+    mixed_anchors = (firsts.groupBy("anchor").agg(F.count("*").alias("digests"))
+                     .where("digests > 1").select("anchor"))
+    asked = firsts.join(mixed_anchors, "anchor", "left_semi").select(
+        F.xxhash64("anchor", "digest", "first_doc").alias("key"))
+    opened = materialise(
+        found.withColumn("key", F.xxhash64("anchor", "digest", "doc_id")).mapInArrow(
+            _opened(sketch.filter_of(asked, "key", OPEN_BITS)),
+            "doc_id long, start int, anchor long, window long"), "windows")
     least = (opened.groupBy("anchor", "window")
              .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
              .where("first_doc < last_doc").drop("last_doc"))
