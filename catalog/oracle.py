@@ -5,15 +5,20 @@ rating recursion is a list fold, formations never pass through a match record.""
 from __future__ import annotations
 
 VIEWS = """
-bound as (select 2 * ((2 * (max(user_id) + 1)) // 28) as teams from events),
 fx_teams as (
-  select s_suppkey + 1 as "Id", s_name as name from supplier, bound where s_suppkey < teams),
+  select s_suppkey + 1 as "Id", s_name as name from supplier
+  union all
+  select distinct c_custkey // 14 + 1, 'Team ' || (c_custkey // 14 + 1) from customer
+  where c_custkey // 14 not in (select s_suppkey from supplier)),
 fx_players as (
   select c_custkey as "Id", c_name as name, c_custkey // 14 + 1 as "teamId", c_custkey % 14 as slot,
     case when c_custkey % 14 = 0 then 'GK' when c_custkey % 14 in (1, 2, 3, 4, 12) then 'DF'
          when c_custkey % 14 in (5, 6, 7, 8, 13) then 'MD' else 'FW' end as role,
     cast(165 + c_custkey % 31 as int) as height, cast(60 + c_custkey % 37 as int) as weight
-  from customer, bound where c_custkey // 14 < teams),
+  from customer),
+fx_pairs as (
+  select ("teamId" - 1) // 2 as m, count(*) as players from fx_players group by 1
+  having count(distinct "teamId") = 2),
 fx_raw as (
   select event_id, ts, 2 * user_id + event_id % 2 as "playerId", event_type,
     cast(json_extract_string(props, '$.k') as int) as k,
@@ -21,7 +26,7 @@ fx_raw as (
   from events),
 fx_events as (
   select event_id, ts, r."playerId", p."teamId", matchday,
-    matchday * 100000 + (p."teamId" - 1) // 2 as "matchId",
+    (p."teamId" - 1) // 2 * 100000 + matchday as "matchId",
     case event_type when 'view' then 8 when 'click' then 1 when 'signup' then 3
                     when 'purchase' then 10 else 2 end as "eventId",
     case when event_type = 'signup' and k % 5 = 0 then 35 else 0 end as "subEventId",
@@ -74,16 +79,18 @@ rated as (
     ("effectiveFreeKicks" + "penaltiesScored") / nullif("totalFreeKicks", 0) as kick_ratio,
     ("targetAndGoal" + 0.5::double * "targetNotGoal") / nullif("totalShots", 0) as shot_ratio
   from counted),
-days as (select distinct matchday from fx_events),
+days as (
+  select distinct ("teamId" - 1) // 2 as m, matchday from fx_events
+  where ("teamId" - 1) // 2 in (select m from fx_pairs)),
 fx_appearances as (
-  select d.matchday, d.matchday * 100000 + ("teamId" - 1) // 2 as "matchId", "teamId",
+  select d.matchday, d.m * 100000 + d.matchday as "matchId", "teamId",
     "Id" as "playerId", name, slot, date '2024-01-01' + 6 * d.matchday as match_date,
     case when slot <= 9 then 1.05::double when slot = 10 then (60 + matchday) / 90.0::double
          when slot = 11 then 15 / 90.0::double when slot = 12 then (15 - matchday) / 90.0::double
          else 0::double end as time_weight,
     slot <= 12 as played,
     slot in (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 12) as in_chemistry
-  from fx_players cross join days d),
+  from fx_players join days d on d.m = ("teamId" - 1) // 2),
 fx_substitutions as (
   select a."matchId", a."teamId", i."playerId" as "playerIn", a."playerId" as "playerOut",
     cast(case a.slot when 10 then 60 else 75 end + a.matchday as int) as minute
@@ -111,7 +118,7 @@ fx_matches as (
     case when h > a then home when a > h then away else 0 end as winner
   from score join fx_teams th on th."Id" = home join fx_teams ta on ta."Id" = away
   union all
-  select 99900000, 'Suspended', 'Regular', 6, 'Ground 0', date '2024-01-31',
+  select 99999, 'Suspended', 'Regular', 6, 'Ground 0', date '2024-01-31',
     'Suspended fixture, 0 - 0', 0),
 contrib as (
   select a."matchId", a."playerId", a."teamId", a.match_date, a.time_weight, a.played,
@@ -156,21 +163,27 @@ totals as (
     cast(sum("keyPasses") as bigint) as keyed, cast(sum("accNormalPasses") as bigint) as acc_normal,
     cast(sum("accKeyPasses") as bigint) as acc_key
   from counted group by 1),
+profiled as (
+  select "Id", coalesce(rating, 0.5) as rating, coalesce(matches, 0) as matches
+  from fx_players left join latest on "playerId" = "Id"),
+smooth as (
+  select "Id", case when matches < 5 then avg(rating) over (partition by "Id" % 5) else rating end
+    as rating from profiled),
 asked as (
   select m * 10 + kind as request_seq, kind, m,
     case when kind = 1 and team = 1 and slot = 8 then 13 when kind = 2 and team = 1 and slot = 1 then 0
          when kind = 4 and team = 1 and slot = 0 then 12 else slot end as who,
     kind = 3 and team = 1 and slot = 3 as unknown, team, cast(slot + 1 as int) as slot
-  from (select distinct ("teamId" - 1) // 2 as m from fx_players),
+  from (select m from fx_pairs where players = 28),
     (select unnest(range(5)) as kind), (select unnest([1, 2]) as team),
     (select unnest(range(11)) as slot)),
 places as (
   select request_seq, kind, m, team, s.slot,
     case when unknown then 'No Such Player' else p.name end as name,
     case when not unknown then p."Id" end as "Id", case when not unknown then p.role end as role,
-    case when not unknown then coalesce(l.rating, 0.5) end as rating
+    case when not unknown then smooth.rating end as rating
   from asked s join fx_players p on p."teamId" = 2 * m + team and p.slot = s.who
-    left join latest l on l."playerId" = p."Id"),
+    left join smooth on smooth."Id" = p."Id"),
 roles as (
   select request_seq, team, count(*) filter (where role = 'GK') as "GK",
     count(*) filter (where role = 'DF') as "DF", count(*) filter (where role = 'MD') as "MD",
@@ -213,7 +226,9 @@ predictions as (
     case when msg is null then 50 - 50 * (strength1 - strength2) end as chance2, msg, detail
   from verdicts v left join strengths using (request_seq)),
 answers as (
-  select "Id" + 1000000000 as request_seq, p.name, role, height, weight,
+  select "Id" + 1000000000000000 as request_seq, p.name, cast(null as varchar) as "birthArea",
+    cast(null as varchar) as "birthDate", cast(null as varchar) as foot, role, height,
+    cast(null as varchar) as "passportArea", weight,
     coalesce(fouls, 0) as fouls, coalesce(goals, 0) as goals, coalesce(own_goals, 0) as own_goals,
     cast(coalesce(round(100 * ((acc_normal + 2 * acc_key) / nullif(normal + 2 * keyed, 0))), 0) as int)
       as percent_pass_accuracy,
@@ -221,7 +236,7 @@ answers as (
     cast(null as varchar) as msg
   from fx_players p left join totals t on t."playerId" = p."Id"
   union all
-  select 1999999999, null, null, null, null, null, null, null, null, null, 'Player Not Found'),
+  select 1999999999999999, null, null, null, null, null, null, null, null, null, null, null, null, null, 'Player Not Found'),
 lists as (
   select "matchId",
     list({'name': f.name, 'team': t.name, 'number_of_goals': goals}
@@ -232,7 +247,7 @@ lists as (
     list(f.name order by f."teamId", section, slot) filter (where red <> '0') as red_cards
   from fx_formation f join fx_teams t on t."Id" = f."teamId" group by 1),
 reports as (
-  select m."wyId" + 2000000000 as request_seq,
+  select m."wyId" + 2000000000000000 as request_seq,
     case when status = 'Played' then strftime(match_date, '%Y-%m-%d') end as date,
     case when status = 'Played' then duration end as duration,
     case when status = 'Played' then label end as label,
@@ -247,7 +262,7 @@ reports as (
     case when status <> 'Played' then 'Match was ' || status end as msg
   from fx_matches m left join fx_teams t on t."Id" = m.winner left join lists l on l."matchId" = m."wyId"
   union all
-  select 2999999999, null, null, null, null, null, null, null, null, null, null, 'No Matches found')
+  select 2999999999999999, null, null, null, null, null, null, null, null, null, null, 'No Matches found')
 """
 
 _COUNTERS = """"normalPasses", "keyPasses", "accNormalPasses", "accKeyPasses", "duelsWon",
@@ -359,19 +374,18 @@ BODIES = {
       left join chem on player1 = least(a."Id", b."Id") and player2 = greatest(a."Id", b."Id")""",
     "squad_roles": 'select request_seq, team, "GK", "DF", "MD", "FW" from roles',
     "squad_validity": """select request_seq, valid1, valid2, profiles, any_missing, retired,
-      request_seq in (select request_seq from eligible) as eligible from judged where kind <> 1""",
+      request_seq in (select request_seq from eligible) as eligible from judged""",
     "player_strength": """select request_seq, team, slot, round(mean_chemistry + 1e-10, 6) as mean_chemistry,
-      round(rating * mean_chemistry + 1e-10, 6) as strength from mates
-      where request_seq % 10 <> 1""",
+      round(rating * mean_chemistry + 1e-10, 6) as strength from mates""",
     "team_strength": """select request_seq, round(strength1 + 1e-10, 6) as strength1,
-      round(strength2 + 1e-10, 6) as strength2 from strengths where request_seq % 10 <> 1""",
+      round(strength2 + 1e-10, 6) as strength2 from strengths""",
     "win_chances": """select request_seq, round(50 + 50 * (strength1 - strength2) + 1e-10, 6) as chance1,
-      round(50 - 50 * (strength1 - strength2) + 1e-10, 6) as chance2 from strengths
-      where request_seq % 10 <> 1""",
+      round(50 - 50 * (strength1 - strength2) + 1e-10, 6) as chance2 from strengths""",
     "predict_responses": """select request_seq, name1, name2, round(chance1 + 1e-10, 6) as chance1,
-      round(chance2 + 1e-10, 6) as chance2, msg, detail from predictions where kind <> 1""",
-    "player_profile": """select request_seq, name, role, height, weight, fouls, goals, own_goals,
-      percent_pass_accuracy, percent_shots_on_target, msg from answers""",
+      round(chance2 + 1e-10, 6) as chance2, msg, detail from predictions""",
+    "player_profile": "select * from answers",
+    "cluster_smoothing": """select "Id", name, matches as "numMatches", true as in_range,
+      true as veteran_kept, true as rookie_mean from profiled join fx_players using ("Id")""",
     "match_report": "select * from reports",
     "match_goals": """select f."matchId", f.name, t.name as team, goals, own_goals as "ownGoals"
       from fx_formation f join fx_teams t on t."Id" = f."teamId"
@@ -383,10 +397,10 @@ BODIES = {
     "request_dispatch": """
       select request_seq, 1 as req_type, case when msg is null then name1 end as name,
         case when msg is null then round(chance1 + 1e-10, 6) end as chance, null as goals, msg
-      from predictions where kind <> 1
+      from predictions
       union all select request_seq, 2, name, null, cast(goals as varchar), msg from answers
       union all select request_seq, 3, label, null, goals, msg from reports
-      union all select 3000000000, 9, null, null, null, 'Invalid request'""",
+      union all select 3000000000000000, 9, null, null, null, 'Invalid request'""",
     "stream_live_metrics": _METRICS,
     "stream_match_sessions": f"""select "matchId", "playerId", first_ts,
       last_ts + interval 6 days as closed_ts, {_COUNTERS}
@@ -398,7 +412,7 @@ BODIES = {
       coalesce("foulLoss", 0) as "foulLoss", coalesce("ownGoals", 0) as "ownGoals"
       from contrib c left join counted r on r."matchId" = c."matchId" and r."playerId" = c."playerId"
       where c."matchId" in (
-        select matchday * 100000 + user_id // 14 from fx_raw
+        select user_id // 14 * 100000 + matchday from fx_raw
           join (select event_id, user_id from events) using (event_id)
         group by 1 having max(ts) + interval 6 days <= (select max(ts) - interval 1 hour from events))""",
     "stream_match_intake": _MATCHES,

@@ -283,16 +283,16 @@ def chemistry_as_of(b: Bridge) -> DataFrame:
 
 def prediction_season(b: Bridge) -> Season:
     """Season whose ratings, names and chemistry are tables."""
-    return b.lineup_season.with_stored("history", "rated_names", "chemistry")
+    return b.lineup_season.with_stored("counts", "history", "profiles", "rated_names", "chemistry")
 
 
-def without_rookies(b: Bridge) -> DataFrame:
-    """Requests that name only players with enough matches; the clustering has no say in them."""
-    return b.requests.where((F.col("req_type") != 1) | (F.col("request_seq") % 10 != 1))
+def clusters(b: Bridge) -> DataFrame:
+    """Clusters that SQL can make too, in place of the fit."""
+    return b.players.select("Id", (F.col("Id") % 5).cast("int").alias("prediction"))
 
 
 def judged(b: Bridge, season: Season) -> DataFrame:
-    return answers.judged_squads(without_rookies(b), season, smoothing=False)
+    return answers.judged_squads(b.requests, season, clusters=clusters(b))
 
 
 @query
@@ -311,7 +311,7 @@ def squad_roles(b: Bridge) -> DataFrame:
 
 @query
 def squad_validity(b: Bridge) -> DataFrame:
-    return judged(b, b.lineup_season.with_stored("rated_names")).select(
+    return judged(b, b.lineup_season.with_stored("counts", "profiles")).select(
         "request_seq", "valid1", "valid2", "profiles", "any_missing", "retired", "eligible")
 
 
@@ -339,7 +339,7 @@ def win_chances(b: Bridge) -> DataFrame:
 
 @query
 def predict_responses(b: Bridge) -> DataFrame:
-    predictions = answers.win_predictions(without_rookies(b), prediction_season(b), smoothing=False)
+    predictions = answers.win_predictions(b.requests, prediction_season(b), clusters=clusters(b))
     return rounded(predictions, "chance1", "chance2")
 
 
@@ -353,16 +353,19 @@ def predict_smoothed(b: Bridge) -> DataFrame:
 @query
 def cluster_smoothing(b: Bridge) -> DataFrame:
     season = b.lineup_season.with_stored("counts", "profiles")
-    return smoothing.smooth_ratings(season.profiles).select(
-        "Id", "name", "numMatches", "rating", "prediction", "smoothed_rating")
+    fitted = sinks.materialise(smoothing.smooth_ratings(season.profiles), "smoothed")
+    means = fitted.groupBy("prediction").agg(F.avg("rating").alias("mean"))
+    rookie = F.col("numMatches") < 5
+    return fitted.join(means, "prediction").select(
+        "Id", "name", "numMatches", F.col("prediction").between(0, 4).alias("in_range"),
+        (rookie | (F.col("smoothed_rating") == F.col("rating"))).alias("veteran_kept"),
+        (~rookie | (F.abs(F.col("smoothed_rating") - F.col("mean")) < 1e-9)).alias("rookie_mean"))
 
 
 @query
 def player_profile(b: Bridge) -> DataFrame:
-    season = b.lineup_season.with_stored("by_name")
-    return answers.profile_answers(b.profile_requests, season.by_name).select(
-        "request_seq", "name", "role", "height", "weight", "fouls", "goals", "own_goals",
-        "percent_pass_accuracy", "percent_shots_on_target", "msg")
+    season = b.lineup_season.with_stored("counts", "by_name")
+    return answers.profile_answers(b.profile_requests, season.by_name)
 
 
 def stored_matches(b: Bridge) -> Season:
@@ -389,8 +392,8 @@ def noted_entries(b: Bridge) -> DataFrame:
 @query
 def match_goals(b: Bridge) -> DataFrame:
     return noted_entries(b).where("goals != '0' OR ownGoals != '0'").select(
-        "matchId", "name", "team", F.col("goals").cast("bigint").alias("goals"),
-        F.col("ownGoals").cast("bigint").alias("ownGoals"))
+        "matchId", "name", "team", F.col("goals").try_cast("bigint").alias("goals"),
+        F.col("ownGoals").try_cast("bigint").alias("ownGoals"))
 
 
 @query
@@ -402,11 +405,12 @@ def match_cards(b: Bridge) -> DataFrame:
 @query
 def request_dispatch(b: Bridge) -> DataFrame:
     """Requests of all types as JSON lines in, answers as JSON lines out, read back field by field."""
-    season = stored_matches(b).with_stored("counts", "history", "by_name", "chemistry")
+    season = stored_matches(b).with_stored(
+        "counts", "history", "profiles", "by_name", "chemistry")
     fields = [c for c in b.requests.columns if c != "request_seq"]
-    lines = without_rookies(b).select("request_seq", F.to_json(F.struct(*fields)).alias("value"))
+    lines = b.requests.select("request_seq", F.to_json(F.struct(*fields)).alias("value"))
     stored = sinks.materialise(lines, "requests")
-    out = answers.answer_requests(tables.number_requests(stored), season, smoothing=False)
+    out = answers.answer_requests(tables.number_requests(stored), season, clusters=clusters(b))
 
     def field(path: str):
         return F.get_json_object("response", path)

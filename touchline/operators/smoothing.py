@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import codes
+from touchline.sources.sinks import materialise
 
 # Fixed values of the model; the id is left out because it says nothing about play.
 FEATURES = [
@@ -23,7 +24,11 @@ def assign_clusters(profiles: DataFrame, features: list[str] = FEATURES) -> Data
     table rather than a long plan.
     """
     vectors = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
-    assembled = vectors.transform(profiles)
+    # The fit depends on how rows are dealt out and ordered, so both are fixed, not the cluster's.
+    dealt = profiles.repartition(codes.CLUSTER_PARTITIONS, "Id").sortWithinPartitions("Id")
+    assembled = vectors.transform(materialise(dealt, "clustering")
+                                  .repartition(codes.CLUSTER_PARTITIONS, "Id")
+                                  .sortWithinPartitions("Id"))
     model = KMeans(k=codes.CLUSTERS, seed=codes.CLUSTER_SEED, featuresCol="features").fit(assembled)
     return model.transform(assembled).drop("features")
 
@@ -32,10 +37,14 @@ def cluster_ratings(clustered: DataFrame) -> DataFrame:
     return clustered.groupBy("prediction").agg(F.avg("rating").alias("cluster_rating"))
 
 
-def smooth_ratings(profiles: DataFrame, features: list[str] = FEATURES) -> DataFrame:
+def smooth_ratings(profiles: DataFrame, features: list[str] = FEATURES,
+                   clusters: DataFrame | None = None) -> DataFrame:
     """Adds ``prediction`` and ``smoothed_rating``: the cluster's mean rating for players with
-    fewer than five matches, their own rating for everyone else."""
-    clustered = assign_clusters(profiles, features).select("Id", "prediction", "rating")
+    fewer than five matches, their own rating for everyone else. ``clusters`` (Id, prediction)
+    takes the place of the fit."""
+    if clusters is None:
+        clusters = assign_clusters(profiles, features).select("Id", "prediction")
+    clustered = profiles.select("Id", "rating").join(clusters, "Id")
     # At most one row per cluster, so the broadcast is bounded by the number of clusters.
     means = F.broadcast(cluster_ratings(clustered))
     places = clustered.select("Id", "prediction").join(means, "prediction")

@@ -26,15 +26,16 @@ def of_type(requests: DataFrame, req_type: int) -> DataFrame:
     return requests.where(F.col("req_type") == req_type)
 
 
-def judged_squads(requests: DataFrame, season: Season, smoothing: bool = True) -> DataFrame:
+def judged_squads(requests: DataFrame, season: Season, smoothing: bool = True,
+                  clusters: DataFrame | None = None) -> DataFrame:
     """Squads of all prediction requests with the verdict on each.
 
     With ``smoothing`` the rating of players with few matches is their cluster's mean; the
-    clustering is fitted once for all requests. It can be left out when no such player is asked
-    for.
+    clustering is fitted once for all requests, or given as (Id, prediction). It can be left out
+    when no such player is asked for.
     """
     if smoothing:
-        smoothed = smooth_ratings(season.profiles).select(
+        smoothed = smooth_ratings(season.profiles, clusters=clusters).select(
             "name", "Id", "role", F.col("smoothed_rating").alias("rating"))
         named = materialise(first_by_name(smoothed), "smoothed-names")
     else:
@@ -42,10 +43,11 @@ def judged_squads(requests: DataFrame, season: Season, smoothing: bool = True) -
     return squads.verdict(squads.squads(squads.named_places(requests, named)))
 
 
-def win_predictions(requests: DataFrame, season: Season, smoothing: bool = True) -> DataFrame:
+def win_predictions(requests: DataFrame, season: Season, smoothing: bool = True,
+                    clusters: DataFrame | None = None) -> DataFrame:
     """Winning chances per request, or the message why there are none."""
     asked = of_type(requests, WIN_PREDICTION)
-    judged = judged_squads(asked, season, smoothing)
+    judged = judged_squads(asked, season, smoothing, clusters)
     chances = squads.win_chances(squads.team_strengths(judged, season.chemistry))
     verdicts = judged.select("request_seq", "msg", "detail")
     valid = F.col("msg").isNull()
@@ -90,7 +92,10 @@ def report_entries(matches: DataFrame, players: DataFrame, teams: DataFrame) ->
         "goals != '0' OR ownGoals != '0' OR yellowCards != '0' OR redCards != '0'")
     names = players.select(F.col("Id").alias("playerId"), F.col("name").alias("player"))
     team_names = teams.select(F.col("Id").alias("teamId"), F.col("name").alias("team"))
-    return noted.join(names, "playerId").join(team_names, "teamId")
+    # Someone missing from a table is reported under the id.
+    return (noted.join(names, "playerId", "left").join(team_names, "teamId", "left")
+            .withColumn("player", F.coalesce("player", F.col("playerId").cast("string")))
+            .withColumn("team", F.coalesce("team", F.col("teamId").cast("string"))))
 
 
 def report_lists(entries: DataFrame) -> DataFrame:
@@ -103,10 +108,11 @@ def report_lists(entries: DataFrame) -> DataFrame:
     grouped = entries.groupBy("matchId").agg(F.array_sort(F.collect_list(row)).alias("rows"))
 
     def scorers(count: str):
-        hits = F.filter("rows", lambda r: r[count] != "0")
+        # Only numbers above 0 count; the feed also has texts such as "null".
+        hits = F.filter("rows", lambda r: r[count].try_cast("int") > 0)
         return F.transform(hits, lambda r: F.struct(
             r["player"].alias("name"), r["team"].alias("team"),
-            r[count].cast("int").alias("number_of_goals")))
+            r[count].try_cast("int").alias("number_of_goals")))
 
     def carded(card: str):
         return F.transform(F.filter("rows", lambda r: r[card] != "0"), lambda r: r["player"])
@@ -159,11 +165,13 @@ def match_reports(requests: DataFrame, season: Season) -> DataFrame:
 def _answer(fields: DataFrame, req_type: int, body: list) -> DataFrame:
     """JSON answer per request: the body, or only the message."""
     message = F.to_json(F.struct("msg"))
-    answer = F.when(F.col("msg").isNotNull(), message).otherwise(F.to_json(F.struct(*body)))
+    answer = F.when(F.col("msg").isNotNull(), message).otherwise(
+        F.to_json(F.struct(*body), {"ignoreNullFields": "false"}))
     return fields.select("request_seq", F.lit(req_type).alias("req_type"), answer.alias("response"))
 
 
-def answer_requests(requests: DataFrame, season: Season, smoothing: bool = True) -> DataFrame:
+def answer_requests(requests: DataFrame, season: Season, smoothing: bool = True,
+                    clusters: DataFrame | None = None) -> DataFrame:
     """Every request with its JSON answer, whatever its type."""
     teams = [F.struct(F.col(f"name{t}").alias("name"), F.col(f"chance{t}").alias("winning chance"))
              .alias(f"team{t}") for t in (1, 2)]
@@ -173,7 +181,7 @@ def answer_requests(requests: DataFrame, season: Season, smoothing: bool = True)
         "request_seq", "req_type", F.to_json(F.struct(F.lit("Invalid request").alias("msg")))
         .alias("response"))
     return (
-        _answer(win_predictions(requests, season, smoothing), WIN_PREDICTION, teams)
+        _answer(win_predictions(requests, season, smoothing, clusters), WIN_PREDICTION, teams)
         .unionByName(_answer(profile_answers(requests, season.by_name), PLAYER_PROFILE,
                              [F.col(c) for c in PROFILE_FIELDS]))
         .unionByName(_answer(match_reports(requests, season), MATCH_REPORT,

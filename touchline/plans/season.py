@@ -32,7 +32,7 @@ class Season:
     @classmethod
     def from_lines(cls, lines: DataFrame, players: DataFrame, teams: DataFrame) -> Season:
         """Season from the raw feed; a header that was sent again counts once."""
-        matches = records.read_matches(lines).dropDuplicates(["wyId"])
+        matches = records.newest_matches(records.read_matches(lines))
         return cls(players, teams, matches, records.read_events(lines))
 
     @cached_property
@@ -88,6 +88,11 @@ class Season:
         """The little of a profile that a prediction needs."""
         return profiles.first_by_name(self.profiles.select("name", "Id", "role", "rating"))
 
+    @cached_property
+    def kept(self) -> set[str]:
+        """Names of the stages that are tables."""
+        return set()
+
     def with_stored(self, *stages: str) -> Season:
         """The same season with the named stages written to the shared folder and read back.
 
@@ -97,6 +102,10 @@ class Season:
         made from them.
         """
         stored = replace(self)
+        # Earlier stored stages stay; plans are made anew, over what is stored by then.
+        stored.__dict__.update({n: self.__dict__[n] for n in self.kept})
+        stored.__dict__["kept"] = set(self.kept)
         for name in stages:
             stored.__dict__[name] = materialise(getattr(stored, name), name)
+            stored.kept.add(name)
         return stored

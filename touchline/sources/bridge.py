@@ -1,6 +1,7 @@
 """The general test tables seen as football.
 
-Customers become players in teams of fourteen, suppliers give the teams their names, and the
+Customers become players in teams of fourteen (the last may be smaller), suppliers give the teams
+their names, and the
 five kinds of stream events become the five event classes. Matchdays last six days; the teams
 ``2m + 1`` and ``2m + 2`` always meet. Slots 0 to 10 start, 11 replaces 10, 12 replaces 11,
 and 13 never plays.
@@ -21,6 +22,8 @@ from touchline.plans.season import Season
 SQUAD = 14
 MATCHDAY_DAYS = 6
 FIRST_DAY = "2024-01-01"
+#: More than there are matchdays, so that the ids of two pairs of teams never meet.
+DAYS_APART = 100000
 
 # Fixed format: the columns of the test tables that are used.
 SCHEMAS = {
@@ -58,7 +61,7 @@ def typed_events(raw: DataFrame) -> DataFrame:
         " AS matchday")
     return keyed.selectExpr(
         "event_id", "ts", "playerId", f"playerId DIV {SQUAD} + 1 AS teamId", "matchday",
-        f"matchday * 100000L + playerId DIV {2 * SQUAD} AS matchId",
+        f"playerId DIV {2 * SQUAD} * {DAYS_APART}L + matchday AS matchId",
         f"{CLASS} AS eventId",
         f"IF(event_type = 'signup' AND k % 5 = 0, {codes.PENALTY}, 0) AS subEventId",
         f"array_compact(array({OUTCOME}, {EXTRA}, {OWN_GOAL})) AS tag_ids")
@@ -84,21 +87,20 @@ class Bridge:
             return reader.parquet(path)
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
 
-    @cached_property
-    def _team_count(self) -> Column:
-        """Even number of complete teams, as a scalar subquery."""
-        top = 2 * (F.max("user_id") + 1)
-        return self.table("events").select(
-            (2 * F.floor(top / (2 * SQUAD))).alias("n")).scalar()
-
     @cached_property
     def teams(self) -> DataFrame:
-        suppliers = self.table("supplier").where(F.col("s_suppkey") < self._team_count)
-        return suppliers.select((F.col("s_suppkey") + 1).alias("Id"), F.col("s_name").alias("name"))
+        """All suppliers, and the teams of customers that no supplier gives a name."""
+        named = self.table("supplier").select(
+            (F.col("s_suppkey") + 1).alias("Id"), F.col("s_name").alias("name"))
+        playing = self.table("customer").select(
+            F.expr(f"c_custkey DIV {SQUAD} + 1").alias("Id")).distinct()
+        unnamed = playing.join(named, "Id", "left_anti").select(
+            "Id", F.concat(F.lit("Team "), F.col("Id").cast("string")).alias("name"))
+        return named.unionByName(unnamed)
 
     @cached_property
     def players(self) -> DataFrame:
-        customers = self.table("customer").where(F.col("c_custkey") < self._team_count * SQUAD)
+        customers = self.table("customer")
         slot = f"CAST(c_custkey % {SQUAD} AS INT)"
         return customers.selectExpr(
             "c_custkey AS Id", "c_name AS name", f"c_custkey DIV {SQUAD} + 1 AS teamId",
@@ -119,19 +121,22 @@ class Bridge:
         return typed_events(self.stream("events")).withColumn(
             "ts", F.col("ts").cast("timestamp"))
 
-    @cached_property
-    def _matchdays(self) -> Column:
-        """Matchdays on which a known player had an event: one small array."""
-        seen = self.events.select("matchday", "playerId").distinct()
-        days = of_known_players(seen, self.players)
-        return days.agg(F.array_sort(F.collect_set("matchday")).alias("days")).scalar()
-
     @cached_property
     def sheets(self) -> DataFrame:
-        """Line-ups and substitutions of every team on every matchday, without scores."""
+        """Line-ups and substitutions of both teams of every match, without scores.
+
+        Two teams meet on the matchdays on which one of their players has an event; a last team
+        without an opponent never plays.
+        """
         squads = self.players.groupBy("teamId").agg(
             F.expr("array_sort(collect_list(struct(slot, Id AS playerId))) AS squad"))
-        days = squads.select("teamId", "squad", F.explode(self._matchdays).alias("matchday"))
+        pair = F.expr("(teamId - 1) DIV 2").alias("pair")
+        paired = squads.select("teamId", "squad", pair).join(
+            squads.groupBy(pair).count().where("count = 2").select("pair"), "pair", "left_semi")
+        played = of_known_players(
+            self.events.select("playerId", "matchday", pair).distinct(), self.players
+        ).select("pair", "matchday").distinct()
+        days = paired.join(played, "pair")
 
         def part(cond: str) -> str:
             return f"transform(filter(squad, s -> {cond}), s -> struct(s.playerId AS playerId))"
@@ -144,7 +149,7 @@ class Bridge:
                     f" matchday + {minute} AS minute)")
 
         return days.selectExpr(
-            "matchday * 100000L + (teamId - 1) DIV 2 AS matchId",
+            f"(teamId - 1) DIV 2 * {DAYS_APART}L + matchday AS matchId",
             f"date_add(DATE'{FIRST_DAY}', matchday * {MATCHDAY_DAYS}) AS match_date",
             "true AS both_formed", "teamId", "matchday",
             f"struct({part('s.slot > 10')} AS bench, {part('s.slot <= 10')} AS lineup,"
@@ -208,7 +213,7 @@ class Bridge:
             f"CAST(map({team('home')}, {team('away')}) AS {schemas.MATCH['teamsData']}) AS teamsData")
         # One match that was never played, so that its status is always among the answers.
         suspended = self.spark.range(1).selectExpr(
-            "99900000L AS wyId", "'Suspended' AS status",
+            f"{DAYS_APART - 1}L AS wyId", "'Suspended' AS status",
             "'January 31, 2024 at 3:00:00 PM GMT' AS date", "'Suspended fixture, 0 - 0' AS label",
             "'Regular' AS duration", "0L AS winner", "'Ground 0' AS venue", "6 AS gameweek",
             f"CAST(map() AS {schemas.MATCH['teamsData']}) AS teamsData")
@@ -223,14 +228,18 @@ class Bridge:
 
     @cached_property
     def prediction_requests(self) -> DataFrame:
-        """Five prediction requests per pair of teams: the starters; a squad with a player who
+        """Five prediction requests per pair of full teams: the starters; a squad with a player who
         never played; a repeated name; an unknown name; no keeper."""
         squads = self.players.groupBy("teamId").agg(F.expr(
             "transform(array_sort(collect_list(struct(slot, name))), s -> s.name) AS names"))
+        squads = squads.where(F.size("names") == SQUAD)
         pairs = squads.groupBy(F.expr("(teamId - 1) DIV 2 AS m")).agg(
+            F.count("*").alias("sides"),
             F.expr("max(IF(teamId % 2 = 1, names, NULL)) AS names1"),
             F.expr("max(IF(teamId % 2 = 0, names, NULL)) AS names2"))
 
+        pairs = pairs.where("sides = 2")
+
         def squad(team: int, swaps: dict[int, str]) -> str:
             places = [f"{swaps.get(i, f'get(names{team}, {i})')} AS {slot}"
                       for i, slot in enumerate(schemas.SQUAD_SLOTS)]
@@ -255,23 +264,23 @@ class Bridge:
     def profile_requests(self) -> DataFrame:
         """One request per player name, and one for a name nobody has."""
         named = self._plain_requests(
-            self.players, F.col("Id") + 1000000000, 2, name=F.col("name"))
+            self.players, F.col("Id") + 10**15, 2, name=F.col("name"))
         return named.unionByName(self._plain_requests(
-            self.spark.range(1), F.lit(1999999999), 2, name=F.lit("No Such Player")))
+            self.spark.range(1), F.lit(2 * 10**15 - 1), 2, name=F.lit("No Such Player")))
 
     @cached_property
     def report_requests(self) -> DataFrame:
         """One request per match, and one for a match that does not exist."""
         asked = self._plain_requests(
-            self.match_records, F.col("wyId") + 2000000000, 3,
+            self.match_records, F.col("wyId") + 2 * 10**15, 3,
             date=text.iso_date(F.col("match_date")), label=F.col("label"))
         return asked.unionByName(self._plain_requests(
-            self.spark.range(1), F.lit(2999999999), 3,
+            self.spark.range(1), F.lit(3 * 10**15 - 1), 3,
             date=F.lit("2024-01-01"), label=F.lit("No Such Match")))
 
     @cached_property
     def requests(self) -> DataFrame:
         """All of the above and one of an unknown type."""
-        unknown = self._plain_requests(self.spark.range(1), F.lit(3000000000), 9)
+        unknown = self._plain_requests(self.spark.range(1), F.lit(3 * 10**15), 9)
         return (self.prediction_requests.unionByName(self.profile_requests)
                 .unionByName(self.report_requests).unionByName(unknown))

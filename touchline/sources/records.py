@@ -27,7 +27,9 @@ def parse_lines(lines: DataFrame, fields: dict[str, str] = schemas.RECORD) -> Da
     The record is unpacked by a generator: later filters then stay above it, where a projection
     would let every one of them parse the line again.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    # Keys in double quotes only, so that no record is parsed that ``read_matches`` passes over.
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record",
+               "allowSingleQuotes": "false"}
     passthrough = [c for c in lines.columns if c != "value"]
     record = F.from_json("value", schemas.ddl(fields), options)
     return lines.select(*passthrough, F.inline(F.array(record)))
@@ -49,6 +51,16 @@ def read_matches(lines: DataFrame) -> DataFrame:
     return route_matches(parse_lines(lines.where(likely), {**schemas.MATCH, "eventId": "INT"}))
 
 
+def newest_matches(matches: DataFrame) -> DataFrame:
+    """One record of each match: the last by ``arrival``, or, where the feed has no such column,
+    a played one before any other."""
+    order = ([F.col("arrival")] if "arrival" in matches.columns
+             else [F.coalesce(F.col("status") == "Played", F.lit(False))])
+    newest = matches.groupBy("wyId").agg(
+        F.max_by(F.struct(*matches.columns), F.struct(*order)).alias("m"))
+    return newest.select("m.*")
+
+
 def corrupt_lines(records: DataFrame) -> DataFrame:
     """Lines from which neither an event nor a match could be read."""
     lost = F.col("eventId").isNull() & F.col("wyId").isNull()

@@ -14,8 +14,12 @@ def write_responses(responses: DataFrame, path: str) -> None:
 
 
 def append_matches(stored: DataFrame, arrived: DataFrame) -> DataFrame:
-    """Match table plus newly arrived records; a re-sent header is kept once."""
-    return stored.unionByName(arrived).dropDuplicates(["wyId"])
+    """Match table plus newly arrived records; of a match sent again the arrived version counts."""
+    both = stored.withColumn("_arrived", F.lit(0)).unionByName(
+        arrived.withColumn("_arrived", F.lit(1)))
+    newest = both.groupBy("wyId").agg(
+        F.max_by(F.struct(*stored.columns), "_arrived").alias("m"))
+    return newest.select("m.*")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
