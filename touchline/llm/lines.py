@@ -157,6 +157,30 @@ def _pieces_agree(a: Column, b: Column, threshold: int) -> Column:
     return missing <= threshold
 
 
+def _common_start(a: Column, b: Column) -> Column:
+    """Characters with which both begin, from halving steps; a lower bound beyond 131,071."""
+    steps = F.array(*[F.lit(1 << k) for k in range(16, -1, -1)])
+    shorter = F.least(F.length(a), F.length(b))
+    return F.aggregate(steps, F.lit(0), lambda done, step: done + F.when(
+        (done + step <= shorter)
+        & (F.substr(a, done + 1, step) == F.substr(b, done + 1, step)), step).otherwise(0))
+
+
+def _without_common_ends(pairs: DataFrame) -> DataFrame:
+    """``norm_a`` and ``norm_b`` without their common start and end, which no edit needs."""
+    def rest(name: str) -> Column:
+        return F.substr(F.col(name), F.col("start") + 1)
+
+    cut = materialise(pairs.withColumn("start", _common_start(F.col("norm_a"), F.col("norm_b"))),
+                      "close-lines").select("a", "b", rest("norm_a").alias("norm_a"),
+                                            rest("norm_b").alias("norm_b"))
+    cut = cut.select("a", "b", F.reverse("norm_a").alias("norm_a"),
+                     F.reverse("norm_b").alias("norm_b"))
+    return materialise(cut.withColumn("start", _common_start(F.col("norm_a"), F.col("norm_b"))),
+                       "close-lines").select("a", "b", rest("norm_a").alias("norm_a"),
+                                             rest("norm_b").alias("norm_b"))
+
+
 def near_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(a, b): line ids at most ``threshold`` edits apart, from (id, norm, chars)."""
     index = distinct.select("id", F.explode(_index_keys(threshold)).alias("key"))
@@ -169,8 +193,12 @@ def near_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     both = (met.join(text.withColumnsRenamed({"id": "a", "norm": "norm_a"}), "a")
             .join(text.withColumnsRenamed({"id": "b", "norm": "norm_b"}), "b")
             .where(_pieces_agree(F.col("norm_a"), F.col("norm_b"), threshold)))
-    close = within(F.split("norm_a", ""), F.split("norm_b", ""), threshold)
-    return materialise(both, "close-lines").where(close).select("a", "b")
+    def chars(name: str) -> Column:
+        return F.when(F.col(name) == "", F.array().cast("array<string>")).otherwise(
+            F.split(name, ""))
+
+    close = within(chars("norm_a"), chars("norm_b"), threshold)
+    return materialise(_without_common_ends(both).where(close).select("a", "b"), "near-lines")
 
 
 def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
