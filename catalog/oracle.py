@@ -405,16 +405,13 @@ BODIES = {
     "stream_match_sessions": f"""select "matchId", "playerId", first_ts,
       last_ts + interval 6 days as closed_ts, {_COUNTERS}
       from counted join (select "matchId", "playerId", min(ts) as first_ts, max(ts) as last_ts
-                         from fx_events group by 1, 2) using ("matchId", "playerId")
-      where last_ts + interval 6 days <= (select max(ts) - interval 1 hour from events)""",
+                         from fx_events group by 1, 2) using ("matchId", "playerId")""",
     "stream_finished_matches": """select c."matchId", c."playerId", "teamId", match_date, played,
       round(contribution + 1e-10, 6) as contribution,
       coalesce("foulLoss", 0) as "foulLoss", coalesce("ownGoals", 0) as "ownGoals"
-      from contrib c left join counted r on r."matchId" = c."matchId" and r."playerId" = c."playerId"
-      where c."matchId" in (
-        select user_id // 14 * 100000 + matchday from fx_raw
-          join (select event_id, user_id from events) using (event_id)
-        group by 1 having max(ts) + interval 6 days <= (select max(ts) - interval 1 hour from events))""",
+      from contrib c
+        left join counted r on r."matchId" = c."matchId" and r."playerId" = c."playerId"
+      where match_date is not null""",
     "stream_match_intake": _MATCHES,
     "stream_ratings": _HISTORY,
     "stream_chemistry": _CHEMISTRY,

@@ -439,31 +439,39 @@ def stream_live_metrics(b: Bridge) -> DataFrame:
 
 @query
 def stream_match_sessions(b: Bridge) -> DataFrame:
-    """Sessions closed by the end of the stream. A matchday of the test data lasts six days."""
+    """Sessions of the stream, and those still open at its end. A matchday of the test data lasts
+    six days."""
     closed = sessions.match_sessions(b.event_stream, "6 days", "1 hour")
     rows = _run(b, "sessions", lambda path, cp: sessions.append_to(closed, path, cp))
+    stored = b.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = rows.unionByName(sessions.rest_of_sessions(stored, rows, "6 days"))
     instants = {c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "closed_ts")}
     return events.of_known_players(rows, b.players).withColumns(instants).drop(*metrics.ratios())
 
 
 @query
 def stream_match_intake(b: Bridge) -> DataFrame:
-    """Every match line arrives twice."""
+    """Every match line arrives twice; a match counts once."""
     stamped = records.match_line(b.season.matches, "match_date").select(
         F.col("match_date").cast("timestamp").alias("ts"), "value")
     path = sinks.shared_folder(b.spark, "match-lines")
     stamped.unionByName(stamped).write.parquet(path)
     lines = b.spark.readStream.schema(stamped.schema).parquet(path)
-    intake = sessions.match_intake(lines, "60 days").select(*HEADER)
-    return _run(b, "matches", lambda out, cp: sessions.append_to(intake, out, cp))
+    intake = sessions.match_intake(lines).select("arrival", *HEADER)
+    stored = _run(b, "matches", lambda out, cp: sessions.append_to(intake, out, cp))
+    return records.newest_matches(stored).select(*HEADER)
 
 
 @query
 def stream_finished_matches(b: Bridge) -> DataFrame:
-    """Career rows of the matches that are over by the end of the stream."""
+    """Career rows of all matches, those still open at the end of the stream included."""
     quiet = finalise.quiet_matches(b.event_stream, "6 days", "1 hour")
-    rows = _run(b, "finished", lambda path, cp: finalise.write_finished(
-        quiet, lambda: b.lineup_season, path, cp))
+    folder = sinks.shared_folder(b.spark, "finished")
+    path = f"{folder}/data"
+    sessions.finish(finalise.write_finished(
+        quiet, lambda: b.lineup_season, path, f"{folder}/checkpoint"))
+    finalise.write_rest(b.lineup_season, b.spark.read.parquet(path), path)
+    rows = finalise.newest_rows(b.spark.read.parquet(path))
     return rounded(rows.select(*KEYS, "teamId", "match_date", "played", "contribution", "foulLoss",
                                "ownGoals"), "contribution")
 
@@ -487,7 +495,9 @@ def stream_ratings(b: Bridge) -> DataFrame:
 
 @query
 def stream_chemistry(b: Bridge) -> DataFrame:
-    lines = b.spark.readStream.schema(ratings.OUTPUT).parquet(_rating_lines(b))
-    deltas = chemistry_stream.delta_stream(ratings.applied(lines))
-    stored = _run(b, "deltas", lambda path, cp: sessions.append_to(deltas, path, cp))
-    return rounded(chemistry.chemistry_table(stored), "chemistry")
+    path = _rating_lines(b)
+    lines = b.spark.readStream.schema(ratings.OUTPUT).parquet(path)
+    stored = _run(b, "deltas", lambda out, cp: chemistry_stream.write_deltas(
+        lines, lambda: ratings.applied(b.spark.read.parquet(path)), out, cp))
+    deltas = chemistry_stream.newest_deltas(stored)
+    return rounded(chemistry.chemistry_table(deltas), "chemistry")

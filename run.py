@@ -7,54 +7,139 @@ answers a file of requests from those tables or straight from a feed.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from touchline import Season, schemas
 from touchline.operators.events import of_known_players
+from touchline.operators.metrics import COUNTERS
 from touchline.plans.requests import answer_requests
 from touchline.sources import records, sinks, tables
-from touchline.streaming import counters, sessions
+from touchline.streaming import chemistry, counters, finalise, ratings, sessions
+
+_FINISHED = ("playerId BIGINT, matchId BIGINT, teamId BIGINT, match_date DATE, played BOOLEAN,"
+             " in_chemistry BOOLEAN, contribution DOUBLE, foulLoss BIGINT, ownGoals BIGINT")
+#: What ``ingest`` keeps. Tables with a ``batch_id`` have a folder for each batch.
+TABLES = {
+    "matches": f"arrival TIMESTAMP, {schemas.ddl(schemas.MATCH)}, match_date DATE",
+    "events": ("ts TIMESTAMP, matchId BIGINT, playerId BIGINT, eventId INT, subEventId INT,"
+               " tag_ids ARRAY<INT>"),
+    "corrupt": "_corrupt_record STRING",
+    "counts": f"matchId BIGINT, playerId BIGINT, {', '.join(f'{c} BIGINT' for c in COUNTERS)},"
+              " batch_id BIGINT",
+    "finished": f"{_FINISHED}, batch_id BIGINT",
+    "ratings": ratings.OUTPUT,
+    "deltas": ("player1 BIGINT, player2 BIGINT, matchId BIGINT, match_date DATE,"
+               " same_team BOOLEAN, delta DOUBLE, batch_id BIGINT"),
+}
+
+
+class Store:
+    """The tables below a folder."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def create(self) -> None:
+        """Empty tables where there are none yet, so that all can be read."""
+        for name, schema in TABLES.items():
+            by = ["batch_id"] if "batch_id" in schema else []
+            self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*by).parquet(
+                f"{self.folder}/{name}")
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}")
+
+    def follow(self, name: str) -> DataFrame:
+        return self.spark.readStream.schema(TABLES[name]).parquet(f"{self.folder}/{name}")
+
+    def place(self, name: str) -> tuple[str, str]:
+        return f"{self.folder}/{name}", f"{self.folder}/_checkpoints/{name}"
+
+    def matches(self) -> DataFrame:
+        return records.newest_matches(self.read("matches")).drop("arrival")
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Feed to ``matches``, ``events`` and ``live`` tables below ``--tables``."""
+    """Keeps all tables below ``--tables`` up to date.
+
+    Every table is made from those before it. With ``--once`` they are brought up to date one after
+    the other; else each follows the ones it is made from, batch by batch.
+    """
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    store = Store(spark, args.tables)
+    store.create()
     options = dict(pair.split("=", 1) for pair in args.option)
-    lines = records.line_stream(spark, args.source, **options).withColumn(
-        "ts", F.current_timestamp())
     players = tables.read_players(spark, args.players)
-    events = records.read_events(lines)
-    known = of_known_players(events, players).select("ts", "matchId", "playerId", "eventId",
-                                                     "subEventId", "tag_ids")
-
-    def place(name: str) -> tuple[str, str]:
-        return f"{args.tables}/{name}", f"{args.tables}/_checkpoints/{name}"
-
-    queries = [
-        sessions.append_to(sessions.match_intake(lines), *place("matches"), args.once),
-        sessions.append_to(known, *place("events"), args.once),
-        counters.write_batches(counters.live_counts(events), *place("live"), args.once),
+    teams = None  # nothing below needs their names
+
+    def lines() -> DataFrame:
+        return records.line_stream(spark, args.source, **options).withColumn(
+            "ts", F.current_timestamp())
+
+    def known_events() -> DataFrame:
+        return of_known_players(records.read_events(lines()), players).select(
+            "ts", "matchId", "playerId", "eventId", "subEventId", "tag_ids")
+
+    def season() -> Season:
+        return Season(players, teams, store.matches(), store.read("events"))
+
+    def keep(name: str, stream: Callable[[], DataFrame]) -> StreamingQuery:
+        return sessions.append_to(stream(), *store.place(name), args.once)
+
+    def rated() -> StreamingQuery:
+        return keep("ratings", lambda: ratings.rating_stream(store.follow("finished")))
+
+    def changed() -> StreamingQuery:
+        return chemistry.write_deltas(
+            store.follow("ratings"), lambda: ratings.applied(store.read("ratings")),
+            *store.place("deltas"), args.once)
+
+    steps: list[Callable[[], StreamingQuery]] = [
+        lambda: keep("matches", lambda: sessions.match_intake(lines()).select(
+            "arrival", *schemas.MATCH, "match_date")),
+        lambda: keep("events", known_events),
+        lambda: keep("corrupt", lambda: records.corrupt_lines(records.parse_lines(lines()))),
+        lambda: counters.write_counts(store.follow("events"), *store.place("counts"), args.once),
+        lambda: finalise.write_finished(
+            finalise.quiet_matches(store.follow("events"), args.gap, args.delay), season,
+            *store.place("finished"), args.once),
+        rated, changed,
     ]
-    for query in queries:
-        sessions.finish(query)
+    if args.once:
+        for start in steps:
+            sessions.finish(start())
+        if args.end:
+            finalise.write_rest(season(), store.read("finished"), store.place("finished")[0])
+            for start in (rated, changed):
+                sessions.finish(start())
+    else:
+        for query in [start() for start in steps]:
+            sessions.finish(query)
 
 
 def stored_season(spark: SparkSession, args: argparse.Namespace) -> Season:
+    """The season from the kept tables (raw events are not read), or from a feed."""
     players = tables.read_players(spark, args.players)
     teams = tables.read_teams(spark, args.teams)
     if args.feed:
         return Season.from_lines(spark.read.text(args.feed), players, teams)
-    matches = spark.read.schema(
-        f"ts TIMESTAMP, {schemas.ddl(schemas.MATCH)}, match_date DATE").parquet(
-        f"{args.tables}/matches").drop("ts")
-    events = spark.read.parquet(f"{args.tables}/events")
-    return Season(players, teams, matches.dropDuplicates(["wyId"]), events)
+    store = Store(spark, args.tables)
+    lines = store.read("ratings")
+    history = sinks.materialise(
+        ratings.repaired(lines, finalise.newest_rows(store.read("finished"))), "history")
+    late = ratings.to_repair(lines).select("playerId").distinct()
+    deltas = chemistry.repaired(chemistry.newest_deltas(store.read("deltas")), history, late)
+    return Season(players, teams, store.matches(), events=None).with_given(
+        counts=counters.read_counts(store.read("counts")), history=history, deltas=deltas)
 
 
 def answer(spark: SparkSession, args: argparse.Namespace) -> None:
     season = stored_season(spark, args).with_stored(
-        "counts", "history", "chemistry", "profiles", "by_name")
+        "counts", *([] if args.tables else ["history"]), "chemistry", "profiles", "by_name")
     requests = tables.read_requests(spark, args.requests)
     sinks.write_responses(answer_requests(requests, season), args.out)
 
@@ -66,12 +151,17 @@ def main(arguments: list[str] | None = None) -> None:
     take.add_argument("--source", default="text", help="streaming source: text, kafka, socket ...")
     take.add_argument("--option", action="append", default=[], help="source option, key=value")
     take.add_argument("--once", action="store_true", help="take what is there and stop")
+    take.add_argument("--end", action="store_true",
+                      help="with --once: the feed is over, finish the matches still open")
+    take.add_argument("--gap", default="3 hours", help="quiet time after which a match is over")
+    take.add_argument("--delay", default="10 minutes", help="how late events may be")
     take.add_argument("--tables", required=True)
     take.add_argument("--players", required=True)
     take.set_defaults(run=ingest)
     reply = commands.add_parser("answer")
-    reply.add_argument("--tables")
-    reply.add_argument("--feed", help="line feed to read instead of the tables")
+    source = reply.add_mutually_exclusive_group(required=True)
+    source.add_argument("--tables")
+    source.add_argument("--feed", help="line feed to read instead of the tables")
     for name in ("--players", "--teams", "--requests", "--out"):
         reply.add_argument(name, required=True)
     reply.set_defaults(run=answer)

@@ -14,6 +14,7 @@ def local_session(cpus: str | None = None, partitions: str = "8", **more: str) -
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.host", "127.0.0.1").config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")

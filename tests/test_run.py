@@ -26,15 +26,28 @@ def test_feed_to_answers(spark, tmp_path):
             records += [fx.event(i, 8, (1801,), match=m), fx.event(i, 1, (703,), match=m),
                         fx.event(i, 10, (1801,), match=m), fx.event(i, 3, (1801,), match=m)]
     (tmp_path / "feed").mkdir()
-    (tmp_path / "feed" / "lines.txt").write_text("".join(json.dumps(r) + "\n" for r in records))
+    half = len(records) // 2
+
+    def send(name, rows):
+        (tmp_path / "feed" / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
     requests = [fx.prediction([f"P{i}" for i in range(1, 12)], [f"P{i}" for i in range(12, 23)]),
                 {"req_type": 2, "name": "P3"}, {"req_type": 3, "date": "2018-05-02", "label": "Game 2"},
                 {"req_type": 7}]
     (tmp_path / "requests.txt").write_text("".join(json.dumps(r) + "\n" for r in requests))
 
     files = ["--players", f"{tmp_path}/players.csv"]
-    run.main(["ingest", "--once", "--option", f"path={tmp_path}/feed", "--tables",
-              f"{tmp_path}/tables", *files])
+    take = ["ingest", "--once", "--end", "--option", f"path={tmp_path}/feed", "--tables",
+            f"{tmp_path}/tables", *files]
+    # The second half comes first, and one match is cut in two: late matches and a pause.
+    send("a.txt", [*records[half - 20:], "no record"])
+    run.main(take)
+    send("b.txt", records[:half - 20])
+    run.main(take)
+    corrupt = spark.read.parquet(f"{tmp_path}/tables/corrupt").collect()
+    assert [r[0] for r in corrupt] == ['"no record"']
+    # Answers come from what is kept.
+    spark.createDataFrame([], run.TABLES["events"]).write.mode("overwrite").parquet(
+        f"{tmp_path}/tables/events")
     common = [*files, "--teams", f"{tmp_path}/teams.csv", "--requests", f"{tmp_path}/requests.txt"]
     run.main(["answer", "--tables", f"{tmp_path}/tables", "--out", f"{tmp_path}/out1", *common])
     run.main(["answer", "--feed", f"{tmp_path}/feed", "--out", f"{tmp_path}/out2", *common])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests import fixtures as fx
 from touchline.operators import chemistry, metrics
+from touchline.operators.ratings import rating_history
 from touchline.sources import records
 from touchline.sources.sinks import shared_folder
 from touchline.streaming import chemistry as chemistry_stream
@@ -62,17 +63,43 @@ def test_a_match_is_final_when_it_has_gone_quiet(spark):
     got = run(spark, lambda p, c: sessions.append_to(closed, p, c)).orderBy("matchId").collect()
     assert [(r.matchId, r.normalPasses) for r in got] == [(1, 2), (2, 1)]
     assert got[0].passAccuracy == 0.5
+    closed_rows = spark.createDataFrame(got)
+    rest = sessions.rest_of_sessions(typed, closed_rows, "3 hours").collect()
+    assert [(r.matchId, r.playerId) for r in rest] == [(3, 1)]
 
 
-def test_match_records_are_taken_in_once(spark):
+def test_chemistry_of_matches_in_any_order(spark):
+    source, out = folder(spark), folder(spark)
+    for day in (1, 20, 10):
+        rows = finished(spark, day, [(1, 0.8), (2, 0.2), (3, 0.5)]).selectExpr(
+            "playerId", "matchId", "match_date", "teamId", "in_chemistry", "contribution",
+            "0D AS performance", "0.5D AS previous_rating", "contribution AS rating",
+            "1L AS numMatches", "0L AS careerFouls", "0L AS careerOwnGoals", "false AS late")
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(ratings.OUTPUT).parquet(source)
+        stored = run(spark, lambda p, c: chemistry_stream.write_deltas(
+            stream, lambda: ratings.applied(spark.read.parquet(source)), p, c), out)
+    got = chemistry_stream.newest_deltas(stored)
+    want = chemistry.chemistry_deltas(spark.read.parquet(source))
+    names = ["matchId", "player1", "player2", "delta"]
+    assert got.count() == 9
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(
+        map(tuple, want.select(*names).collect()))
+
+
+def test_the_newest_version_of_a_match_record_counts(spark):
     source = folder(spark)
-    rows = [(dt.datetime(2018, 5, 13, 12), json.dumps(fx.match(m, []))) for m in (1, 2, 1, 1)]
+    sent = [(1, "Postponed"), (2, "Played"), (1, "Postponed"), (1, "Played")]
+    rows = [(dt.datetime(2018, 5, 13, 12 + i), json.dumps(fx.match(m, []) | {"status": status}))
+            for i, (m, status) in enumerate(sent)]
     frame = spark.createDataFrame(rows, "ts TIMESTAMP, value STRING")
     frame.write.parquet(source)
     stream = spark.readStream.schema(frame.schema).parquet(source)
-    intake = sessions.match_intake(stream).select("wyId", "match_date")
-    got = run(spark, lambda p, c: sessions.append_to(intake, p, c))
-    assert sorted(map(tuple, got.collect())) == [(1, dt.date(2018, 5, 13)), (2, dt.date(2018, 5, 13))]
+    intake = sessions.match_intake(stream).select("arrival", "wyId", "status", "match_date")
+    stored = run(spark, lambda p, c: sessions.append_to(intake, p, c))
+    got = records.newest_matches(stored).select("wyId", "status", "match_date").collect()
+    day = dt.date(2018, 5, 13)
+    assert sorted(map(tuple, got)) == [(1, "Played", day), (2, "Played", day)]
 
 
 def test_line_stream_reads_text(spark, tmp_path):
@@ -111,12 +138,24 @@ def test_rating_state_outlives_the_run_and_marks_late_matches(spark):
     assert (got[1, 5].numMatches, got[1, 5].careerFouls) == (2, 2)
     assert list(map(tuple, ratings.to_repair(lines).collect())) == [(1, 4, dt.date(2018, 5, 4))]
 
-    deltas = chemistry_stream.delta_stream(
-        ratings.applied(spark.readStream.schema(ratings.OUTPUT).parquet(f"{out}/data")))
-    stored = run(spark, lambda p, c: sessions.append_to(deltas, p, c))
-    streamed = chemistry.chemistry_table(stored).collect()
-    batch = chemistry.chemistry_table(chemistry.chemistry_deltas(ratings.applied(lines))).collect()
-    assert [tuple(r) for r in streamed] == [pytest.approx(tuple(r)) for r in batch]
+    everything = spark.read.parquet(source)
+    batch = rating_history(everything)
+    names = ["playerId", "matchId", "rating", "numMatches", "careerFouls"]
+
+    def ordered(frame, *columns):
+        return [pytest.approx(tuple(r)) for r in frame.select(*columns).orderBy(*columns[:2]).collect()]
+
+    mended = ratings.repaired(lines, everything)
+    assert [tuple(r) for r in mended.select(*names).orderBy(*names[:2]).collect()] == ordered(batch, *names)
+
+    stream = spark.readStream.schema(ratings.OUTPUT).parquet(f"{out}/data")
+    stored = chemistry_stream.newest_deltas(run(spark, lambda p, c: chemistry_stream.write_deltas(
+        stream, lambda: ratings.applied(spark.read.parquet(f"{out}/data")), p, c)))
+    late = ratings.to_repair(lines).select("playerId").distinct()
+    streamed = chemistry.chemistry_table(chemistry_stream.repaired(stored, mended, late))
+    whole = chemistry.chemistry_table(chemistry.chemistry_deltas(batch))
+    pair = ["player1", "player2", "chemistry"]
+    assert [tuple(r) for r in streamed.select(*pair).orderBy(*pair).collect()] == ordered(whole, *pair)
 
 
 def test_stop_commits_what_has_arrived(spark):

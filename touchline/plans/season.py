@@ -93,6 +93,14 @@ class Season:
         """Names of the stages that are tables."""
         return set()
 
+    def with_given(self, **tables: DataFrame) -> Season:
+        """The same season with stages that are at hand as tables. Earlier ones stay; all other
+        plans are made anew over them."""
+        given = replace(self)
+        given.__dict__.update({n: self.__dict__[n] for n in self.kept}, **tables)
+        given.__dict__["kept"] = self.kept | set(tables)
+        return given
+
     def with_stored(self, *stages: str) -> Season:
         """The same season with the named stages written to the shared folder and read back.
 
@@ -101,10 +109,7 @@ class Season:
         name or pair that a large share of the requests ask for. Name inputs before the stages
         made from them.
         """
-        stored = replace(self)
-        # Earlier stored stages stay; plans are made anew, over what is stored by then.
-        stored.__dict__.update({n: self.__dict__[n] for n in self.kept})
-        stored.__dict__["kept"] = set(self.kept)
+        stored = self.with_given()
         for name in stages:
             stored.__dict__[name] = materialise(getattr(stored, name), name)
             stored.kept.add(name)

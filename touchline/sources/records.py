@@ -52,10 +52,10 @@ def read_matches(lines: DataFrame) -> DataFrame:
 
 
 def newest_matches(matches: DataFrame) -> DataFrame:
-    """One record of each match: the last by ``arrival``, or, where the feed has no such column,
-    a played one before any other."""
-    order = ([F.col("arrival")] if "arrival" in matches.columns
-             else [F.coalesce(F.col("status") == "Played", F.lit(False))])
+    """One record of each match: the last by ``arrival``, and where the feed has no such column, or
+    several arrived at once, a played one before any other."""
+    order = [F.col(c) for c in ("arrival",) if c in matches.columns]
+    order.append(F.coalesce(F.col("status") == "Played", F.lit(False)))
     newest = matches.groupBy("wyId").agg(
         F.max_by(F.struct(*matches.columns), F.struct(*order)).alias("m"))
     return newest.select("m.*")

@@ -1,31 +1,52 @@
-"""Chemistry of a stream: changes are appended, values are summed when read.
+"""Chemistry of a stream: changes are stored by match, values are summed when read.
 
-Changes of a pair only ever add up, so there is nothing to update in place. The two sides of a
-match meet in a stream-stream join that the watermark on the match date cleans up.
+With every batch of rating lines, the changes of the matches in it are computed from all lines
+stored for those matches. So it doesn't matter how late or in how many parts the lines of a match
+come, and there is no state and no watermark that could drop one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from touchline.operators.chemistry import chemistry_deltas
+from touchline.streaming.counters import trigger
+
+
+def deltas_of(lines: DataFrame, over: DataFrame) -> DataFrame:
+    """Signed change per pair in the given matches."""
+    ids = over.select("matchId").distinct()
+    return chemistry_deltas(lines.join(ids, "matchId", "left_semi"))
+
+
+def write_deltas(stream: DataFrame, lines: Callable[[], DataFrame], path: str, checkpoint: str,
+                 once: bool = True) -> StreamingQuery:
+    """Start a query that stores the changes, one folder per batch.
+
+    ``stream`` reads the stored rating lines, ``lines`` gives those stored by now.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        # Matches of a batch lie close together: their dates prune the scan of the lines.
+        first, last = batch.agg(F.min("match_date"), F.max("match_date")).first()
+        near = lines().where(F.col("match_date").between(F.lit(first), F.lit(last)))
+        deltas_of(near, batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-from touchline.functions import formulas
-from touchline.operators.chemistry import PAIR, participants
+    return (stream.writeStream.outputMode("append").foreachBatch(store)
+            .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
 
 
-def delta_stream(lines: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Signed change per pair and match from a stream of rating lines."""
-    people = participants(lines).withColumn("kickoff", F.col("match_date").cast("timestamp"))
-    marked = people.drop("match_date").withWatermark("kickoff", delay)
+def newest_deltas(batches: DataFrame) -> DataFrame:
+    """Changes of every match as they were last computed."""
+    newest = batches.groupBy("matchId").agg(F.max("batch_id").alias("batch_id"))
+    return batches.join(newest, ["matchId", "batch_id"], "left_semi").drop("batch_id")
 
-    def side(n: int) -> DataFrame:
-        return marked.select("matchId", "kickoff", *[
-            F.col(c).alias(f"{c}{n}") for c in ("teamId", "playerId", "move")])
 
-    pairs = side(1).join(side(2), ["matchId", "kickoff"]).where("playerId1 < playerId2")
-    same_team = F.col("teamId1") == F.col("teamId2")
-    change = formulas.chemistry_change(F.col("move1"), F.col("move2"), same_team)
-    return pairs.select(
-        F.col("playerId1").alias(PAIR[0]), F.col("playerId2").alias(PAIR[1]), "matchId",
-        F.col("kickoff").cast("date").alias("match_date"), same_team.alias("same_team"),
-        change.alias("delta"))
+def repaired(deltas: DataFrame, lines: DataFrame, players: DataFrame) -> DataFrame:
+    """Changes after the ratings of ``players`` have been repaired: ``lines`` are the repaired ones,
+    and the matches of those players are computed anew."""
+    ids = lines.join(players, "playerId", "left_semi").select("matchId").distinct()
+    return deltas.join(ids, "matchId", "left_anti").unionByName(deltas_of(lines, ids))

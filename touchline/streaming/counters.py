@@ -44,6 +44,24 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, once: bool = Tr
             .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
 
 
+def write_counts(events: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Start a query that stores the counters of each batch of events in a folder of its own.
+
+    They only ever add up, so no event is too late for them and no state is kept."""
+    def store(batch: DataFrame, batch_id: int) -> None:
+        counts = metrics.count_events(batch, metrics.all_counters())
+        counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (events.writeStream.outputMode("append").foreachBatch(store)
+            .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
+
+
+def read_counts(batches: DataFrame) -> DataFrame:
+    """Metrics of everyone from the stored counters of all batches."""
+    sums = batches.groupBy(*metrics.KEYS).agg(*[F.sum(c).alias(c) for c in metrics.COUNTERS])
+    return metrics.with_ratios(sums)
+
+
 def read_live_metrics(batches: DataFrame, players: DataFrame) -> DataFrame:
     """Current metrics of every known player from the stored batches."""
     newest = latest_per_key(batches, _KEYS)

@@ -3,6 +3,9 @@
 A match is over when the feed has been quiet about it for a while. Its rows are then computed by
 the batch operators from the stored events and match records, for everyone on the sheets whether
 or not they had an event, and handed on to the rating state.
+
+A match that goes on after a pause is finished once more, over all its events: the later version of
+its rows is the right one. What is open when a feed ends is finished by :func:`write_rest`.
 """
 
 from __future__ import annotations
@@ -15,13 +18,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline.operators import metrics, ratings, sheets
 from touchline.plans.season import Season
+from touchline.sources.sinks import latest_per_key
 from touchline.streaming.counters import trigger
 
+#: Version of the rows written at the end of a feed; any that the stream writes is newer.
+REST = -1
+
 
 def quiet_matches(events: DataFrame, gap: str, delay: str) -> DataFrame:
     """Matches whose session of events has closed."""
-    events.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     sessions = events.withWatermark("ts", delay).groupBy(
         F.session_window("ts", gap).alias("session"), "matchId").agg(F.count("*").alias("n"))
     return sessions.select("matchId", F.col("session.end").alias("closed_ts"))
@@ -51,3 +56,17 @@ def write_finished(quiet: DataFrame, season: Callable[[], Season], path: str, ch
 
     return (quiet.writeStream.outputMode("append").foreachBatch(store)
             .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
+
+
+def write_rest(season: Season, batches: DataFrame, path: str) -> None:
+    """Store the rows of all matches that the stream has not finished, also those that came too
+    late for it. May be repeated: its folder is written anew."""
+    done = batches.where(F.col("batch_id") > REST).select("matchId").distinct()
+    dates = season.match_dates if season.match_dates is not None else sheets.match_dates(season.matches)
+    rest = dates.select("matchId").join(done, "matchId", "left_anti")
+    finished_rows(season, rest).write.mode("overwrite").parquet(f"{path}/batch_id={REST}")
+
+
+def newest_rows(batches: DataFrame) -> DataFrame:
+    """Career rows as they were last computed."""
+    return latest_per_key(batches, ["matchId", "playerId"])

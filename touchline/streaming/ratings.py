@@ -1,8 +1,9 @@
 """Rating state that outlives the matches.
 
 One small state per player: rating, matches, fouls and own goals of the career so far. A batch
-of finished matches moves it forward in match order. A match older than the last one applied
-cannot be folded in any more; it comes out marked, for the batch operators to repair.
+of finished matches moves it forward in match order. A match older than the last one applied, or a
+second version of one, cannot be folded in any more; it comes out marked, and :func:`repaired`
+replays the careers of its players.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from touchline.functions import codes
+from touchline.operators.ratings import rating_history
 
 ROW = ["playerId", "matchId", "match_date", "teamId", "played", "in_chemistry", "contribution",
        "foulLoss", "ownGoals"]
@@ -75,3 +77,12 @@ def applied(lines: DataFrame) -> DataFrame:
 
 def to_repair(lines: DataFrame) -> DataFrame:
     return lines.where("late").select("playerId", "matchId", "match_date")
+
+
+def repaired(lines: DataFrame, finished: DataFrame) -> DataFrame:
+    """The applied lines, with the careers of all players who had a late match replayed from the
+    newest ``finished`` rows. Only those players' rows are read again."""
+    players = to_repair(lines).select("playerId").distinct()
+    kept = applied(lines).join(players, "playerId", "left_anti")
+    replayed = rating_history(finished.join(players, "playerId", "left_semi"))
+    return kept.unionByName(replayed.select(kept.columns))

@@ -1,7 +1,7 @@
 """Matches as sessions: a match is final when its events have stopped for a while.
 
-Events are credited to the match they name, however late they come; events later than the
-watermark are left to the batch operators over the stored feed.
+Events are credited to the match they name, however late they come; sessions that events later than
+the watermark belong to, or that are open when a feed ends, are taken from the stored feed.
 """
 
 from __future__ import annotations
@@ -17,9 +17,6 @@ from touchline.streaming.counters import trigger
 
 def match_sessions(events: DataFrame, gap: str, delay: str) -> DataFrame:
     """Final counters per (match, player), emitted once the player's match has gone quiet."""
-    # Merge sessions before the shuffle, so a player with many events is one row per task.
-    events.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     marked = events.withWatermark("ts", delay)
     keys = [F.session_window("ts", gap).alias("session"), "matchId", "playerId"]
     counts = metrics.count_events(marked, metrics.all_counters(), keys)
@@ -28,12 +25,22 @@ def match_sessions(events: DataFrame, gap: str, delay: str) -> DataFrame:
         "matchId", "playerId", *metrics.COUNTERS, *metrics.ratios())
 
 
-def match_intake(lines: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Match records of a line stream with parsed dates, each header once.
+def rest_of_sessions(events: DataFrame, closed: DataFrame, gap: str) -> DataFrame:
+    """Sessions of the stored ``events`` that the stream has not emitted in ``closed``."""
+    keys = ["matchId", "playerId", "first_ts"]
+    # An anti join would be moved below the grouping, where the sessions aren't merged yet.
+    marked = closed.select(*keys, F.lit(True).alias("is_closed"))
+    return (match_sessions(events, gap, "0 seconds").join(marked, keys, "left")
+            .where("is_closed is null").drop("is_closed"))
 
-    ``lines`` carries ``value`` and the timestamp ``ts`` it arrived at.
+
+def match_intake(lines: DataFrame) -> DataFrame:
+    """Match records of a line stream with parsed dates, and their ``arrival``.
+
+    ``lines`` carries ``value`` and the timestamp ``ts`` it arrived at. Every version of a record is
+    kept, readers take the newest (``records.newest_matches``), so a change is never lost.
     """
-    return records.read_matches(lines).withWatermark("ts", delay).dropDuplicatesWithinWatermark(["wyId"])
+    return records.read_matches(lines).withColumnRenamed("ts", "arrival")
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
