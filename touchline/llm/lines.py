@@ -52,7 +52,7 @@ def _with_gone(docs: DataFrame, places: DataFrame) -> DataFrame:
 def _segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
     """(first character from 1, length) of each segment of a line; the last ones are longer."""
     parts = threshold + 1
-    short = F.floor(length / parts).cast("int")
+    short = F.call_function("div", length, F.lit(parts)).cast("int")
     longer = length - short * parts
     out, start = [], F.lit(1)
     for i in range(parts):
@@ -181,6 +181,20 @@ def _without_common_ends(pairs: DataFrame) -> DataFrame:
                                              rest("norm_b").alias("norm_b"))
 
 
+def _edits_at_ends(a: Column, b: Column) -> Column:
+    """Whether two texts without common ends can be two edits apart.
+
+    Their first and their last step are edits then, so all between must be equal.
+    """
+    sides = [(1, 1), (1, 0), (0, 1)]
+
+    def rest(x: Column, left: int, right: int) -> Column:
+        return F.substr(x, F.lit(left + 1), F.length(x) - left - right)
+
+    alike = [rest(a, i, k) == rest(b, j, m) for i, j in sides for k, m in sides]
+    return (F.length(a) <= 2) | (F.length(b) <= 2) | reduce(lambda x, y: x | y, alike)
+
+
 def near_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(a, b): line ids at most ``threshold`` edits apart, from (id, norm, chars)."""
     index = distinct.select("id", F.explode(_index_keys(threshold)).alias("key"))
@@ -193,12 +207,16 @@ def near_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     both = (met.join(text.withColumnsRenamed({"id": "a", "norm": "norm_a"}), "a")
             .join(text.withColumnsRenamed({"id": "b", "norm": "norm_b"}), "b")
             .where(_pieces_agree(F.col("norm_a"), F.col("norm_b"), threshold)))
+    middles = _without_common_ends(both)
+    if threshold == 2:
+        middles = middles.where(_edits_at_ends(F.col("norm_a"), F.col("norm_b")))
+
     def chars(name: str) -> Column:
         return F.when(F.col(name) == "", F.array().cast("array<string>")).otherwise(
             F.split(name, ""))
 
     close = within(chars("norm_a"), chars("norm_b"), threshold)
-    return materialise(_without_common_ends(both).where(close).select("a", "b"), "near-lines")
+    return materialise(middles.where(close).select("a", "b"), "near-lines")
 
 
 def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -219,7 +237,7 @@ def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     distinct = (_lines(_with_gone(docs, again)).where(chars >= LEAST_CHARS)
                 .select(F.xxhash64("norm").alias("id"), "norm", chars.alias("chars"),
                         F.struct("doc_id", "line_no").alias("first")))
-    distinct = materialise(distinct, "distinct-lines", compression="zstd")
+    distinct = materialise(distinct, "distinct-lines")
     near = near_lines(distinct, threshold)
     start = distinct.select("id", "first")
     ordered = (near.join(start.withColumnsRenamed({"id": "a", "first": "first_a"}), "a")
