@@ -9,8 +9,9 @@ Equal lines meet by a 128-bit hash. Near lines are found by a segment-partition
 into ``THRESHOLD + 1`` segments, of which one at least survives that many edits. Segments of the
 indexed line are hashed with its length and their number; for each length and segment the other
 line is probed with the few substrings that can still lead to a match (the edits to the left and to
-the right of the segment are bounded by its number and by the difference of the lengths). What
-meets is compared by a banded bit-parallel automaton: a word of ``2 * THRESHOLD + 1`` bits for each
+the right of the segment are bounded by its number and by the difference of the lengths). Lines
+that meet no other one are left out first. Of the others only those become a pair whose letters
+are alike, so the many variants of one long line don't all pair up. What is left is compared by a banded bit-parallel automaton: a word of ``2 * THRESHOLD + 1`` bits for each
 number of edits, bit d standing for diagonal d. All steps are built-in functions.
 
 Defined results: a null or empty text has no lines and stays as it is; a row without ``doc_id`` is
@@ -195,15 +196,50 @@ def _edits_at_ends(a: Column, b: Column) -> Column:
     return (F.length(a) <= 2) | (F.length(b) <= 2) | reduce(lambda x, y: x | y, alike)
 
 
-def near_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(a, b): line ids at most ``threshold`` edits apart, from (id, norm, chars)."""
+def _letters(norm: Column) -> Column:
+    """A bit for each kind of character, set if the line has an odd number of them.
+
+    Characters may share a bit; an edit takes one away, adds one or both, so it changes two bits at
+    most.
+    """
+    one = F.lit(1).cast("long")
+    return F.aggregate(F.split(norm, ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(
+        _shift("shiftleft", one, F.pmod(F.hash(c), F.lit(64)))))
+
+
+def _with_partners(distinct: DataFrame, threshold: int) -> DataFrame:
+    """The lines that meet another one under some key, with their letters.
+
+    A key is summed up by the least and the greatest id indexed under it, so what comes out is no
+    more than what was probed. Members between the two are found as well: the keys that a line is
+    indexed under are among those it is probed with.
+    """
     index = distinct.select("id", F.explode(_index_keys(threshold)).alias("key"))
+    ends = index.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     probe = distinct.select("id", F.explode(_probe_keys(threshold)).alias("key"))
-    met = (probe.withColumnRenamed("id", "x").join(index.withColumnRenamed("id", "y"), "key")
-           .where("x <> y")
+    hits = (probe.join(ends, "key").where("id <> least or id <> most")
+            .select(F.explode(F.array("id", "least", "most")).alias("id")).distinct())
+    hits = materialise(hits, "lines-that-meet")
+    # Shuffled at every size: these ids grow with the lines.
+    return materialise(distinct.join(hits.hint("merge"), "id", "left_semi")
+                       .select("id", "norm", "chars", _letters(F.col("norm")).alias("letters")),
+                       "lines-with-partners")
+
+
+def near_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """(a, b): line ids at most ``threshold`` edits apart, from (id, norm, chars)."""
+    found = _with_partners(distinct, threshold)
+    index = found.select("id", "chars", "letters", F.explode(_index_keys(threshold)).alias("key"))
+    probe = found.select("id", "chars", "letters", F.explode(_probe_keys(threshold)).alias("key"))
+    other = index.withColumnsRenamed({"id": "y", "chars": "chars_y", "letters": "letters_y"})
+    # Of two lines of one length either finds the other, so one direction is enough.
+    met = (probe.withColumnRenamed("id", "x").join(other, "key")
+           .where(((F.col("x") < F.col("y")) | (F.col("chars") > F.col("chars_y")))
+                  & (F.bit_count(F.col("letters").bitwiseXOR(F.col("letters_y")))
+                     <= 2 * threshold))
            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     met = materialise(met, "line-pairs")
-    text = distinct.select("id", "norm")
+    text = found.select("id", "norm")
     both = (met.join(text.withColumnsRenamed({"id": "a", "norm": "norm_a"}), "a")
             .join(text.withColumnsRenamed({"id": "b", "norm": "norm_b"}), "b")
             .where(_pieces_agree(F.col("norm_a"), F.col("norm_b"), threshold)))
