@@ -73,3 +73,12 @@ def test_lines_against_all_pairs(spark):
     kept = {r.doc_id: r for r in lines.remove_lines(
         spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert kept[None].text == base[0] and kept[90].text is None and kept[91].text == ""
+
+
+def test_map_loses_no_line(spark):
+    table = spark.range(5000).select(F.xxhash64("id").alias("id"))
+    ids = spark.range(0, 5000, 7).select(F.xxhash64("id").alias("id"))
+    kept = {r.id for r in lines._likely_among(table, ids).collect()}
+    asked = {r.id for r in ids.collect()}
+    assert asked <= kept and len(kept) < len(asked) + 50
+    assert lines._likely_among(table, ids.where("false")).count() == 0
