@@ -75,6 +75,25 @@ def test_lines_against_all_pairs(spark):
     assert kept[None].text == base[0] and kept[90].text is None and kept[91].text == ""
 
 
+def test_long_lines_with_long_common_ends(spark):
+    rng = random.Random(3)
+    rows, expected = [], set()
+    # Two substitutions each, around and beyond 131,071 characters from either end; the last has three.
+    for k, (size, places) in enumerate([
+            (200_000, (140_000, 170_000)), (200_000, (150_000, 150_010)), (200_000, (10, 50)),
+            (500_000, (300_000, 300_050)), (500_000, (140_000, 300_000)),
+            (200_000, (150_000, 150_005, 150_010))]):
+        a = "".join(rng.choices("abcdefgh ", k=size))
+        b = list(a)
+        for at in places:
+            b[at] = "x"
+        rows += [(2 * k, a, size), (2 * k + 1, "".join(b), size)]
+        if len(places) == 2:
+            expected.add((2 * k, 2 * k + 1))
+    table = spark.createDataFrame(rows, "id long, norm string, chars int")
+    assert {tuple(r) for r in lines.near_lines(table).collect()} == expected
+
+
 def test_map_loses_no_line(spark):
     table = spark.range(5000).select(F.xxhash64("id").alias("id"))
     ids = spark.range(0, 5000, 7).select(F.xxhash64("id").alias("id"))

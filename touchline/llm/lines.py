@@ -161,8 +161,8 @@ def _pieces_agree(a: Column, b: Column, threshold: int) -> Column:
 
 
 def _common_start(a: Column, b: Column) -> Column:
-    """Characters with which both begin, from halving steps; a lower bound beyond 131,071."""
-    steps = F.array(*[F.lit(1 << k) for k in range(16, -1, -1)])
+    """Characters with which both begin, from halving steps that cover a text of any length."""
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
     shorter = F.least(F.length(a), F.length(b))
     return F.aggregate(steps, F.lit(0), lambda done, step: done + F.when(
         (done + step <= shorter)
@@ -258,10 +258,10 @@ def near_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     met = materialise(met, "line-pairs")
     text = found.select("id", "norm")
-    both = (met.join(text.withColumnsRenamed({"id": "a", "norm": "norm_a"}), "a")
-            .join(text.withColumnsRenamed({"id": "b", "norm": "norm_b"}), "b")
-            .where(_pieces_agree(F.col("norm_a"), F.col("norm_b"), threshold)))
-    middles = _without_common_ends(both)
+    texts = (met.join(text.withColumnsRenamed({"id": "a", "norm": "norm_a"}), "a")
+             .join(text.withColumnsRenamed({"id": "b", "norm": "norm_b"}), "b")
+             .where(_pieces_agree(F.col("norm_a"), F.col("norm_b"), threshold)))
+    middles = _without_common_ends(texts)
     if threshold == 2:
         middles = middles.where(_edits_at_ends(F.col("norm_a"), F.col("norm_b")))
 
@@ -269,7 +269,9 @@ def near_lines(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         return F.when(F.col(name) == "", F.array().cast("array<string>")).otherwise(
             F.split(name, ""))
 
-    close = within(chars("norm_a"), chars("norm_b"), threshold)
+    # Bound to a name: inside the automaton an expression is evaluated at every character.
+    both = F.struct(chars("norm_a").alias("a"), chars("norm_b").alias("b"))
+    close = F.transform(F.array(both), lambda p: within(p["a"], p["b"], threshold))[0]
     return materialise(middles.where(close).select("a", "b"), "near-lines")
 
 
