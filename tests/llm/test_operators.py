@@ -118,6 +118,25 @@ def test_quality_and_shards(docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_quality_is_judged_by_what_is_usual_for_the_source(spark):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def text(least, most):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(least, most)))
+                        for _ in range(80))
+
+    rows, short, long = [], text(3, 6), text(10, 16)
+    for i in range(220):
+        rows += [(i, text(3, 6), "en", "plain"), (1000 + i, text(10, 16), "en", "terms")]
+    rows += [(5000, short, "en", "plain"), (5001, short, "en", "terms"),
+             (5002, long, "en", "plain"), (5003, long, "en", "terms")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality.digest(quality.judged(table, ["doc_id"])).collect()}
+    assert [kept[i] for i in range(5000, 5004)] == [True, False, False, True]
+    assert all(kept[i] for i in kept if i < 5000)
+
+
 def test_packing(docs):
     encode = tokens.encoder(vocabulary())
     pieces, bins = defaultdict(list), defaultdict(list)

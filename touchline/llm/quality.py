@@ -7,8 +7,9 @@ plus ``SPREAD`` times the distance between the quartiles, taken from KLL sketche
 per task and merged, so a source with a third of all documents costs no more than another. A
 (language, source) with fewer than ``LEAST_ROWS`` documents takes the thresholds of its
 language, merged from the same sketches, and a small language those of the whole corpus.
-A threshold is never below a floor, so that in an even group ordinary documents are not rejected for a
-trifle.
+Measures of what most documents have none of (symbols, repeats) have a threshold that is never below a
+floor, so that in an even group ordinary documents are not rejected for a trifle. The length of words
+varies in every group; it is judged by the sketches alone, above and below.
 
 Defined results: a null text has no words and fails; a null language or source is a group of its
 own; repeated rows count as often as they occur; an empty table gives no rows; columns other than
@@ -32,6 +33,9 @@ LEAST_ROWS = 200
 BROADCAST_ROWS = 20_000
 #: Measures with a threshold, and the value below which a document is never rejected for it.
 FLOORS = {"symbol_share": 0.05, "repeat_share": 0.2, "line_share": 0.4, "shout_share": 0.4}
+#: Measures judged on both sides without a floor, and the least distance between quartiles taken.
+SPREADS = {"word_length": 0.05}
+LIMITS = [*FLOORS, *SPREADS, *[f"{name}_least" for name in SPREADS]]
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
 
@@ -92,14 +96,15 @@ def _shares(measured: DataFrame) -> DataFrame:
     return (measured.withColumn("symbol_share", share("n_symbols", "word_chars"))
             .withColumn("repeat_share", share("n_repeat_words", "n_words"))
             .withColumn("line_share", share("n_dup_lines", "n_lines"))
-            .withColumn("shout_share", share("n_upper", "word_chars")))
+            .withColumn("shout_share", share("n_upper", "word_chars"))
+            .withColumn("word_length", share("word_chars", "n_words")))
 
 
 def sketches(shared: DataFrame) -> DataFrame:
-    """Mergeable quantile sketches of the shares for every language and source."""
+    """Mergeable quantile sketches of the measures for every language and source."""
     return shared.groupBy("lang", "source").agg(
         F.count("*").alias("rows"),
-        *[F.kll_sketch_agg_double(F.col(name)).alias(name) for name in FLOORS])
+        *[F.kll_sketch_agg_double(F.col(name)).alias(name) for name in (*FLOORS, *SPREADS)])
 
 
 def _limits(merged: DataFrame, suffix: str) -> DataFrame:
@@ -109,14 +114,20 @@ def _limits(merged: DataFrame, suffix: str) -> DataFrame:
                   for q in QUARTILES.values())
         merged = merged.withColumn(
             f"{name}{suffix}", F.greatest(F.lit(floor), q3 + SPREAD * (q3 - q1)))
-    return merged.drop(*FLOORS).withColumnRenamed("rows", f"rows{suffix}")
+    for name, least in SPREADS.items():
+        q1, q3 = (F.kll_sketch_get_quantile_double(F.col(name), F.lit(q))
+                  for q in QUARTILES.values())
+        room = SPREAD * F.greatest(F.lit(least), q3 - q1)
+        merged = merged.withColumn(f"{name}{suffix}", q3 + room).withColumn(
+            f"{name}_least{suffix}", q1 - room)
+    return merged.drop(*FLOORS, *SPREADS).withColumnRenamed("rows", f"rows{suffix}")
 
 
 def thresholds(found: DataFrame) -> DataFrame:
     """One row for each (lang, source) with the limits that hold for it."""
     def merge(groups) -> DataFrame:
         return groups.agg(F.sum("rows").alias("rows"), *[
-            F.kll_merge_agg_double(F.col(name)).alias(name) for name in FLOORS])
+            F.kll_merge_agg_double(F.col(name)).alias(name) for name in (*FLOORS, *SPREADS)])
     own = _limits(found, "_own")
     language = _limits(merge(found.groupBy("lang")), "_lang").withColumnRenamed("lang", "its_lang")
     corpus = _limits(merge(found), "_all")
@@ -124,7 +135,7 @@ def thresholds(found: DataFrame) -> DataFrame:
               .join(F.broadcast(corpus)))  # one row
     limit = [F.when(F.col("rows_own") >= LEAST_ROWS, F.col(f"{n}_own"))
              .when(F.col("rows_lang") >= LEAST_ROWS, F.col(f"{n}_lang"))
-             .otherwise(F.col(f"{n}_all")).alias(f"{n}_limit") for n in FLOORS]
+             .otherwise(F.col(f"{n}_all")).alias(f"{n}_limit") for n in LIMITS]
     return joined.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *limit)
 
 
@@ -142,8 +153,10 @@ def judged(docs: DataFrame, carried: list[str]) -> DataFrame:
     joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("of_lang"))
                            & F.col("source").eqNullSafe(F.col("of_source")), "left")
     usual = F.lit(True)
-    for name in FLOORS:
+    for name in (*FLOORS, *SPREADS):
         usual = usual & (F.col(name) <= F.col(f"{name}_limit"))
+    for name in SPREADS:
+        usual = usual & (F.col(name) >= F.col(f"{name}_least_limit"))
     return joined.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & usual)
 
