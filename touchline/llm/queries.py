@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import (
+    copies,
     decontaminate,
     jaccard,
     lines,
@@ -75,10 +76,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.judged(_table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.digest(copies.copies(_table(spark, sf_dir, "documents"), ["doc_id"], True))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_personal_data, op3_ngram_jaccard, op4_decontamination,
     op5_line_dedup, op6_substring_dedup, op7_secret_scans, op8_sharding, op9_toxicity,
-    op10_quality_rules)}
+    op10_quality_rules, op13_exact_dedup)}
 
 #: SQL for the queries that SQL can express over whole tables in reasonable time.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_exact_dedup": r"""
+with plain as (
+  select doc_id, length(coalesce(text, '')) as n_chars,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256
+  from documents),
+grouped as (
+  select *, count(*) over (partition by text_sha256) as group_size,
+    first_value(doc_id) over (partition by text_sha256 order by n_chars desc, doc_id nulls last)
+      as keep_id
+  from plain)
+select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256
+from grouped""",
+}
