@@ -14,6 +14,7 @@ from touchline.llm import (
     packing,
     pii,
     quality,
+    runs,
     secrets,
     shards,
     substrings,
@@ -76,6 +77,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.judged(_table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return runs.digest(runs.find_runs(docs))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.digest(copies.copies(_table(spark, sf_dir, "documents"), ["doc_id"], True))
 
@@ -83,7 +89,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_personal_data, op3_ngram_jaccard, op4_decontamination,
     op5_line_dedup, op6_substring_dedup, op7_secret_scans, op8_sharding, op9_toxicity,
-    op10_quality_rules, op13_exact_dedup)}
+    op10_quality_rules, op11_periodic_runs, op13_exact_dedup)}
 
 #: SQL for the queries that SQL can express over whole tables in reasonable time.
 ORACLE: dict[str, str] = {
