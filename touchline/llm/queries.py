@@ -11,6 +11,7 @@ from touchline.llm import (
     decontaminate,
     jaccard,
     lines,
+    negatives,
     packing,
     pii,
     quality,
@@ -82,6 +83,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.find_runs(docs))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.scaled(_table(spark, sf_dir, "embeddings"), 256)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.digest(copies.copies(_table(spark, sf_dir, "documents"), ["doc_id"], True))
 
@@ -89,10 +96,32 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_personal_data, op3_ngram_jaccard, op4_decontamination,
     op5_line_dedup, op6_substring_dedup, op7_secret_scans, op8_sharding, op9_toxicity,
-    op10_quality_rules, op11_periodic_runs, op13_exact_dedup)}
+    op10_quality_rules, op11_periodic_runs,
+    op12_hard_negatives, op13_exact_dedup)}
 
 #: SQL for the queries that SQL can express over whole tables in reasonable time.
 ORACLE: dict[str, str] = {
+    "op12_hard_negatives": """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+    cast(list_inner_product(a.v, b.v) as bigint) as score
+  from usable a join usable b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over w as int) as rank, vec_id as negative_id,
+  positive_score, score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not same
+  and 80 * positive_score <= 100 * score and score <= positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= 5""",
     "op13_exact_dedup": r"""
 with plain as (
   select doc_id, length(coalesce(text, '')) as n_chars,
