@@ -4,6 +4,25 @@ rating recursion is a list fold, formations never pass through a match record.""
 
 from __future__ import annotations
 
+COUNTS = """count(*) filter (where pass in ('acc', 'plain')) as "normalPasses",
+    count(*) filter (where pass in ('acc key', 'key')) as "keyPasses",
+    count(*) filter (where pass = 'acc') as "accNormalPasses",
+    count(*) filter (where pass = 'acc key') as "accKeyPasses",
+    count(*) filter (where duel = 'won') as "duelsWon",
+    count(*) filter (where duel = 'neutral') as "neutralDuels",
+    count(duel) as "totalDuels",
+    count(*) filter (where "eventId" = 3 and t1801) as "effectiveFreeKicks",
+    count(*) filter (where "eventId" = 3 and "subEventId" = 35 and t101) as "penaltiesScored",
+    count(*) filter (where "eventId" = 3) as "totalFreeKicks",
+    count(*) filter (where shot = 'goal') as "targetAndGoal",
+    count(*) filter (where shot = 'saved') as "targetNotGoal",
+    count(shot) as "totalShots",
+    count(*) filter (where shot in ('goal', 'saved')) as "shotsOnTarget",
+    count(*) filter (where "eventId" = 10 and t101) as "numGoals",
+    count(*) filter (where "eventId" = 2) as "foulLoss",
+    count(*) filter (where t102) as "ownGoals"
+    """
+
 VIEWS = """
 fx_teams as (
   select s_suppkey + 1 as "Id", s_name as name from supplier
@@ -53,23 +72,7 @@ classed as (
   from fx_events),
 counted as (
   select "matchId", "playerId", min(matchday) as matchday,
-    count(*) filter (where pass in ('acc', 'plain')) as "normalPasses",
-    count(*) filter (where pass in ('acc key', 'key')) as "keyPasses",
-    count(*) filter (where pass = 'acc') as "accNormalPasses",
-    count(*) filter (where pass = 'acc key') as "accKeyPasses",
-    count(*) filter (where duel = 'won') as "duelsWon",
-    count(*) filter (where duel = 'neutral') as "neutralDuels",
-    count(duel) as "totalDuels",
-    count(*) filter (where "eventId" = 3 and t1801) as "effectiveFreeKicks",
-    count(*) filter (where "eventId" = 3 and "subEventId" = 35 and t101) as "penaltiesScored",
-    count(*) filter (where "eventId" = 3) as "totalFreeKicks",
-    count(*) filter (where shot = 'goal') as "targetAndGoal",
-    count(*) filter (where shot = 'saved') as "targetNotGoal",
-    count(shot) as "totalShots",
-    count(*) filter (where shot in ('goal', 'saved')) as "shotsOnTarget",
-    count(*) filter (where "eventId" = 10 and t101) as "numGoals",
-    count(*) filter (where "eventId" = 2) as "foulLoss",
-    count(*) filter (where t102) as "ownGoals"
+    {COUNTS}
   from classed group by 1, 2),
 rated as (
   select *,
@@ -263,7 +266,7 @@ reports as (
   from fx_matches m left join fx_teams t on t."Id" = m.winner left join lists l on l."matchId" = m."wyId"
   union all
   select 2999999999999999, null, null, null, null, null, null, null, null, null, null, 'No Matches found')
-"""
+""".replace("{COUNTS}", COUNTS)
 
 _COUNTERS = """"normalPasses", "keyPasses", "accNormalPasses", "accKeyPasses", "duelsWon",
   "neutralDuels", "totalDuels", "effectiveFreeKicks", "penaltiesScored", "totalFreeKicks",
@@ -402,21 +405,13 @@ BODIES = {
       union all select request_seq, 3, label, null, goals, msg from reports
       union all select 3000000000000000, 9, null, null, null, 'Invalid request'""",
     "stream_live_metrics": _METRICS,
-    "stream_match_sessions": f"""select "matchId", "playerId", first_ts,
-      last_ts + interval 6 days as closed_ts, {_COUNTERS}
-      from counted join (select "matchId", "playerId", min(ts) as first_ts, max(ts) as last_ts
-                         from fx_events group by 1, 2) using ("matchId", "playerId")""",
-    "stream_finished_matches": """select c."matchId", c."playerId", "teamId", match_date, played,
-      round(contribution + 1e-10, 6) as contribution,
-      coalesce("foulLoss", 0) as "foulLoss", coalesce("ownGoals", 0) as "ownGoals"
-      from contrib c
-        left join counted r on r."matchId" = c."matchId" and r."playerId" = c."playerId"
-      where match_date is not null""",
-    "stream_match_intake": _MATCHES,
     "stream_ratings": _HISTORY,
     "stream_chemistry": _CHEMISTRY,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: f"with {VIEWS}\n{body}" for name, body in BODIES.items()}
+    from catalog.stream_oracle import STREAMS, VIEWS as STREAM_VIEWS
+
+    plain = {name: f"with {VIEWS}\n{body}" for name, body in BODIES.items()}
+    return plain | {name: f"with {VIEWS},\n{STREAM_VIEWS}\n{body}" for name, body in STREAMS.items()}

@@ -13,8 +13,6 @@ from touchline.plans import requests as answers
 from touchline.plans.season import Season
 from touchline.sources import records, sinks, tables
 from touchline.sources.bridge import Bridge
-from touchline.streaming import chemistry as chemistry_stream
-from touchline.streaming import counters, finalise, ratings, sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -419,85 +417,3 @@ def request_dispatch(b: Bridge) -> DataFrame:
     chance = settled(field("$.team1['winning chance']").cast("double"))
     return out.select("request_seq", "req_type", name.alias("name"), chance.alias("chance"),
                       field("$.goals").alias("goals"), field("$.msg").alias("msg"))
-
-
-# Streaming: each query runs its stream to the end of the table, then reads what was written
-
-
-def _run(b: Bridge, purpose: str, start: Callable) -> DataFrame:
-    folder = sinks.shared_folder(b.spark, purpose)
-    sessions.finish(start(f"{folder}/data", f"{folder}/checkpoint"))
-    return b.spark.read.parquet(f"{folder}/data")
-
-
-@query
-def stream_live_metrics(b: Bridge) -> DataFrame:
-    live = counters.live_counts(b.event_stream)
-    batches = _run(b, "live", lambda path, cp: counters.write_batches(live, path, cp))
-    return rounded(counters.read_live_metrics(batches, b.players), *metrics.ratios())
-
-
-@query
-def stream_match_sessions(b: Bridge) -> DataFrame:
-    """Sessions of the stream, and those still open at its end. A matchday of the test data lasts
-    six days."""
-    closed = sessions.match_sessions(b.event_stream, "6 days", "1 hour")
-    rows = _run(b, "sessions", lambda path, cp: sessions.append_to(closed, path, cp))
-    stored = b.events.withColumn("ts", F.col("ts").cast("timestamp"))
-    rows = rows.unionByName(sessions.rest_of_sessions(stored, rows, "6 days"))
-    instants = {c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "closed_ts")}
-    return events.of_known_players(rows, b.players).withColumns(instants).drop(*metrics.ratios())
-
-
-@query
-def stream_match_intake(b: Bridge) -> DataFrame:
-    """Every match line arrives twice; a match counts once."""
-    stamped = records.match_line(b.season.matches, "match_date").select(
-        F.col("match_date").cast("timestamp").alias("ts"), "value")
-    path = sinks.shared_folder(b.spark, "match-lines")
-    stamped.unionByName(stamped).write.parquet(path)
-    lines = b.spark.readStream.schema(stamped.schema).parquet(path)
-    intake = sessions.match_intake(lines).select("arrival", *HEADER)
-    stored = _run(b, "matches", lambda out, cp: sessions.append_to(intake, out, cp))
-    return records.newest_matches(stored).select(*HEADER)
-
-
-@query
-def stream_finished_matches(b: Bridge) -> DataFrame:
-    """Career rows of all matches, those still open at the end of the stream included."""
-    quiet = finalise.quiet_matches(b.event_stream, "6 days", "1 hour")
-    folder = sinks.shared_folder(b.spark, "finished")
-    path = f"{folder}/data"
-    sessions.finish(finalise.write_finished(
-        quiet, lambda: b.lineup_season, path, f"{folder}/checkpoint"))
-    finalise.write_rest(b.lineup_season, b.spark.read.parquet(path), path)
-    rows = finalise.newest_rows(b.spark.read.parquet(path))
-    return rounded(rows.select(*KEYS, "teamId", "match_date", "played", "contribution", "foulLoss",
-                               "ownGoals"), "contribution")
-
-
-def _rating_lines(b: Bridge) -> str:
-    """Folder of rating lines made by the stateful stream from a table of finished matches."""
-    source = sinks.shared_folder(b.spark, "finished")
-    finished = b.lineup_season.career_rows
-    finished.write.parquet(source)
-    stream = ratings.rating_stream(b.spark.readStream.schema(finished.schema).parquet(source))
-    folder = sinks.shared_folder(b.spark, "ratings")
-    sessions.finish(sessions.append_to(stream, f"{folder}/data", f"{folder}/checkpoint"))
-    return f"{folder}/data"
-
-
-@query
-def stream_ratings(b: Bridge) -> DataFrame:
-    lines = ratings.applied(b.spark.read.parquet(_rating_lines(b)))
-    return rounded(lines.select(*HISTORY), *HISTORY[3:7])
-
-
-@query
-def stream_chemistry(b: Bridge) -> DataFrame:
-    path = _rating_lines(b)
-    lines = b.spark.readStream.schema(ratings.OUTPUT).parquet(path)
-    stored = _run(b, "deltas", lambda out, cp: chemistry_stream.write_deltas(
-        lines, lambda: ratings.applied(b.spark.read.parquet(path)), out, cp))
-    deltas = chemistry_stream.newest_deltas(stored)
-    return rounded(chemistry.chemistry_table(deltas), "chemistry")

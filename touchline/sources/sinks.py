@@ -45,6 +45,12 @@ def materialise(frame: DataFrame, purpose: str, compression: str = "snappy") ->
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write into ``folder`` has been committed."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def latest_per_key(batches: DataFrame, keys: list[str], batch: str = "batch_id") -> DataFrame:
     """Newest version of every key in a table of update-mode batches."""
     values = [c for c in batches.columns if c not in (*keys, batch)]

@@ -27,13 +27,16 @@ def write_deltas(stream: DataFrame, lines: Callable[[], DataFrame], path: str, c
                  once: bool = True) -> StreamingQuery:
     """Start a query that stores the changes, one folder per batch.
 
-    ``stream`` reads the stored rating lines, ``lines`` gives those stored by now.
+    ``stream`` reads the stored rating lines, ``lines`` gives those that hold by now. Every match of
+    a batch also gets a row without players, so that changes it no longer has are superseded.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         # Matches of a batch lie close together: their dates prune the scan of the lines.
         first, last = batch.agg(F.min("match_date"), F.max("match_date")).first()
         near = lines().where(F.col("match_date").between(F.lit(first), F.lit(last)))
-        deltas_of(near, batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        marks = batch.select("matchId").distinct()
+        deltas_of(near, batch).unionByName(marks, allowMissingColumns=True).write.mode(
+            "overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (stream.writeStream.outputMode("append").foreachBatch(store)
             .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
@@ -42,11 +45,5 @@ def write_deltas(stream: DataFrame, lines: Callable[[], DataFrame], path: str, c
 def newest_deltas(batches: DataFrame) -> DataFrame:
     """Changes of every match as they were last computed."""
     newest = batches.groupBy("matchId").agg(F.max("batch_id").alias("batch_id"))
-    return batches.join(newest, ["matchId", "batch_id"], "left_semi").drop("batch_id")
-
-
-def repaired(deltas: DataFrame, lines: DataFrame, players: DataFrame) -> DataFrame:
-    """Changes after the ratings of ``players`` have been repaired: ``lines`` are the repaired ones,
-    and the matches of those players are computed anew."""
-    ids = lines.join(players, "playerId", "left_semi").select("matchId").distinct()
-    return deltas.join(ids, "matchId", "left_anti").unionByName(deltas_of(lines, ids))
+    return batches.join(newest, ["matchId", "batch_id"], "left_semi").where(
+        "player1 IS NOT NULL").drop("batch_id")

@@ -1,20 +1,22 @@
 """End of a match in the stream.
 
-A match is over when the feed has been quiet about it for a while. Its rows are then computed by
-the batch operators from the stored events and match records, for everyone on the sheets whether
-or not they had an event, and handed on to the rating state.
+A match is over when the header of the next match of its feed comes; if none comes, when a timeout has
+passed. Its rows are then computed by the batch operators from the stored events and match records, for
+everyone on the sheets whether or not they had an event, and handed on to the rating state.
 
-A match that goes on after a pause is finished once more, over all its events: the later version of
-its rows is the right one. What is open when a feed ends is finished by :func:`write_rest`.
+An event that comes after its match was finished, or a header that closes it once more, makes it be
+finished again over all its events: the later version of its rows is the right one. What is open when a
+feed ends is finished by :func:`write_rest`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from touchline.operators import metrics, ratings, sheets
 from touchline.plans.season import Season
@@ -23,13 +25,69 @@ from touchline.streaming.counters import trigger
 
 #: Version of the rows written at the end of a feed; any that the stream writes is newer.
 REST = -1
+CLOSED = "matchId BIGINT, closed_ms BIGINT, reason STRING"
+
+
+class LastHeader(StatefulProcessor):
+    """The match that is being played in a feed."""
+
+    def __init__(self, timeout_ms: int):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.current = handle.getValueState("current", "matchId BIGINT, at BIGINT")
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
+                        ) -> Iterator[pd.DataFrame]:
+        headers = pd.concat(list(rows)).sort_values(["at", "wyId"], kind="stable")
+        match, since = self.current.get() if self.current.exists() else (None, None)
+        closed = []
+        for other, at in zip(headers["wyId"].tolist(), headers["at"].tolist()):
+            if match is None or other == match:
+                match, since = other, at if since is None else max(at, since)
+            elif at >= since:
+                closed.append((match, at, "header"))
+                match, since = other, at
+            else:  # came late: the match that follows it has already begun
+                closed.append((other, since, "header"))
+        self.current.update((match, since))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(since + self.timeout_ms)
+        yield pd.DataFrame(closed, columns=["matchId", "closed_ms", "reason"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo
+                           ) -> Iterator[pd.DataFrame]:
+        match, since = self.current.get()
+        self.current.clear()
+        yield pd.DataFrame([(match, since + self.timeout_ms, "timeout")],
+                           columns=["matchId", "closed_ms", "reason"])
+
+
+def closed_matches(headers: DataFrame, timeout: str, delay: str) -> DataFrame:
+    """(matchId, closed_ms, reason) of a stream of headers (``feed``, ``wyId``, ``header_ts``).
+
+    Feeds are independent of each other: a header closes the match before it in its own feed. One that
+    comes more than ``delay`` behind others is dropped. Needs a state store with timers.
+    """
+    wait = int(pd.Timedelta(timeout).total_seconds() * 1000)
+    # The time is part of the condition, so that it stays above the watermark: a row without a feed
+    # still tells how late it is.
+    marked = headers.withWatermark("header_ts", delay).where(
+        "IF(header_ts IS NULL, false, feed IS NOT NULL AND wyId IS NOT NULL)")
+    return marked.select("feed", "wyId", "header_ts", F.unix_millis("header_ts").alias("at")).groupBy(
+        "feed").transformWithStateInPandas(LastHeader(wait), CLOSED, "append", "EventTime")
 
 
-def quiet_matches(events: DataFrame, gap: str, delay: str) -> DataFrame:
-    """Matches whose session of events has closed."""
-    sessions = events.withWatermark("ts", delay).groupBy(
-        F.session_window("ts", gap).alias("session"), "matchId").agg(F.count("*").alias("n"))
-    return sessions.select("matchId", F.col("session.end").alias("closed_ts"))
+def to_finish(closed: DataFrame, events: DataFrame) -> DataFrame:
+    """Matches to finish: those that close, and those of which an event comes (``closed`` false),
+    which are finished again if they were before."""
+    return closed.select("matchId", F.lit(True).alias("closed")).unionByName(
+        events.select("matchId", F.lit(False).alias("closed")))
 
 
 def finished_rows(season: Season, over: DataFrame) -> DataFrame:
@@ -44,27 +102,34 @@ def finished_rows(season: Season, over: DataFrame) -> DataFrame:
                                metrics.all_metrics(cut(season.events)), cut(dates))
 
 
-def write_finished(quiet: DataFrame, season: Callable[[], Season], path: str, checkpoint: str,
+def write_finished(stream: DataFrame, season: Callable[[], Season],
+                   finished: Callable[[], DataFrame], path: str, checkpoint: str,
                    once: bool = True) -> StreamingQuery:
     """Start a query that stores the rows of finished matches, one folder per batch.
 
-    ``season`` is asked for with every batch, so that it sees what has been stored by then.
+    ``stream`` is made by :func:`to_finish`. ``season`` and ``finished`` (the rows stored so far) are
+    asked for with every batch, so that they are what has been stored by then.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = finished_rows(season(), batch)
+        matches = batch.groupBy("matchId").agg(F.max("closed").alias("closed"))
+        again = matches.where("NOT closed").join(
+            finished().where(F.col("batch_id") != batch_id), "matchId", "left_semi")
+        over = matches.where("closed").unionByName(again)
+        rows = finished_rows(season(), over).withColumn("arrival", F.current_timestamp())
         rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (quiet.writeStream.outputMode("append").foreachBatch(store)
+    return (stream.writeStream.outputMode("append").foreachBatch(store)
             .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
 
 
 def write_rest(season: Season, batches: DataFrame, path: str) -> None:
-    """Store the rows of all matches that the stream has not finished, also those that came too
-    late for it. May be repeated: its folder is written anew."""
+    """Store the rows of all matches that the stream has not finished. May be repeated: its folder is
+    written anew."""
     done = batches.where(F.col("batch_id") > REST).select("matchId").distinct()
     dates = season.match_dates if season.match_dates is not None else sheets.match_dates(season.matches)
     rest = dates.select("matchId").join(done, "matchId", "left_anti")
-    finished_rows(season, rest).write.mode("overwrite").parquet(f"{path}/batch_id={REST}")
+    finished_rows(season, rest).withColumn("arrival", F.current_timestamp()).write.mode(
+        "overwrite").parquet(f"{path}/batch_id={REST}")
 
 
 def newest_rows(batches: DataFrame) -> DataFrame:

@@ -1,88 +1,191 @@
-"""Rating state that outlives the matches.
-
-One small state per player: rating, matches, fouls and own goals of the career so far. A batch
-of finished matches moves it forward in match order. A match older than the last one applied, or a
-second version of one, cannot be folded in any more; it comes out marked, and :func:`repaired`
-replays the careers of its players.
+"""Rating state that outlives the matches and takes late ones in.
+
+The state of a player is cut into the calendar blocks that the batch form uses. The matches of blocks
+that may still change lie in an open list; a timer seals blocks that have been quiet for a
+while into a map from block to matches. A second map has, for every block, the career's state at its
+end. A match that comes late, or a new version of one, is put in its place, its block is replayed from
+the end of the block before, and so are the later blocks until the state at the end of one comes out
+as it was. All lines that are new or have changed are emitted under a new version, so the newest
+version of every line is the whole history and nothing is mended when it is read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from touchline.functions import codes
-from touchline.operators.ratings import rating_history
+from touchline.sources.sinks import latest_per_key
 
 ROW = ["playerId", "matchId", "match_date", "teamId", "played", "in_chemistry", "contribution",
        "foulLoss", "ownGoals"]
-STATE = ("rating DOUBLE, numMatches BIGINT, fouls BIGINT, ownGoals BIGINT,"
-         " last_date STRING, last_match BIGINT")
+#: One match in the state: its day, what it is made of, and whether it counts.
+GAME = ("day STRING, matchId BIGINT, teamId BIGINT, played BOOLEAN, in_chemistry BOOLEAN,"
+        " contribution DOUBLE, foulLoss BIGINT, ownGoals BIGINT")
+END = "rating DOUBLE, numMatches BIGINT, fouls BIGINT, ownGoals BIGINT"
 OUTPUT = ("playerId BIGINT, matchId BIGINT, match_date DATE, teamId BIGINT, in_chemistry BOOLEAN,"
           " contribution DOUBLE, performance DOUBLE, previous_rating DOUBLE, rating DOUBLE,"
-          " numMatches BIGINT, careerFouls BIGINT, careerOwnGoals BIGINT, late BOOLEAN")
-
+          " numMatches BIGINT, careerFouls BIGINT, careerOwnGoals BIGINT, version BIGINT,"
+          " retracted BOOLEAN")
+#: Quiet time after which a block is sealed.
+SEAL_AFTER = "1 day"
+
+
+def replayed(games: list[tuple], end: tuple, factors: tuple) -> tuple[list[tuple], tuple]:
+    """Lines of the matches of a block in order, and the state behind them.
+
+    A line is (performance, previous rating, rating, matches, fouls, own goals)."""
+    rating, matches, fouls, own_goals = end
+    foul_factor, own_goal_factor = factors
+    all_fouls = list(accumulate((g[6] for g in games), initial=fouls))[1:]
+    all_own = list(accumulate((g[7] for g in games), initial=own_goals))[1:]
+    counts = list(accumulate((int(g[3]) for g in games), initial=matches))[1:]
+    shown = [g[5] * foul_factor**f * own_goal_factor**o
+             for g, f, o in zip(games, all_fouls, all_own)]
+    rated = list(accumulate(zip(games, shown), lambda r, g: (g[1] + r) / 2 if g[0][3] else r,
+                            initial=rating))
+    lines = list(zip(shown, rated, rated[1:], counts, all_fouls, all_own))
+    if not games:
+        return [], end
+    return lines, (rated[-1], counts[-1], all_fouls[-1], all_own[-1])
+
+
+class Careers(StatefulProcessor):
+    """Careers of players; blocks are calendar years."""
+
+    def __init__(self, seal_after_ms: int):
+        self.seal_after_ms = seal_after_ms
+        self.start = (codes.INITIAL_RATING, 0, 0, 0)
+        self.factors = (codes.FOUL_FACTOR, codes.OWN_GOAL_FACTOR)
+        self.names = [field.split()[0] for field in OUTPUT.split(", ")]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", f"block STRING, {GAME}")
+        self.sealed = handle.getMapState("sealed", "block STRING", f"games ARRAY<STRUCT<{GAME}>>")
+        self.ends = handle.getMapState("ends", "block STRING", END)
+        self.blocks = handle.getMapState("blocks", "matchId BIGINT", "block STRING")
+        self.version = handle.getValueState("version", "version BIGINT")
+
+    def close(self) -> None:
+        pass
+
+    def _open_games(self) -> dict[str, dict[int, tuple]]:
+        """Matches of the open blocks, by block and id."""
+        found: dict[str, dict[int, tuple]] = {}
+        if self.open.exists():
+            for block, *game in self.open.get():
+                found.setdefault(block, {})[game[1]] = tuple(game)
+        return found
+
+    def _games(self, known: dict[str, dict[int, tuple]], block: str) -> dict[int, tuple]:
+        if block not in known:
+            rows = self.sealed.getValue((block,))[0] if self.sealed.containsKey((block,)) else []
+            known[block] = {row[1]: tuple(row) for row in rows}
+        return known[block]
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
+                        ) -> Iterator[pd.DataFrame]:
+        games = self._open_games()
+        stay_open = set(games)
+        first: dict[str, tuple] = {}  # first place changed in each changed block
+        gone = []
+
+        def change(block: str, day: str, match: int) -> None:
+            first[block] = min(first.get(block, (day, match)), (day, match))
+
+        came = pd.concat(list(rows)).sort_values("at", kind="stable")
+        for g in came.drop_duplicates("matchId", keep="last").itertuples(index=False):
+            match, day = int(g.matchId), str(g.match_date)
+            block = f"{day[:4]}-01-01"
+            if self.blocks.containsKey((match,)):
+                old_block = self.blocks.getValue((match,))[0]
+                old = self._games(games, old_block).pop(match)
+                change(old_block, old[0], match)
+                if old[3] and not g.played:
+                    gone.append(old)
+            if block not in games and not self.sealed.containsKey((block,)):
+                stay_open.add(block)
+            self._games(games, block)[match] = (
+                day, match, None if pd.isna(g.teamId) else int(g.teamId), bool(g.played),
+                bool(g.in_chemistry), float(g.contribution), int(g.foulLoss), int(g.ownGoals))
+            self.blocks.updateValue((match,), (block,))
+            change(block, day, match)
+
+        lines = self._replay(games, first)
+        for block in set(games) - stay_open:
+            if block in first:
+                self._seal(block, games[block])
+        self.open.put([(block, *game) for block in sorted(stay_open)
+                       for game in games[block].values()])
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(int(came["at"].max()) + self.seal_after_ms)
+        number = self.version.get()[0] + 1 if self.version.exists() else 1
+        self.version.update((number,))
+        yield self._frame(key[0], lines, gone, number)
+
+    def _replay(self, games: dict, first: dict[str, tuple]) -> list[tuple]:
+        """Lines to emit, from the first changed match on until nothing changes any more."""
+        ends = {block[0]: tuple(end) for block, end in self.ends.iterator()}
+        order = sorted({*ends, *first})
+        begin = order.index(min(first))
+        state = ends[order[begin - 1]] if begin else self.start
+        lines, last_changed = [], max(first)
+        moved = False  # whether the block starts from another state than before
+        for block in order[begin:]:
+            ordered = sorted(self._games(games, block).values())
+            found, state = replayed(ordered, state, self.factors)
+            lines += [(game, line) for game, line in zip(ordered, found) if game[3] and (
+                moved or (block in first and game[:2] >= first[block]))]
+            moved = ends.get(block) != state
+            if moved:
+                self.ends.updateValue((block,), state)
+            elif block >= last_changed:
+                break
+        return lines
+
+    def _seal(self, block: str, games: dict[int, tuple]) -> None:
+        self.sealed.updateValue((block,), (sorted(games.values()),))
+
+    def _frame(self, player: int, lines: list, gone: list, number: int) -> pd.DataFrame:
+        rows = [(player, g[1], pd.Timestamp(g[0]).date(), g[2], g[4], g[5], *line, number, False)
+                for g, line in lines]
+        rows += [(player, g[1], pd.Timestamp(g[0]).date(), g[2], g[4], g[5], None, None, None, None,
+                  None, None, number, True) for g in gone]
+        numbers = {"teamId": "Int64", "numMatches": "Int64", "careerFouls": "Int64",
+                   "careerOwnGoals": "Int64", "performance": "float64",
+                   "previous_rating": "float64", "rating": "float64"}
+        return pd.DataFrame(rows, columns=self.names).astype(numbers)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo
+                           ) -> Iterator[pd.DataFrame]:
+        for block, games in self._open_games().items():
+            self._seal(block, games)
+        self.open.clear()
+        yield self._frame(key[0], [], [], 0)
+
+
+def rating_stream(finished: DataFrame, seal_after: str = SEAL_AFTER,
+                  skew: str = "1 hour") -> DataFrame:
+    """Rating lines of a stream of finished (player, match) rows: new ones and corrections.
+
+    ``arrival`` says when a row was written; of several versions of a match in one batch the last by
+    it counts. It drives the timers and no match is too old; only the clocks of writers may not differ by
+    more than ``skew``. Needs a state store with timers (:func:`counters.state_in_rocksdb`).
+    """
+    quiet = int(pd.Timedelta(seal_after).total_seconds() * 1000)
+    rows = finished.where("playerId IS NOT NULL").withWatermark("arrival", skew)
+    return rows.select(*ROW, "arrival", F.unix_millis("arrival").alias("at")).groupBy(
+        "playerId").transformWithStateInPandas(Careers(quiet), OUTPUT, "append", "EventTime")
 
-def _advance():
-    """The state function: fold one player's new matches into the state.
 
-    Built as a closure over plain values, so that executors need not have this package.
-    """
-    start, foul_factor = codes.INITIAL_RATING, codes.FOUL_FACTOR
-    own_goal_factor = codes.OWN_GOAL_FACTOR
-    names = [field.split()[0] for field in OUTPUT.split(", ")]
-
-    def advance(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rating, matches, fouls, own_goals, last_date, last_match = (
-            state.get if state.exists else (start, 0, 0, 0, "", -1))
-        lines = []
-        games = pd.concat(list(batches)).sort_values(["match_date", "matchId"])
-        for g in games.itertuples(index=False):
-            order = (str(g.match_date), int(g.matchId))
-            late = order <= (last_date, last_match)
-            performance = previous = None
-            if not late:
-                last_date, last_match = order
-                fouls, own_goals = fouls + int(g.foulLoss), own_goals + int(g.ownGoals)
-                performance = g.contribution * foul_factor**fouls * own_goal_factor**own_goals
-                previous = rating
-                if g.played:
-                    rating, matches = (performance + rating) / 2, matches + 1
-            if late or g.played:
-                lines.append((key[0], g.matchId, g.match_date, g.teamId, g.in_chemistry,
-                              g.contribution, performance, previous, None if late else rating,
-                              matches, fouls, own_goals, late))
-        state.update((rating, matches, fouls, own_goals, last_date, last_match))
-        yield pd.DataFrame(lines, columns=names).astype(
-            {"performance": "float64", "previous_rating": "float64", "rating": "float64"})
-
-    return advance
-
-
-def rating_stream(finished: DataFrame) -> DataFrame:
-    """Rating lines of a stream of finished (player, match) rows, as they are applied."""
-    return finished.select(*ROW).groupBy("playerId").applyInPandasWithState(
-        _advance(), OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def applied(lines: DataFrame) -> DataFrame:
-    return lines.where(~F.col("late")).drop("late")
-
-
-def to_repair(lines: DataFrame) -> DataFrame:
-    return lines.where("late").select("playerId", "matchId", "match_date")
-
-
-def repaired(lines: DataFrame, finished: DataFrame) -> DataFrame:
-    """The applied lines, with the careers of all players who had a late match replayed from the
-    newest ``finished`` rows. Only those players' rows are read again."""
-    players = to_repair(lines).select("playerId").distinct()
-    kept = applied(lines).join(players, "playerId", "left_anti")
-    replayed = rating_history(finished.join(players, "playerId", "left_semi"))
-    return kept.unionByName(replayed.select(kept.columns))
+def newest_lines(lines: DataFrame) -> DataFrame:
+    """The history: the newest version of every line that has not been taken back."""
+    newest = latest_per_key(lines, ["playerId", "matchId"], "version")
+    return newest.where(~F.col("retracted")).drop("retracted")

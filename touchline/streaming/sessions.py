@@ -1,7 +1,7 @@
 """Matches as sessions: a match is final when its events have stopped for a while.
 
 Events are credited to the match they name, however late they come; sessions that events later than
-the watermark belong to, or that are open when a feed ends, are taken from the stored feed.
+the watermark belong to, or that are open when a feed ends, are made whole from the stored feed.
 """
 
 from __future__ import annotations
@@ -13,34 +13,51 @@ from pyspark.sql.streaming import StreamingQuery
 from touchline.operators import metrics
 from touchline.sources import records
 from touchline.streaming.counters import trigger
+from touchline.streaming.joined import distinct_records
+
+#: Number of events in a session.
+EVENTS = "events"
 
 
 def match_sessions(events: DataFrame, gap: str, delay: str) -> DataFrame:
     """Final counters per (match, player), emitted once the player's match has gone quiet."""
     marked = events.withWatermark("ts", delay)
     keys = [F.session_window("ts", gap).alias("session"), "matchId", "playerId"]
-    counts = metrics.count_events(marked, metrics.all_counters(), keys)
+    counts = metrics.count_events(marked, {**metrics.all_counters(), EVENTS: "true"}, keys)
     return metrics.with_ratios(counts).select(
         F.col("session.start").alias("first_ts"), F.col("session.end").alias("closed_ts"),
-        "matchId", "playerId", *metrics.COUNTERS, *metrics.ratios())
-
+        "matchId", "playerId", EVENTS, *metrics.COUNTERS, *metrics.ratios())
 
-def rest_of_sessions(events: DataFrame, closed: DataFrame, gap: str) -> DataFrame:
-    """Sessions of the stored ``events`` that the stream has not emitted in ``closed``."""
-    keys = ["matchId", "playerId", "first_ts"]
-    # An anti join would be moved below the grouping, where the sessions aren't merged yet.
-    marked = closed.select(*keys, F.lit(True).alias("is_closed"))
-    return (match_sessions(events, gap, "0 seconds").join(marked, keys, "left")
-            .where("is_closed is null").drop("is_closed"))
 
+def whole_sessions(closed: DataFrame, events: DataFrame, gap: str) -> DataFrame:
+    """The streamed sessions, made whole from the stored ``events``.
 
-def match_intake(lines: DataFrame) -> DataFrame:
+    A player's sessions in a match stay as they were streamed if their counters and numbers of events
+    add up to those of all stored events. Otherwise some are open, or events came late, and all of that player's sessions in
+    that match are made anew; only those events are read into sessions.
+    """
+    counters = {**metrics.all_counters(), EVENTS: "true"}
+    keys = metrics.KEYS
+    streamed = closed.groupBy(*keys).agg(F.struct(*[F.sum(c).alias(c) for c in counters])
+                                         .alias("streamed"))
+    stored = metrics.count_events(events, counters).select(
+        *keys, F.struct(*[F.col(c) for c in counters]).alias("stored"))
+    both = stored.join(streamed, keys, "left")
+    same = both.where("stored = streamed").select(*keys)
+    differing = both.where("streamed IS NULL OR stored <> streamed").select(*keys)
+    again = match_sessions(events.join(differing, keys, "left_semi"), gap, "0 seconds")
+    return closed.join(same, keys, "left_semi").unionByName(again.select(closed.columns))
+
+
+def match_intake(lines: DataFrame, again_within: str = "1 day") -> DataFrame:
     """Match records of a line stream with parsed dates, and their ``arrival``.
 
-    ``lines`` carries ``value`` and the timestamp ``ts`` it arrived at. Every version of a record is
-    kept, readers take the newest (``records.newest_matches``), so a change is never lost.
+    ``lines`` carries ``value`` and the timestamp ``ts`` it arrived at. A record sent again unchanged
+    within ``again_within`` is dropped. Every version is kept, readers take the newest
+    (``records.newest_matches``), so a change is never lost.
     """
-    return records.read_matches(lines).withColumnRenamed("ts", "arrival")
+    found = records.read_matches(lines).withColumnRenamed("ts", "arrival")
+    return distinct_records(found, "wyId", "arrival", again_within)
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
