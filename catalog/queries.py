@@ -408,7 +408,7 @@ def request_dispatch(b: Bridge) -> DataFrame:
     fields = [c for c in b.requests.columns if c != "request_seq"]
     lines = b.requests.select("request_seq", F.to_json(F.struct(*fields)).alias("value"))
     stored = sinks.materialise(lines, "requests")
-    out = answers.answer_requests(tables.number_requests(stored), season, clusters=clusters(b))
+    out = answers.answer_requests(tables.parse_requests(stored), season, clusters=clusters(b))
 
     def field(path: str):
         return F.get_json_object("response", path)

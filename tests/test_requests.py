@@ -36,7 +36,7 @@ def cup(spark):
 
 
 def ask(spark, season, requests, smoothing=False):
-    asked = tables.number_requests(fx.request_lines(spark, requests))
+    asked = tables.parse_requests(fx.request_lines(spark, requests))
     rows = answers.answer_requests(asked, season, smoothing).orderBy("request_seq").collect()
     return [json.loads(r.response) for r in rows]
 
@@ -82,7 +82,7 @@ def test_predictions_and_their_messages(spark, cup):
 
 
 def test_first_reason_is_kept_as_detail(spark, cup):
-    asked = tables.number_requests(fx.request_lines(spark, [
+    asked = tables.parse_requests(fx.request_lines(spark, [
         fx.prediction(swapped(swapped(HOME, 5, "Later"), 2, "First"), swapped(AWAY, 2, "Other")),
         fx.prediction(swapped(HOME, 0, "H11"), swapped(AWAY, 0, "Rookie")),
     ]))
@@ -91,7 +91,7 @@ def test_first_reason_is_kept_as_detail(spark, cup):
 
 
 def test_player_strengths_add_up_to_the_team(spark, cup):
-    asked = tables.number_requests(fx.request_lines(spark, [fx.prediction(HOME, AWAY)]))
+    asked = tables.parse_requests(fx.request_lines(spark, [fx.prediction(HOME, AWAY)]))
     judged = answers.judged_squads(asked, cup, smoothing=False)
     single = squads.player_strengths(judged, cup.chemistry).groupBy("team").agg(
         (F.sum("strength") / 11).alias("s")).collect()
@@ -103,7 +103,7 @@ def test_player_strengths_add_up_to_the_team(spark, cup):
 def test_retired_player(spark, cup):
     low = cup.profiles.withColumn(
         "rating", F.when(F.col("name") == "A3", 0.1).otherwise(F.col("rating")))
-    asked = tables.number_requests(fx.request_lines(spark, [fx.prediction(HOME, AWAY)]))
+    asked = tables.parse_requests(fx.request_lines(spark, [fx.prediction(HOME, AWAY)]))
     season = Season(cup.players, cup.teams, cup.matches, cup.events)
     season.__dict__["profiles"] = low
     row = answers.judged_squads(asked, season, smoothing=False).collect()[0]
@@ -158,7 +158,7 @@ def test_match_reports(spark):
     requests = [{"req_type": 3, "date": day, "label": n} for n in labels]
     requests += [{"req_type": 3, "date": "2018-05-14", "label": "Win"},
                  {"req_type": 3, "date": "someday", "label": "Win"}, {"req_type": 4}]
-    asked = tables.number_requests(fx.request_lines(spark, requests))
+    asked = tables.parse_requests(fx.request_lines(spark, requests))
     rows = answers.answer_requests(asked, report_season(spark), smoothing=False)
     got = {r.request_seq: json.loads(r.response) for r in rows.collect()}
     assert got[0] == {
@@ -180,7 +180,7 @@ def test_match_reports(spark):
 def test_an_empty_match_table_answers_not_found(spark):
     empty = records.route_matches(records.parse_lines(fx.lines(spark, [fx.event(1, 8)])))
     season = report_season(spark)
-    asked = tables.number_requests(fx.request_lines(
+    asked = tables.parse_requests(fx.request_lines(
         spark, [{"req_type": 3, "date": "2018-05-13", "label": "Win"}]))
     bare = Season(season.players, season.teams, empty, season.events)
     assert [r.msg for r in answers.match_reports(asked, bare).collect()] == ["No Matches found"]

@@ -43,11 +43,9 @@ def test_feed_to_answers(spark, tmp_path):
     run.main(take)
     send("b.txt", records[:half - 20])
     run.main(take)
-    corrupt = spark.read.parquet(f"{tmp_path}/tables/corrupt").collect()
+    store = run.Store(spark, f"{tmp_path}/tables")
+    corrupt = store.read(store.latest(), "corrupt").collect()
     assert [r[0] for r in corrupt] == ['"no record"']
-    # Answers come from what is kept.
-    spark.createDataFrame([], run.TABLES["events"]).write.mode("overwrite").parquet(
-        f"{tmp_path}/tables/events")
     common = [*files, "--teams", f"{tmp_path}/teams.csv", "--requests", f"{tmp_path}/requests.txt"]
     run.main(["answer", "--tables", f"{tmp_path}/tables", "--out", f"{tmp_path}/out1", *common])
     run.main(["answer", "--feed", f"{tmp_path}/feed", "--out", f"{tmp_path}/out2", *common])

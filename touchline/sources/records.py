@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.functions import text
+from touchline.sources import numbering
 
 
 def line_stream(spark: SparkSession, source: str = "text", **options: str) -> DataFrame:
@@ -20,6 +21,13 @@ def line_stream(spark: SparkSession, source: str = "text", **options: str) -> Da
     )
 
 
+def placed_stream(spark: SparkSession, source: str = "text", **options: str) -> DataFrame:
+    """The same with the file and split a line is from, where the source is text files."""
+    if source != "text":
+        return line_stream(spark, source, **options)
+    return numbering.with_places(spark.readStream.format(source).options(**options).load())
+
+
 def parse_lines(lines: DataFrame, fields: dict[str, str] = schemas.RECORD) -> DataFrame:
     """One row per line; a field of the wrong type becomes NULL, and a line with such a field or
     that is no JSON at all keeps its text in ``_corrupt_record``.

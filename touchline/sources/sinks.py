@@ -25,10 +25,13 @@ def append_matches(stored: DataFrame, arrived: DataFrame) -> DataFrame:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one named in ``spark.checkpoint.dir``.
 
-    A session without that setting uses its warehouse, which all executors reach too.
+    A local session without that setting uses its warehouse; on a cluster there is no telling whether
+    executors reach that, so the setting has to be there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
     root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
@@ -45,14 +48,9 @@ def materialise(frame: DataFrame, purpose: str, compression: str = "snappy") ->
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def is_complete(spark: SparkSession, folder: str) -> bool:
-    """Whether a write into ``folder`` has been committed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
-def latest_per_key(batches: DataFrame, keys: list[str], batch: str = "batch_id") -> DataFrame:
-    """Newest version of every key in a table of update-mode batches."""
-    values = [c for c in batches.columns if c not in (*keys, batch)]
-    newest = F.max(F.struct(batch, *values)).alias("n")
-    return batches.groupBy(*keys).agg(newest).select(*keys, *[f"n.{c}" for c in values])
+def latest_per_key(batches: DataFrame, keys: list[str], version: str = "batch_id") -> DataFrame:
+    """Newest version of every key in a table that holds several."""
+    values = [c for c in batches.columns if c not in (*keys, version)]
+    newest = F.max_by(F.struct(*batches.columns), version).alias("n")
+    return batches.groupBy(*keys).agg(newest).select(
+        *keys, *[f"n.{c}" for c in values], f"n.{version}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.functions import codes
+from touchline.sources import numbering
 
 CAREER_COUNTERS = [
     "numFouls", "numGoals", "numOwnGoals", "passAcc", "shotsOnTarget", "normalPasses",
@@ -24,18 +25,15 @@ def read_teams(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ddl(schemas.TEAM)).option("header", True).csv(path)
 
 
-def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON request per line, numbered in line order."""
-    return number_requests(spark.read.text(path))
+def read_requests(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One JSON request per line, numbered in file and line order."""
+    return parse_requests(numbering.numbered(numbering.text_lines(spark, path), "request_seq"))
 
 
-def number_requests(lines: DataFrame) -> DataFrame:
-    """Parse request lines; ``request_seq`` follows the order of the lines."""
-    if "request_seq" not in lines.columns:
-        lines = lines.withColumn("request_seq", F.monotonically_increasing_id())
-    return lines.select("request_seq", F.from_json("value", schemas.ddl(schemas.REQUEST)).alias("r")).select(
-        "request_seq", "r.*"
-    )
+def parse_requests(lines: DataFrame) -> DataFrame:
+    """Fields of request lines (``value``) that are numbered in ``request_seq``."""
+    request = F.from_json("value", schemas.ddl(schemas.REQUEST)).alias("r")
+    return lines.select("request_seq", request).select("request_seq", "r.*")
 
 
 def with_career_defaults(players: DataFrame) -> DataFrame:

@@ -42,8 +42,12 @@ def write_deltas(stream: DataFrame, lines: Callable[[], DataFrame], path: str, c
             .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
 
 
+def newest_batches(batches: DataFrame) -> DataFrame:
+    """The rows that were last written for each match."""
+    newest = batches.groupBy("matchId").agg(F.max("batch_id").alias("batch_id"))
+    return batches.join(newest, ["matchId", "batch_id"], "left_semi")
+
+
 def newest_deltas(batches: DataFrame) -> DataFrame:
     """Changes of every match as they were last computed."""
-    newest = batches.groupBy("matchId").agg(F.max("batch_id").alias("batch_id"))
-    return batches.join(newest, ["matchId", "batch_id"], "left_semi").where(
-        "player1 IS NOT NULL").drop("batch_id")
+    return newest_batches(batches).where("player1 IS NOT NULL").drop("batch_id")

@@ -17,7 +17,8 @@ from touchline.operators.events import of_known_players
 from touchline.sources.sinks import latest_per_key
 
 # Fixed value: interval of the micro-batches.
-BATCH_INTERVAL = "5 seconds"
+BATCH_SECONDS = 5
+BATCH_INTERVAL = f"{BATCH_SECONDS} seconds"
 
 _KEYS = ["day", "matchId", "playerId"]
 
@@ -56,10 +57,14 @@ def write_counts(events: DataFrame, path: str, checkpoint: str, once: bool = Tru
             .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
 
 
+def added_up(batches: DataFrame) -> DataFrame:
+    """One row of counters for each match and player."""
+    return batches.groupBy(*metrics.KEYS).agg(*[F.sum(c).alias(c) for c in metrics.COUNTERS])
+
+
 def read_counts(batches: DataFrame) -> DataFrame:
     """Metrics of everyone from the stored counters of all batches."""
-    sums = batches.groupBy(*metrics.KEYS).agg(*[F.sum(c).alias(c) for c in metrics.COUNTERS])
-    return metrics.with_ratios(sums)
+    return metrics.with_ratios(added_up(batches))
 
 
 def read_live_metrics(batches: DataFrame, players: DataFrame) -> DataFrame:

@@ -23,8 +23,6 @@ from touchline.plans.season import Season
 from touchline.sources.sinks import latest_per_key
 from touchline.streaming.counters import trigger
 
-#: Version of the rows written at the end of a feed; any that the stream writes is newer.
-REST = -1
 CLOSED = "matchId BIGINT, closed_ms BIGINT, reason STRING"
 
 
@@ -43,7 +41,7 @@ class LastHeader(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
-        headers = pd.concat(list(rows)).sort_values(["at", "wyId"], kind="stable")
+        headers = pd.concat(list(rows)).sort_values(["at", "place", "wyId"], kind="stable")
         match, since = self.current.get() if self.current.exists() else (None, None)
         closed = []
         for other, at in zip(headers["wyId"].tolist(), headers["at"].tolist()):
@@ -71,7 +69,7 @@ class LastHeader(StatefulProcessor):
 def closed_matches(headers: DataFrame, timeout: str, delay: str) -> DataFrame:
     """(matchId, closed_ms, reason) of a stream of headers (``feed``, ``wyId``, ``header_ts``).
 
-    Feeds are independent of each other: a header closes the match before it in its own feed. One that
+    A column ``place`` orders headers of the same time, else their ids do. Feeds are independent of each other: a header closes the match before it in its own feed. One that
     comes more than ``delay`` behind others is dropped. Needs a state store with timers.
     """
     wait = int(pd.Timedelta(timeout).total_seconds() * 1000)
@@ -79,8 +77,11 @@ def closed_matches(headers: DataFrame, timeout: str, delay: str) -> DataFrame:
     # still tells how late it is.
     marked = headers.withWatermark("header_ts", delay).where(
         "IF(header_ts IS NULL, false, feed IS NOT NULL AND wyId IS NOT NULL)")
-    return marked.select("feed", "wyId", "header_ts", F.unix_millis("header_ts").alias("at")).groupBy(
-        "feed").transformWithStateInPandas(LastHeader(wait), CLOSED, "append", "EventTime")
+    place = F.col("place") if "place" in headers.columns else F.lit(0)
+    ordered = marked.select("feed", "wyId", place.alias("place"), "header_ts",
+                            F.unix_millis("header_ts").alias("at"))
+    return ordered.groupBy("feed").transformWithStateInPandas(
+        LastHeader(wait), CLOSED, "append", "EventTime")
 
 
 def to_finish(closed: DataFrame, events: DataFrame) -> DataFrame:
@@ -112,8 +113,7 @@ def write_finished(stream: DataFrame, season: Callable[[], Season],
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         matches = batch.groupBy("matchId").agg(F.max("closed").alias("closed"))
-        again = matches.where("NOT closed").join(
-            finished().where(F.col("batch_id") != batch_id), "matchId", "left_semi")
+        again = matches.where("NOT closed").join(finished(), "matchId", "left_semi")
         over = matches.where("closed").unionByName(again)
         rows = finished_rows(season(), over).withColumn("arrival", F.current_timestamp())
         rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -122,16 +122,15 @@ def write_finished(stream: DataFrame, season: Callable[[], Season],
             .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
 
 
-def write_rest(season: Season, batches: DataFrame, path: str) -> None:
-    """Store the rows of all matches that the stream has not finished. May be repeated: its folder is
-    written anew."""
-    done = batches.where(F.col("batch_id") > REST).select("matchId").distinct()
+def write_rest(season: Season, finished: DataFrame, path: str, number: int) -> None:
+    """Store the rows of all matches that have not been finished, in a folder with the negative
+    ``number``, apart from the batches of the stream."""
     dates = season.match_dates if season.match_dates is not None else sheets.match_dates(season.matches)
-    rest = dates.select("matchId").join(done, "matchId", "left_anti")
+    rest = dates.select("matchId").join(finished.select("matchId").distinct(), "matchId", "left_anti")
     finished_rows(season, rest).withColumn("arrival", F.current_timestamp()).write.mode(
-        "overwrite").parquet(f"{path}/batch_id={REST}")
+        "overwrite").parquet(f"{path}/batch_id={number}")
 
 
 def newest_rows(batches: DataFrame) -> DataFrame:
     """Career rows as they were last computed."""
-    return latest_per_key(batches, ["matchId", "playerId"])
+    return latest_per_key(batches, ["matchId", "playerId"], "arrival")

@@ -22,8 +22,9 @@ def distinct_records(records: DataFrame, key: str, time: str, delay: str) -> Dat
     """A stream of records without those sent again unchanged within ``delay``.
 
     A changed record has another digest and passes, and so does one that comes back after ``delay``.
+    Where a record stands in its batch (``place``) is no part of it.
     """
-    fields = [c for c in records.columns if c != time]
+    fields = [c for c in records.columns if c not in (time, "place")]
     marked = records.withColumn("digest", record_digest(fields)).withWatermark(time, delay)
     return marked.dropDuplicatesWithinWatermark([key, "digest"]).drop("digest")
 

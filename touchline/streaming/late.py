@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from touchline.operators import metrics
-from touchline.sources import sinks
+from touchline.sources import files
 from touchline.streaming.counters import trigger
 
 
@@ -30,13 +30,13 @@ def write_split(stream: DataFrame, path: str, checkpoint: str, delay: str, time:
         spark = batch.sparkSession
         before = f"{path}/seen/batch_id={batch_id - 1}"
         limit = None
-        if sinks.is_complete(spark, before):
+        if files.is_complete(spark, before):
             limit = spark.read.parquet(before).select(
                 F.col("seen") - F.expr(f"INTERVAL {delay}")).first()[0]
         # A row without a time cannot be behind anything.
         late = F.coalesce(F.col(time) < F.lit(limit), F.lit(False))
         rows = f"{path}/rows/batch_id={batch_id}"
-        if not sinks.is_complete(spark, rows):
+        if not files.is_complete(spark, rows):
             batch.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(rows)
         seen = spark.read.schema(batch.schema).parquet(rows).agg(F.max(time).alias("seen"))
         if limit is not None:

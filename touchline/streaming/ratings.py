@@ -185,7 +185,11 @@ def rating_stream(finished: DataFrame, seal_after: str = SEAL_AFTER,
         "playerId").transformWithStateInPandas(Careers(quiet), OUTPUT, "append", "EventTime")
 
 
+def newest_versions(lines: DataFrame) -> DataFrame:
+    """The newest version of every line, also of those that have been taken back."""
+    return latest_per_key(lines, ["playerId", "matchId"], "version")
+
+
 def newest_lines(lines: DataFrame) -> DataFrame:
     """The history: the newest version of every line that has not been taken back."""
-    newest = latest_per_key(lines, ["playerId", "matchId"], "version")
-    return newest.where(~F.col("retracted")).drop("retracted")
+    return newest_versions(lines).where(~F.col("retracted")).drop("retracted")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.operators import metrics
-from touchline.sources import records
+from touchline.sources import files, records
 from touchline.streaming.counters import trigger
 from touchline.streaming.joined import distinct_records
 
@@ -54,7 +54,8 @@ def match_intake(lines: DataFrame, again_within: str = "1 day") -> DataFrame:
 
     ``lines`` carries ``value`` and the timestamp ``ts`` it arrived at. A record sent again unchanged
     within ``again_within`` is dropped. Every version is kept, readers take the newest
-    (``records.newest_matches``), so a change is never lost.
+    (``records.newest_matches``). A record that goes back to an earlier version within that time is
+    taken for that version sent again.
     """
     found = records.read_matches(lines).withColumnRenamed("ts", "arrival")
     return distinct_records(found, "wyId", "arrival", again_within)
@@ -66,6 +67,19 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, once: bool = True)
             .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
 
 
+def append_batches(stream: DataFrame, path: str, checkpoint: str, once: bool = True
+                   ) -> StreamingQuery:
+    """Start an append-mode query that keeps each batch in its own folder. A batch that is retried
+    after it was stored is left as it is."""
+    def store(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{path}/batch_id={batch_id}"
+        if not files.is_complete(batch.sparkSession, folder):
+            batch.write.mode("overwrite").parquet(folder)
+
+    return (stream.writeStream.outputMode("append").foreachBatch(store)
+            .option("checkpointLocation", checkpoint).trigger(**trigger(once)).start())
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for a run-to-the-end query; the checkpoint lets the next run go on from there."""
     query.awaitTermination()
