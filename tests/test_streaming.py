@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from touchline.operators.ratings import rating_history
 from touchline.sources import records
 from touchline.sources.sinks import shared_folder
 from touchline.streaming import chemistry as chemistry_stream
-from touchline.streaming import counters, ratings, sessions
+from touchline.streaming import counters, finalise, joined, late, ratings, sessions, state
 
 
 def folder(spark):
@@ -63,26 +64,37 @@ def test_a_match_is_final_when_it_has_gone_quiet(spark):
     got = run(spark, lambda p, c: sessions.append_to(closed, p, c)).orderBy("matchId").collect()
     assert [(r.matchId, r.normalPasses) for r in got] == [(1, 2), (2, 1)]
     assert got[0].passAccuracy == 0.5
-    closed_rows = spark.createDataFrame(got)
-    rest = sessions.rest_of_sessions(typed, closed_rows, "3 hours").collect()
-    assert [(r.matchId, r.playerId) for r in rest] == [(3, 1)]
+    # One event late in a closed session, one before it, and a match that is still open.
+    late = stamped(spark, [(91, fx.event(1, 1, (703,))), (-30, fx.event(1, 2))])
+    whole = sessions.whole_sessions(spark.createDataFrame(got), typed.unionByName(late), "3 hours")
+    assert sorted((r.matchId, r.normalPasses, r.duelsWon, r.foulLoss) for r in whole.collect()) == [
+        (1, 2, 1, 1), (2, 1, 0, 0), (3, 0, 0, 1)]
 
 
 def test_chemistry_of_matches_in_any_order(spark):
     source, out = folder(spark), folder(spark)
-    for day in (1, 20, 10):
-        rows = finished(spark, day, [(1, 0.8), (2, 0.2), (3, 0.5)]).selectExpr(
+
+    def lines(match, people, version=1, retracted=False):
+        return finished(spark, match, people).selectExpr(
             "playerId", "matchId", "match_date", "teamId", "in_chemistry", "contribution",
             "0D AS performance", "0.5D AS previous_rating", "contribution AS rating",
-            "1L AS numMatches", "0L AS careerFouls", "0L AS careerOwnGoals", "false AS late")
-        rows.coalesce(1).write.mode("append").parquet(source)
+            "1L AS numMatches", "0L AS careerFouls", "0L AS careerOwnGoals",
+            f"{version}L AS version", f"{retracted} AS retracted")
+
+    def newest():
+        return ratings.newest_lines(spark.read.parquet(source))
+
+    three = [(1, 0.8), (2, 0.2), (3, 0.5)]
+    # The fourth part corrects a line, the fifth takes all lines of a match back.
+    for part in (lines(1, three), lines(20, three), lines(10, three), lines(1, [(2, 0.9)], 2),
+                 lines(10, three, 2, True)):
+        part.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(ratings.OUTPUT).parquet(source)
-        stored = run(spark, lambda p, c: chemistry_stream.write_deltas(
-            stream, lambda: ratings.applied(spark.read.parquet(source)), p, c), out)
+        stored = run(spark, lambda p, c: chemistry_stream.write_deltas(stream, newest, p, c), out)
     got = chemistry_stream.newest_deltas(stored)
-    want = chemistry.chemistry_deltas(spark.read.parquet(source))
+    want = chemistry.chemistry_deltas(newest())
     names = ["matchId", "player1", "player2", "delta"]
-    assert got.count() == 9
+    assert got.count() == 6
     assert sorted(map(tuple, got.select(*names).collect())) == sorted(
         map(tuple, want.select(*names).collect()))
 
@@ -121,41 +133,184 @@ def finished(spark, match, rows):
         [(p, match, day, 10 + 10 * (p % 2), True, True, c, 1, 0) for p, c in rows], ROW)
 
 
-def test_rating_state_outlives_the_run_and_marks_late_matches(spark):
+GAME_NAMES = ["playerId", "matchId", "performance", "previous_rating", "rating", "numMatches",
+              "careerFouls", "careerOwnGoals"]
+
+
+def careers(spark, seed=3):
+    """Finished matches of a few players over several years."""
+    rng = random.Random(seed)
+    return [(p, 100 * p + m, dt.date(2015, 1, 1) + dt.timedelta(days=rng.randrange(1500)),
+             rng.choice([None, 10]), rng.random() < 0.8, True, rng.random(), rng.randrange(3),
+             rng.randrange(2)) for p in range(1, 7) for m in range(40)]
+
+
+def rated(spark, parts, seal_after="1 day"):
+    """Newest lines after the parts have gone through the stream one by one, and all lines."""
+    source, out = folder(spark), folder(spark)
+    for k, rows in enumerate(parts):
+        arrived = dt.datetime(2024, 1, 1) + dt.timedelta(days=k)
+        frame = spark.createDataFrame([(*r, arrived) for r in rows], f"{ROW}, arrival TIMESTAMP")
+        frame.coalesce(1).write.mode("append").parquet(source)
+        with state.in_rocksdb(spark):
+            stream = ratings.rating_stream(
+                spark.readStream.schema(frame.schema).parquet(source), seal_after, "1 second")
+            lines = run(spark, lambda p, c: sessions.append_to(stream, p, c), out)
+    return ratings.newest_lines(lines), lines
+
+
+def same_lines(got, want):
+    def ordered(frame):
+        return [tuple(r) for r in frame.select(*GAME_NAMES).orderBy("playerId", "matchId").collect()]
+
+    assert ordered(got) == [pytest.approx(r) for r in ordered(want)]
+
+
+@pytest.mark.parametrize("seal_after", ["1 hour", "1000 days"])
+def test_ratings_of_matches_in_any_order(spark, seal_after):
+    """Late matches, with their blocks sealed long before or still open."""
+    rows = careers(spark)
+    random.Random(1).shuffle(rows)
+    got, lines = rated(spark, [rows[k::5] for k in range(5)], seal_after)
+    same_lines(got, rating_history(spark.createDataFrame(rows, ROW)))
+    assert lines.count() > got.count()
+
+
+def test_new_versions_of_matches_correct_the_ratings(spark):
+    rows = careers(spark)
+    # Another result, another day in another year, and a match that was not played after all.
+    changed = [(*r[:6], r[6] / 2, *r[7:]) for r in rows[:30:7]]
+    changed += [(*r[:2], dt.date(2014, 5, 1), *r[3:]) for r in rows[100:140:9]]
+    changed += [(*r[:4], False, *r[5:]) for r in rows[160:200:4]]
+    got, _ = rated(spark, [rows, changed], "1 hour")
+    final = {(r[0], r[1]): r for r in rows} | {(r[0], r[1]): r for r in changed}
+    same_lines(got, rating_history(spark.createDataFrame(list(final.values()), ROW)))
+
+
+def test_a_match_in_order_replays_nothing(spark):
+    rows = sorted(careers(spark), key=lambda r: r[2])
+    got, lines = rated(spark, [rows[:200], rows[200:]])
+    assert lines.count() == got.count()
+
+
+def headers(spark, rows):
+    start = dt.datetime(2018, 5, 13, 12)
+    return spark.createDataFrame(
+        [(feed, match, start + dt.timedelta(minutes=m), place) for feed, match, m, place in rows],
+        "feed INT, wyId BIGINT, header_ts TIMESTAMP, place INT")
+
+
+def closings(spark, parts, timeout="1 day", delay="1 hour"):
     source, out = folder(spark), folder(spark)
-    rounds = [finished(spark, 3, [(1, 0.8), (2, 0.2)]), finished(spark, 5, [(1, 0.4), (2, 0.9)]),
-              finished(spark, 4, [(1, 0.3)])]
-    for rows in rounds:
-        rows.coalesce(1).write.mode("append").parquet(source)
-        stream = ratings.rating_stream(spark.readStream.schema(ROW).parquet(source))
-        run(spark, lambda p, c: sessions.append_to(stream, p, c), out)
-    lines = spark.read.parquet(f"{out}/data")
-    got = {(r.playerId, r.matchId): r for r in ratings.applied(lines).collect()}
-    first = (0.8 * 0.995 + 0.5) / 2
-    assert got[1, 3].rating == pytest.approx(first)
-    assert got[1, 5].previous_rating == pytest.approx(first)
-    assert got[1, 5].rating == pytest.approx((0.4 * 0.995**2 + first) / 2)
-    assert (got[1, 5].numMatches, got[1, 5].careerFouls) == (2, 2)
-    assert list(map(tuple, ratings.to_repair(lines).collect())) == [(1, 4, dt.date(2018, 5, 4))]
-
-    everything = spark.read.parquet(source)
-    batch = rating_history(everything)
-    names = ["playerId", "matchId", "rating", "numMatches", "careerFouls"]
-
-    def ordered(frame, *columns):
-        return [pytest.approx(tuple(r)) for r in frame.select(*columns).orderBy(*columns[:2]).collect()]
-
-    mended = ratings.repaired(lines, everything)
-    assert [tuple(r) for r in mended.select(*names).orderBy(*names[:2]).collect()] == ordered(batch, *names)
-
-    stream = spark.readStream.schema(ratings.OUTPUT).parquet(f"{out}/data")
-    stored = chemistry_stream.newest_deltas(run(spark, lambda p, c: chemistry_stream.write_deltas(
-        stream, lambda: ratings.applied(spark.read.parquet(f"{out}/data")), p, c)))
-    late = ratings.to_repair(lines).select("playerId").distinct()
-    streamed = chemistry.chemistry_table(chemistry_stream.repaired(stored, mended, late))
-    whole = chemistry.chemistry_table(chemistry.chemistry_deltas(batch))
-    pair = ["player1", "player2", "chemistry"]
-    assert [tuple(r) for r in streamed.select(*pair).orderBy(*pair).collect()] == ordered(whole, *pair)
+    for rows in parts:
+        frame = headers(spark, rows)
+        frame.coalesce(1).write.mode("append").parquet(source)
+        with state.in_rocksdb(spark):
+            stream = finalise.closed_matches(
+                spark.readStream.schema(frame.schema).parquet(source), timeout, delay)
+            found = run(spark, lambda p, c: sessions.append_to(stream, p, c), out)
+    start = dt.datetime(2018, 5, 13, 12, tzinfo=dt.timezone.utc).timestamp()
+    return sorted((r.matchId, round(r.closed_ms / 60000 - start / 60), r.reason)
+                  for r in found.collect())
+
+
+def test_the_next_header_closes_a_match(spark):
+    """A feed without pauses: all but its last match are closed, feed by feed."""
+    feed = [(1, m, 10 * m, 0) for m in range(1, 9)]
+    assert closings(spark, [feed[:3], feed[3:4], [*feed[4:], (2, 99, 85, 0)]]) == [
+        (m, 10 * (m + 1), "header") for m in range(1, 8)]
+
+
+def test_headers_in_turns_late_ones_and_the_timeout(spark):
+    parts = [[(1, 5, 0, 0), (1, 6, 10, 0)], [(1, 5, 20, 0), (1, 5, 25, 0)], [(1, 4, 5, 0)],
+             [(2, 8, 30, 1), (2, 7, 30, 0)], [(3, 1, 5000, 0)]]
+    assert closings(spark, parts) == [
+        (4, 25, "header"),  # came after the next one had begun
+        (5, 10, "header"), (5, 25 + 1440, "timeout"), (6, 20, "header"),
+        (7, 30, "header"),  # of the same time, by place
+        (8, 30 + 1440, "timeout")]
+
+
+def test_events_meet_their_header_early_late_or_never(spark):
+    event_rows, header_rows, out = folder(spark), folder(spark), folder(spark)
+    start = dt.datetime(2018, 5, 13, 12)
+
+    def at(minute):
+        return start + dt.timedelta(minutes=minute)
+
+    rounds = [([(1, 1, 0), (2, 2, 0)], [(1, "a", -60)]), ([(3, 1, 20), (4, 3, 20)], [(2, "b", 30)]),
+              ([(5, 2, 60)], [(1, "a", 40), (2, "b2", 50), (3, "far", 400)]),
+              ([(9, None, 9000)], [(None, None, 9000)])]
+    for sent, known in rounds:
+        rows = spark.createDataFrame([(e, m, at(t)) for e, m, t in sent],
+                                     "event_id BIGINT, matchId BIGINT, ts TIMESTAMP")
+        heads = spark.createDataFrame(
+            [(m, at(t), label, "Played", None, 1, "v") for m, label, t in known],
+            "wyId BIGINT, header_ts TIMESTAMP, label STRING, status STRING, match_date DATE,"
+            " gameweek INT, venue STRING")
+        rows.coalesce(1).write.mode("append").parquet(event_rows)
+        heads.coalesce(1).write.mode("append").parquet(header_rows)
+        stream = joined.with_match_stream(
+            spark.readStream.schema(rows.schema).parquet(event_rows),
+            spark.readStream.schema(heads.schema).parquet(header_rows), "2 hours", "2 hours", "1 day")
+        found = run(spark, lambda p, c: sessions.append_to(stream, p, c), out)
+    got = sorted((r.event_id, r.label) for r in found.collect())
+    # A header sent again counts once, each version of a changed one gives a row.
+    assert got == [(1, "a"), (2, "b"), (2, "b2"), (3, "a"), (4, None), (5, "b"), (5, "b2")]
+    newest = joined.newest_header(found, ["event_id", "matchId", "ts"])
+    assert sorted((r.event_id, r.label) for r in newest.collect()) == [
+        (1, "a"), (2, "b2"), (3, "a"), (4, None), (5, "b2")]
+
+
+def test_late_rows_are_kept_and_counters_reconciled(spark):
+    source, gate, out = folder(spark), folder(spark), folder(spark)
+    parts = [[(0, fx.event(1, 8, (1801,))), (50, fx.event(1, 1, (703,)))],
+             [(400, fx.event(2, 8, (1801,), match=2)), (30, fx.event(1, 2))],
+             [(20, fx.event(1, 8, (1802,))), (420, fx.event(2, 10, (1801,), match=2))],
+             [(99999, fx.event(3, 2, match=None))]]
+    for rows in parts:
+        typed = stamped(spark, rows)
+        typed.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(typed.schema).parquet(source)
+        sessions.finish(late.write_split(stream, gate, f"{gate}/checkpoint", "1 hour"))
+        accepted = late.accepted_stream(spark, gate, typed.schema)
+        closed = run(spark, lambda p, c: sessions.append_to(
+            sessions.match_sessions(accepted, "3 hours", "1 hour"), p, c), out)
+    split = late.read_split(spark, gate, typed.schema)
+    assert [(r.batch_id, r.eventId) for r in split.where("late").collect()] == [(2, 8)]
+    stored = split.where("matchId IS NOT NULL")
+    found = {(r.matchId, r.playerId): r for r in late.reconciled(
+        closed, split.where("late"), stored).collect()}
+    assert all(r.agrees for r in found.values()) and len(found) == 2
+    assert (found[1, 1].actionsCounted, found[1, 1].actionsLate, found[1, 1].actionsStored) == (3, 1, 4)
+    lost = late.reconciled(closed, split.where("false"), stored).collect()
+    assert sorted((r.matchId, r.agrees) for r in lost) == [(1, False), (2, True)]
+
+
+def test_a_stored_batch_is_not_split_again(spark):
+    source, gate = folder(spark), folder(spark)
+    typed = stamped(spark, [(0, fx.event(1, 8, (1801,)))])
+    typed.write.parquet(source)
+    for checkpoint in ("a", "b"):  # the second run knows nothing of the first: a retried batch
+        stream = spark.readStream.schema(typed.schema).parquet(source)
+        sessions.finish(late.write_split(stream, gate, f"{gate}/{checkpoint}", "1 hour"))
+    assert late.read_split(spark, gate, typed.schema).count() == 1
+
+
+def test_a_header_sent_in_turns_is_stored_once(spark):
+    source = folder(spark)
+    turns = [(1, "Played"), (2, "Played")] * 3 + [(1, "Suspended"), (2, "Played")]
+    rows = [(dt.datetime(2018, 5, 13, 12, i), json.dumps(fx.match(m, []) | {"status": status}))
+            for i, (m, status) in enumerate(turns)]
+    out = folder(spark)
+    for k in range(0, len(rows), 3):
+        frame = spark.createDataFrame(rows[k:k + 3], "ts TIMESTAMP, value STRING")
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(frame.schema).parquet(source)
+        stored = run(spark, lambda p, c: sessions.append_to(
+            sessions.match_intake(stream).select("wyId", "status"), p, c), out)
+    assert sorted(map(tuple, stored.collect())) == [
+        (1, "Played"), (1, "Suspended"), (2, "Played")]
 
 
 def test_stop_commits_what_has_arrived(spark):
