@@ -23,6 +23,54 @@ COUNTS = """count(*) filter (where pass in ('acc', 'plain')) as "normalPasses",
     count(*) filter (where t102) as "ownGoals"
     """
 
+def _fit() -> str:
+    """The clustering as a recursive query: first centers one after the other, then rounds of means."""
+    columns = ["height", "weight", "coalesce(fouls, 0)", "coalesce(goals, 0)",
+               "coalesce(own_goals, 0)",
+               "coalesce((acc_normal + 2 * acc_key) / nullif(normal + 2 * keyed, 0), 0)",
+               "coalesce(on_target, 0)", "coalesce(normal, 0)", "coalesce(keyed, 0)",
+               "coalesce(acc_normal, 0)", "coalesce(acc_key, 0)", "f.rating", "f.matches"]
+    x = ", ".join(f"cast(floor(cast({c} as double) * 1000 + 0.5000001) as bigint)" for c in columns)
+
+    def apart(center: str) -> str:
+        return "(" + " + ".join(f"cast(x[{i}] - {center}[{i}] as double)"
+                                f" * cast(x[{i}] - {center}[{i}] as double)"
+                                for i in range(1, len(columns) + 1)) + ")"
+
+    starts = ['fx_c1 as (select arg_min(x, "Id") as c1 from fx_points)']
+    for k in range(2, 6):
+        known = [f"c{i}" for i in range(1, k)]
+        far = ", ".join(apart(c) for c in known)
+        starts.append(f"""fx_c{k} as (select {", ".join(known)}, x as c{k} from fx_points, fx_c{k - 1}
+          order by least({far}) desc, "Id" limit 1)""")
+    every = ", ".join(apart(f"centers[{k}]") for k in range(1, 6))
+    means = ", ".join(f"cast(sum(x[{i}]) // count(*) as bigint)" for i in range(1, len(columns) + 1))
+    return f"""fx_points as (
+  select p."Id", [{x}] as x
+  from fx_players p join profiled f on f."Id" = p."Id" left join totals t on t."playerId" = p."Id"),
+{", ".join(starts)},
+fx_fit as (
+  select 0 as round, [c1, c2, c3, c4, c5] as centers, true as moving from fx_c5
+  union all
+  select round + 1, next, next <> centers from (
+    select round, centers, list_transform(range(5), lambda k: coalesce(
+      list_extract(list_filter(found, lambda f: f.k = k), 1).c, centers[k + 1])) as next
+    from (
+      select round, centers, list({{'k': k, 'c': c}}) as found from (
+        select round, centers, k, [{means}] as c from (
+          select round, centers, x, list_position(far, list_min(far)) - 1 as k from (
+            select round, centers, x, [{every}] as far from fx_fit, fx_points
+            where moving and round < 20))
+        group by round, centers, k)
+      group by round, centers))),
+fx_clusters as (
+  select "Id", cast(list_position(far, list_min(far)) - 1 as int) as prediction from (
+    select "Id", [{every}] as far
+    from fx_points, (select centers from fx_fit order by round desc limit 1)))"""
+
+
+CLUSTERS = _fit()
+
 VIEWS = """
 fx_teams as (
   select s_suppkey + 1 as "Id", s_name as name from supplier
@@ -33,7 +81,11 @@ fx_players as (
   select c_custkey as "Id", c_name as name, c_custkey // 14 + 1 as "teamId", c_custkey % 14 as slot,
     case when c_custkey % 14 = 0 then 'GK' when c_custkey % 14 in (1, 2, 3, 4, 12) then 'DF'
          when c_custkey % 14 in (5, 6, 7, 8, 13) then 'MD' else 'FW' end as role,
-    cast(165 + c_custkey % 31 as int) as height, cast(60 + c_custkey % 37 as int) as weight
+    cast(165 + c_custkey % 31 as int) as height, cast(60 + c_custkey % 37 as int) as weight,
+    'Area ' || c_custkey % 7 as "birthArea",
+    date '1983-01-01' + cast(c_custkey * 37 % 7300 as int) as "birthDate",
+    case when c_custkey % 4 = 0 then 'left' else 'right' end as foot,
+    case when c_custkey % 5 <> 0 then 'Area ' || c_custkey % 3 end as "passportArea"
   from customer),
 fx_pairs as (
   select ("teamId" - 1) // 2 as m, count(*) as players from fx_players group by 1
@@ -169,20 +221,24 @@ totals as (
 profiled as (
   select "Id", coalesce(rating, 0.5) as rating, coalesce(matches, 0) as matches
   from fx_players left join latest on "playerId" = "Id"),
+{CLUSTERS},
 smooth as (
-  select "Id", case when matches < 5 then avg(rating) over (partition by "Id" % 5) else rating end
-    as rating from profiled),
+  select "Id", matches, prediction, rating as own_rating,
+    case when matches < 5 then avg(rating) over (partition by prediction) else rating end as rating
+  from profiled join fx_clusters using ("Id")),
 asked as (
   select m * 10 + kind as request_seq, kind, m,
     case when kind = 1 and team = 1 and slot = 8 then 13 when kind = 2 and team = 1 and slot = 1 then 0
-         when kind = 4 and team = 1 and slot = 0 then 12 else slot end as who,
-    kind = 3 and team = 1 and slot = 3 as unknown, team, cast(slot + 1 as int) as slot
+         when slot = 0 and (team = 1 and kind in (4, 6) or team = 2 and kind in (5, 6)) then 12
+         else slot end as who,
+    kind in (3, 7) and team = 1 and slot = kind % 5 + case kind when 7 then 3 else 0 end as unknown,
+    team, cast(slot + 1 as int) as slot
   from (select m from fx_pairs where players = 28),
-    (select unnest(range(5)) as kind), (select unnest([1, 2]) as team),
+    (select unnest(range(8)) as kind), (select unnest([1, 2]) as team),
     (select unnest(range(11)) as slot)),
 places as (
   select request_seq, kind, m, team, s.slot,
-    case when unknown then 'No Such Player' else p.name end as name,
+    case when not unknown then p.name when kind = 3 then 'No Such Player' end as name,
     case when not unknown then p."Id" end as "Id", case when not unknown then p.role end as role,
     case when not unknown then smooth.rating end as rating
   from asked s join fx_players p on p."teamId" = 2 * m + team and p.slot = s.who
@@ -218,7 +274,8 @@ verdicts as (
   select *,
     case when request_seq not in (select request_seq from eligible) then 'Player Does Not Exist'
          when not valid2 then 'Team 2 is Invalid' when not valid1 then 'Team 1 is Invalid' end as msg,
-    case when any_missing then 'Player : ' || missing || ' does not exist'
+    case when any_missing
+           then coalesce('Player : ' || missing || ' does not exist', 'Player Does Not Exist')
          when not valid1 then 'Team 1 is Invalid' when not valid2 then 'Team 2 is Invalid'
          when request_seq not in (select request_seq from eligible) then 'Player Does Not Exist'
     end as detail
@@ -229,9 +286,8 @@ predictions as (
     case when msg is null then 50 - 50 * (strength1 - strength2) end as chance2, msg, detail
   from verdicts v left join strengths using (request_seq)),
 answers as (
-  select "Id" + 1000000000000000 as request_seq, p.name, cast(null as varchar) as "birthArea",
-    cast(null as varchar) as "birthDate", cast(null as varchar) as foot, role, height,
-    cast(null as varchar) as "passportArea", weight,
+  select "Id" + 1000000000000000 as request_seq, p.name, "birthArea",
+    strftime("birthDate", '%Y-%m-%d') as "birthDate", foot, role, height, "passportArea", weight,
     coalesce(fouls, 0) as fouls, coalesce(goals, 0) as goals, coalesce(own_goals, 0) as own_goals,
     cast(coalesce(round(100 * ((acc_normal + 2 * acc_key) / nullif(normal + 2 * keyed, 0))), 0) as int)
       as percent_pass_accuracy,
@@ -265,8 +321,50 @@ reports as (
     case when status <> 'Played' then 'Match was ' || status end as msg
   from fx_matches m left join fx_teams t on t."Id" = m.winner left join lists l on l."matchId" = m."wyId"
   union all
-  select 2999999999999999, null, null, null, null, null, null, null, null, null, null, 'No Matches found')
-""".replace("{COUNTS}", COUNTS)
+  select 2999999999999999, null, null, null, null, null, null, null, null, null, null, 'No Matches found'),
+responses as (
+  select request_seq, 1 as req_type, case when msg is not null then '{"msg":"' || msg || '"}' end as body,
+    case when msg is null then name1 end as name1, case when msg is null then name2 end as name2,
+    case when msg is null then round(chance1 + 1e-10, 6) end as chance1,
+    case when msg is null then round(chance2 + 1e-10, 6) end as chance2
+  from predictions
+  union all
+  select request_seq, 2, case when msg is not null then '{"msg":"' || msg || '"}' else
+    cast(to_json({'name': name, 'birthArea': "birthArea", 'birthDate': "birthDate", 'foot': foot,
+      'role': role, 'height': height, 'passportArea': "passportArea", 'weight': weight,
+      'fouls': fouls, 'goals': goals, 'own_goals': own_goals,
+      'percent_pass_accuracy': percent_pass_accuracy,
+      'percent_shots_on_target': percent_shots_on_target}) as varchar) end, null, null, null, null
+  from answers
+  union all
+  select request_seq, 3, case when msg is not null then '{"msg":"' || msg || '"}' else
+    '{"date":"' || date || '","duration":"' || duration || '","label":"' || label || '","winner":"'
+      || winner || '","venue":"' || venue || '","gameweek":' || gameweek || ',"goals":' || goals
+      || ',"own_goals":' || own_goals || ',"yellow_cards":' || yellow_cards || ',"red_cards":'
+      || red_cards || '}' end, null, null, null, null
+  from reports
+  union all
+  select 3000000000000000, 9, '{"msg":"Invalid request"}', null, null, null, null),
+sent as (
+  select p.request_seq, 1 as req_type, name1 as asked, f.name as player1
+  from predictions p join places f on f.request_seq = p.request_seq and f.team = 1 and f.slot = 1
+  union all select "Id" + 1000000000000000, 2, name, null from fx_players
+  union all select 1999999999999999, 2, 'No Such Player', null
+  union all select "wyId" + 2000000000000000, 3, label, null from fx_matches
+  union all select 2999999999999999, 3, 'No Such Match', null
+  union all select 3000000000000000, 9, null, null),
+feed as (
+  select match_date, "matchId", true as is_event, event_id, cast(null as varchar) as label,
+    '{"eventId":' || "eventId" || ',"subEventId":"' || "subEventId" || '","playerId":' || "playerId"
+      || ',"matchId":' || "matchId" || ',"tags":[' || array_to_string(list_transform(list_filter([
+        case when t701 then 701 when t702 then 702 when t703 then 703 when t1801 then 1801
+             when t1802 then 1802 end, case when t302 then 302 when t101 then 101 end,
+        case when t102 then 102 end], lambda t: t is not null),
+        lambda t: '{"id":' || t || '}'), ',') || ']}' as event
+  from fx_events join fx_matches on "wyId" = "matchId"
+  union all
+  select match_date, "wyId", false, null, label, null from fx_matches)
+""".replace("{COUNTS}", COUNTS).replace("{CLUSTERS}", CLUSTERS)
 
 _COUNTERS = """"normalPasses", "keyPasses", "accNormalPasses", "accKeyPasses", "duelsWon",
   "neutralDuels", "totalDuels", "effectiveFreeKicks", "penaltiesScored", "totalFreeKicks",
@@ -303,7 +401,9 @@ BODIES = {
       0 as "keyPasses", 0 as "accNormalPasses", 0 as "accKeyPasses", 0 as "numMatches",
       0.5::double as rating, 0.5::double as "previousRating" from fx_players""",
     "scan_teams": 'select "Id", name from fx_teams',
-    "players_from_csv": _PLAYERS,
+    "players_from_csv": """select "Id", name, role, height, weight, "birthArea", foot,
+      "passportArea", "birthDate" from fx_players""",
+    "teams_from_csv": 'select "Id", name from fx_teams',
     "player_ids": 'select "Id" from fx_players',
     "preview_players": _PLAYERS + ' order by "Id" limit 5',
     "events_typed": """select "matchId", "playerId", "eventId", "subEventId", t101 as t_goal,
@@ -311,8 +411,8 @@ BODIES = {
       t1801 as t_acc, t1802 as t_inacc from fx_events""",
     "events_with_match": """select event_id, "matchId", "playerId", "eventId", status, match_date,
       label, gameweek, venue from fx_events join fx_matches on "wyId" = "matchId\"""",
-    "feed_lines": """select event_id, "matchId", true as is_event from fx_events
-      union all select null, "wyId", false from fx_matches""",
+    "feed_lines": """select event, label,
+      row_number() over (order by match_date, "matchId", is_event, event_id) - 1 as line_no from feed""",
     "pass_counters": """select "matchId", "playerId", "normalPasses", "keyPasses",
       "accNormalPasses", "accKeyPasses" from counted""",
     "duel_counters": """select "matchId", "playerId", "duelsWon", "neutralDuels", "totalDuels"
@@ -387,8 +487,20 @@ BODIES = {
     "predict_responses": """select request_seq, name1, name2, round(chance1 + 1e-10, 6) as chance1,
       round(chance2 + 1e-10, 6) as chance2, msg, detail from predictions""",
     "player_profile": "select * from answers",
-    "cluster_smoothing": """select "Id", name, matches as "numMatches", true as in_range,
-      true as veteran_kept, true as rookie_mean from profiled join fx_players using ("Id")""",
+    "cluster_smoothing": """select prediction, count(*) as players,
+      count(*) filter (where matches < 5) as rookies, round(avg(own_rating) + 1e-10, 6) as mean_rating,
+      round(avg(rating) + 1e-10, 6) as mean_smoothed from smooth group by 1""",
+    "predict_smoothed": """select "Id", matches as "numMatches", prediction,
+      round(own_rating + 1e-10, 6) as rating, round(rating + 1e-10, 6) as smoothed_rating from smooth""",
+    "chemistry_dense": """select a."teamId", a."Id" as player1, b."Id" as player2,
+      round(coalesce(chemistry, 0.5) + 1e-10, 6) as chemistry
+      from fx_players a join fx_players b on a."teamId" = b."teamId" and a."Id" < b."Id"
+      left join chem on player1 = a."Id" and player2 = b."Id\"""",
+    "requests_numbered": """select row_number() over (order by request_seq) - 1 as request_seq,
+      req_type, asked, player1 from sent""",
+    "responses_written": """select row_number() over (order by request_seq) - 1 as line_no,
+      body, name1, name2, chance1, chance2 from responses""",
+    "request_dispatch": "select * from responses",
     "match_report": "select * from reports",
     "match_goals": """select f."matchId", f.name, t.name as team, goals, own_goals as "ownGoals"
       from fx_formation f join fx_teams t on t."Id" = f."teamId"
@@ -397,13 +509,6 @@ BODIES = {
       red as "redCards" from fx_formation f join fx_teams t on t."Id" = f."teamId"
       where yellow <> '0' or red <> '0'""",
     "append_matches": _MATCHES,
-    "request_dispatch": """
-      select request_seq, 1 as req_type, case when msg is null then name1 end as name,
-        case when msg is null then round(chance1 + 1e-10, 6) end as chance, null as goals, msg
-      from predictions
-      union all select request_seq, 2, name, null, cast(goals as varchar), msg from answers
-      union all select request_seq, 3, label, null, goals, msg from reports
-      union all select 3000000000000000, 9, null, null, null, 'Invalid request'""",
     "stream_live_metrics": _METRICS,
     "stream_ratings": _HISTORY,
     "stream_chemistry": _CHEMISTRY,
@@ -413,5 +518,5 @@ BODIES = {
 def oracle_sql() -> dict[str, str]:
     from catalog.stream_oracle import STREAMS, VIEWS as STREAM_VIEWS
 
-    plain = {name: f"with {VIEWS}\n{body}" for name, body in BODIES.items()}
-    return plain | {name: f"with {VIEWS},\n{STREAM_VIEWS}\n{body}" for name, body in STREAMS.items()}
+    plain = {name: f"with recursive {VIEWS}\n{body}" for name, body in BODIES.items()}
+    return plain | {name: f"with recursive {VIEWS},\n{STREAM_VIEWS}\n{body}" for name, body in STREAMS.items()}

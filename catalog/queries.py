@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from touchline import schemas
 from touchline.operators import chemistry, events, metrics, ordered, sheets, smoothing, squads
 from touchline.plans import requests as answers
 from touchline.plans.season import Season
-from touchline.sources import records, sinks, tables
+from touchline.sources import numbering, records, sinks, tables
 from touchline.sources.bridge import Bridge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +61,17 @@ def players_from_csv(b: Bridge) -> DataFrame:
     path = sinks.shared_folder(b.spark, "players-csv")
     known = tables.with_career_defaults(b.players)
     known.select(*schemas.PLAYER).write.option("header", True).csv(path)
-    return tables.read_players(b.spark, path).select("Id", "name", "role", "height", "weight")
+    return tables.read_players(b.spark, path).select(
+        "Id", "name", "role", "height", "weight", "birthArea", "foot", "passportArea",
+        F.col("birthDate").cast("date").alias("birthDate"))
+
+
+@query
+def teams_from_csv(b: Bridge) -> DataFrame:
+    """Team file written with header and read back by schema."""
+    path = sinks.shared_folder(b.spark, "teams-csv")
+    b.teams.select(*schemas.TEAM).write.option("header", True).csv(path)
+    return tables.read_teams(b.spark, path)
 
 
 @query
@@ -99,8 +110,14 @@ def events_with_match(b: Bridge) -> DataFrame:
 
 @query
 def feed_lines(b: Bridge) -> DataFrame:
+    """The whole feed written as text files and read back: every line with its number."""
     known = events.of_known_players(b.events, b.players)
-    return records.feed_lines(known, b.season.matches).select("event_id", "matchId", "is_event")
+    path = sinks.shared_folder(b.spark, "feed")
+    records.feed_lines(known, b.season.matches).select("value").write.text(path)
+    lines = numbering.numbered(numbering.text_lines(b.spark, path), "line_no")
+    label = F.get_json_object("value", "$.label")
+    return lines.select("line_no", F.when(label.isNull(), F.col("value")).alias("event"),
+                        label.alias("label"))
 
 
 @query
@@ -276,6 +293,15 @@ def chemistry_as_of(b: Bridge) -> DataFrame:
     return rounded(rows.select("player1", "player2", "matchId", "chemistry"), "chemistry")
 
 
+@query
+def chemistry_dense(b: Bridge) -> DataFrame:
+    """All pairs of every team's squad, at the start value where two never shared a pitch."""
+    squad = b.players.select("teamId", F.col("Id").alias("playerId"))
+    found = chemistry.dense_chemistry(squad, b.lineup_season.with_stored("chemistry").chemistry,
+                                      ["teamId"])
+    return rounded(found, "chemistry")
+
+
 # Requests
 
 
@@ -284,13 +310,8 @@ def prediction_season(b: Bridge) -> Season:
     return b.lineup_season.with_stored("counts", "history", "profiles", "rated_names", "chemistry")
 
 
-def clusters(b: Bridge) -> DataFrame:
-    """Clusters that SQL can make too, in place of the fit."""
-    return b.players.select("Id", (F.col("Id") % 5).cast("int").alias("prediction"))
-
-
 def judged(b: Bridge, season: Season) -> DataFrame:
-    return answers.judged_squads(b.requests, season, clusters=clusters(b))
+    return answers.judged_squads(b.requests, season)
 
 
 @query
@@ -337,27 +358,28 @@ def win_chances(b: Bridge) -> DataFrame:
 
 @query
 def predict_responses(b: Bridge) -> DataFrame:
-    predictions = answers.win_predictions(b.requests, prediction_season(b), clusters=clusters(b))
+    predictions = answers.win_predictions(b.requests, prediction_season(b))
     return rounded(predictions, "chance1", "chance2")
 
 
 @query
 def predict_smoothed(b: Bridge) -> DataFrame:
-    """All prediction requests, players with few matches rated by their cluster."""
-    season = b.lineup_season.with_stored("counts", "history", "chemistry", "profiles")
-    return answers.win_predictions(b.prediction_requests, season)
+    """Ratings that predictions use: players with few matches are rated by their cluster."""
+    season = b.lineup_season.with_stored("counts", "profiles")
+    smoothed = smoothing.smooth_ratings(season.profiles)
+    return rounded(smoothed.select("Id", "numMatches", "prediction", "rating", "smoothed_rating"),
+                   "rating", "smoothed_rating")
 
 
 @query
 def cluster_smoothing(b: Bridge) -> DataFrame:
+    """Size and mean rating of every cluster."""
     season = b.lineup_season.with_stored("counts", "profiles")
-    fitted = sinks.materialise(smoothing.smooth_ratings(season.profiles), "smoothed")
-    means = fitted.groupBy("prediction").agg(F.avg("rating").alias("mean"))
-    rookie = F.col("numMatches") < 5
-    return fitted.join(means, "prediction").select(
-        "Id", "name", "numMatches", F.col("prediction").between(0, 4).alias("in_range"),
-        (rookie | (F.col("smoothed_rating") == F.col("rating"))).alias("veteran_kept"),
-        (~rookie | (F.abs(F.col("smoothed_rating") - F.col("mean")) < 1e-9)).alias("rookie_mean"))
+    smoothed = smoothing.smooth_ratings(season.profiles)
+    means = smoothed.groupBy("prediction").agg(
+        F.count("*").alias("players"), F.count_if(F.col("numMatches") < 5).alias("rookies"),
+        F.avg("rating").alias("mean_rating"), F.avg("smoothed_rating").alias("mean_smoothed"))
+    return rounded(means, "mean_rating", "mean_smoothed")
 
 
 @query
@@ -400,20 +422,75 @@ def match_cards(b: Bridge) -> DataFrame:
         "matchId", "name", "team", "yellowCards", "redCards")
 
 
-@query
-def request_dispatch(b: Bridge) -> DataFrame:
-    """Requests of all types as JSON lines in, answers as JSON lines out, read back field by field."""
-    season = stored_matches(b).with_stored(
-        "counts", "history", "profiles", "by_name", "chemistry")
+def request_lines(b: Bridge) -> DataFrame:
     fields = [c for c in b.requests.columns if c != "request_seq"]
-    lines = b.requests.select("request_seq", F.to_json(F.struct(*fields)).alias("value"))
-    stored = sinks.materialise(lines, "requests")
-    out = answers.answer_requests(tables.parse_requests(stored), season, clusters=clusters(b))
+    return b.requests.select("request_seq", F.to_json(F.struct(*fields)).alias("value"))
+
+
+def answer_season(b: Bridge) -> Season:
+    return stored_matches(b).with_stored("counts", "history", "profiles", "by_name", "chemistry")
+
 
-    def field(path: str):
-        return F.get_json_object("response", path)
+def bodies(out: DataFrame, *keys: str) -> DataFrame:
+    """Answers as they are, but for the chances, which are numbers to be rounded."""
+    def chance(team: int) -> Column:
+        path = f"$.team{team}['winning chance']"
+        return settled(F.get_json_object("response", path).cast("double")).alias(f"chance{team}")
 
-    name = F.coalesce(field("$.team1.name"), field("$.label"), field("$.name"))
-    chance = settled(field("$.team1['winning chance']").cast("double"))
-    return out.select("request_seq", "req_type", name.alias("name"), chance.alias("chance"),
-                      field("$.goals").alias("goals"), field("$.msg").alias("msg"))
+    names = [F.get_json_object("response", f"$.team{t}.name").alias(f"name{t}") for t in (1, 2)]
+    body = F.when(F.get_json_object("response", "$.team1").isNull(), F.col("response"))
+    return out.select(*keys, body.alias("body"), *names, chance(1), chance(2))
+
+
+@query
+def request_dispatch(b: Bridge) -> DataFrame:
+    """Requests of all types as JSON lines in, answers as JSON lines out."""
+    stored = sinks.materialise(request_lines(b), "requests")
+    out = answers.answer_requests(tables.parse_requests(stored), answer_season(b))
+    return bodies(out, "request_seq", "req_type")
+
+
+def request_files(b: Bridge, files: int = 3) -> str:
+    """Request lines in several files, in order from file to file; answers by what lies before."""
+    path = sinks.shared_folder(b.spark, "request-files")
+    lines = request_lines(b).repartitionByRange(files, "request_seq").sortWithinPartitions(
+        "request_seq")
+    lines.select("value").write.text(path)
+    return path
+
+
+@contextmanager
+def small_splits(b: Bridge, size: str = "16k") -> Iterator[None]:
+    """Files are read in splits of this size, so that small ones have several too."""
+    names = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1k"}
+    before = {n: b.spark.conf.get(n) for n in names}
+    for n, value in names.items():
+        b.spark.conf.set(n, value)
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            b.spark.conf.set(n, value)
+
+
+@query
+def requests_numbered(b: Bridge) -> DataFrame:
+    """Three files of requests of several splits each, numbered in line order."""
+    path = request_files(b)
+    with small_splits(b):
+        found = sinks.materialise(tables.read_requests(b.spark, path), "numbered")
+    return found.select("request_seq", "req_type", F.coalesce("name", "label", "team1.name")
+                        .alias("asked"), F.col("team1.player1").alias("player1"))
+
+
+@query
+def responses_written(b: Bridge) -> DataFrame:
+    """Request files in, a file of answers out: read back, the answers stand in the order of the
+    requests."""
+    path = request_files(b)
+    out = sinks.shared_folder(b.spark, "responses")
+    with small_splits(b):
+        sinks.write_responses(answers.answer_requests(
+            tables.read_requests(b.spark, path), answer_season(b)), out)
+    lines = numbering.numbered(numbering.text_lines(b.spark, out), "line_no")
+    return bodies(lines.withColumnRenamed("value", "response"), "line_no")

@@ -31,7 +31,3 @@ RETIRED_BELOW = 0.2
 ROOKIE_BELOW = 5
 SQUAD_SIZE = 11
 CLUSTERS = 5
-CLUSTER_SEED = 1
-
-# Partitions of the clustering fit.
-CLUSTER_PARTITIONS = 32

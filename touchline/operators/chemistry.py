@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from touchline.functions import codes, formulas
 
 PAIR = ["player1", "player2"]
+#: Ids of a block of dense pairs.
+BLOCK_ROWS = 256
 
 
 def participants(history: DataFrame) -> DataFrame:
@@ -67,3 +69,41 @@ def lookup(pairs: DataFrame, chemistry: DataFrame) -> DataFrame:
     """Chemistry of given pairs, the initial value for those without a row."""
     value = F.coalesce("chemistry", F.lit(codes.INITIAL_CHEMISTRY))
     return pairs.join(chemistry, PAIR, "left").withColumn("chemistry", value)
+
+
+def dense_pairs(ids: DataFrame, group: list[str] | None = None, block_rows: int = BLOCK_ROWS
+                ) -> DataFrame:
+    """All unordered pairs of the ids (column ``playerId``) of each group, lower id first.
+
+    Ids are dealt to blocks of about ``block_rows``, and only pairs of blocks are made, each with its
+    place in the upper triangle as a key: a task holds two blocks at a time, however many ids
+    there are, and an id is copied once for each block, not for each partner.
+    """
+    group = group or []
+    known = ids.select(*group, "playerId").where("playerId IS NOT NULL").distinct()
+    sizes = known.groupBy(*group).agg(
+        F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    if group:
+        sizes = sizes.withColumnsRenamed({g: f"{g}_2" for g in group})
+        same = [F.col(g).eqNullSafe(F.col(f"{g}_2")) for g in group]
+        dealt = known.join(sizes, same).select(*group, "playerId", "blocks")
+    else:
+        dealt = known.join(F.broadcast(sizes))  # one row
+    block = F.pmod(F.xxhash64("playerId"), F.col("blocks")).cast("int")
+    dealt = dealt.withColumn("block", block)
+    upper = dealt.select(*group, F.col("playerId").alias("id1"), F.col("block").alias("row"),
+                         F.explode(F.sequence("block", F.col("blocks") - 1)).alias("col"))
+    lower = dealt.select(*[F.col(g).alias(f"{g}_2") for g in group], F.col("playerId").alias("id2"),
+                         F.explode(F.sequence(F.lit(0), F.col("block"))).alias("row_2"),
+                         F.col("block").alias("col_2"))
+    met = [F.col(g).eqNullSafe(F.col(f"{g}_2")) for g in group]
+    pairs = upper.join(lower, [*met, F.col("row") == F.col("row_2"), F.col("col") == F.col("col_2")])
+    # In a block with itself every pair comes twice.
+    once = pairs.where((F.col("row") < F.col("col")) | (F.col("id1") < F.col("id2")))
+    return once.select(*group, *pair_key(F.col("id1"), F.col("id2")))
+
+
+def dense_chemistry(ids: DataFrame, chemistry: DataFrame, group: list[str] | None = None
+                    ) -> DataFrame:
+    """Chemistry of all pairs of the given ids, those included that never shared a pitch."""
+    return lookup(dense_pairs(ids, group), chemistry)

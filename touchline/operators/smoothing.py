@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import codes
-from touchline.sources.sinks import materialise
+from touchline.operators.clustering import clusters as fitted_clusters
 
 # Fixed values of the model; the id is left out because it says nothing about play.
 FEATURES = [
@@ -17,22 +15,6 @@ FEATURES = [
 ]
 
 
-def assign_clusters(profiles: DataFrame, features: list[str] = FEATURES) -> DataFrame:
-    """Profiles with their cluster in ``prediction``; rows lacking a feature are left out.
-
-    The fit and the later scoring read the profiles several times: hand in a materialised
-    table rather than a long plan.
-    """
-    vectors = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
-    # The fit depends on how rows are dealt out and ordered, so both are fixed, not the cluster's.
-    dealt = profiles.repartition(codes.CLUSTER_PARTITIONS, "Id").sortWithinPartitions("Id")
-    assembled = vectors.transform(materialise(dealt, "clustering")
-                                  .repartition(codes.CLUSTER_PARTITIONS, "Id")
-                                  .sortWithinPartitions("Id"))
-    model = KMeans(k=codes.CLUSTERS, seed=codes.CLUSTER_SEED, featuresCol="features").fit(assembled)
-    return model.transform(assembled).drop("features")
-
-
 def cluster_ratings(clustered: DataFrame) -> DataFrame:
     return clustered.groupBy("prediction").agg(F.avg("rating").alias("cluster_rating"))
 
@@ -43,7 +25,7 @@ def smooth_ratings(profiles: DataFrame, features: list[str] = FEATURES,
     fewer than five matches, their own rating for everyone else. ``clusters`` (Id, prediction)
     takes the place of the fit."""
     if clusters is None:
-        clusters = assign_clusters(profiles, features).select("Id", "prediction")
+        clusters = fitted_clusters(profiles, features, codes.CLUSTERS)
     clustered = profiles.select("Id", "rating").join(clusters, "Id")
     # At most one row per cluster, so the broadcast is bounded by the number of clusters.
     means = F.broadcast(cluster_ratings(clustered))

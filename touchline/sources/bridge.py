@@ -108,8 +108,11 @@ class Bridge:
             f"CASE WHEN {slot} = 0 THEN 'GK' WHEN {slot} IN (1, 2, 3, 4, 12) THEN 'DF'"
             f" WHEN {slot} IN (5, 6, 7, 8, 13) THEN 'MD' ELSE 'FW' END AS role",
             "CAST(165 + c_custkey % 31 AS INT) AS height", "CAST(60 + c_custkey % 37 AS INT) AS weight",
-            "CAST(NULL AS STRING) AS birthArea", "CAST(NULL AS TIMESTAMP) AS birthDate",
-            "CAST(NULL AS STRING) AS foot", "CAST(NULL AS STRING) AS passportArea")
+            "'Area ' || c_custkey % 7 AS birthArea",
+            "CAST(date_add(DATE'1983-01-01', CAST(c_custkey * 37 % 7300 AS INT)) AS TIMESTAMP)"
+            " AS birthDate",
+            "IF(c_custkey % 4 = 0, 'left', 'right') AS foot",
+            "IF(c_custkey % 5 = 0, NULL, 'Area ' || c_custkey % 3) AS passportArea")
 
     @cached_property
     def events(self) -> DataFrame:
@@ -228,8 +231,9 @@ class Bridge:
 
     @cached_property
     def prediction_requests(self) -> DataFrame:
-        """Five prediction requests per pair of full teams: the starters; a squad with a player who
-        never played; a repeated name; an unknown name; no keeper."""
+        """Eight prediction requests per pair of full teams: the starters; a squad with a player who
+        never played; a repeated name; an unknown name; no keeper in the first squad, in the second,
+        in both; a place without a name."""
         squads = self.players.groupBy("teamId").agg(F.expr(
             "transform(array_sort(collect_list(struct(slot, name))), s -> s.name) AS names"))
         squads = squads.where(F.size("names") == SQUAD)
@@ -245,11 +249,13 @@ class Bridge:
                       for i, slot in enumerate(schemas.SQUAD_SLOTS)]
             return f"struct('Side {team} of ' || m AS name, {', '.join(places)})"
 
-        kinds = [{}, {8: "get(names1, 13)"}, {1: "get(names1, 0)"}, {3: "'No Such Player'"},
-                 {0: "get(names1, 12)"}]
+        no_keeper = [{0: f"get(names{team}, 12)"} for team in (1, 2)]
+        kinds = [({}, {}), ({8: "get(names1, 13)"}, {}), ({1: "get(names1, 0)"}, {}),
+                 ({3: "'No Such Player'"}, {}), (no_keeper[0], {}), ({}, no_keeper[1]), no_keeper,
+                 ({5: "CAST(NULL AS STRING)"}, {})]
         variants = ", ".join(
-            f"struct({i} AS kind, {squad(1, swaps)} AS team1, {squad(2, {})} AS team2)"
-            for i, swaps in enumerate(kinds))
+            f"struct({i} AS kind, {squad(1, first)} AS team1, {squad(2, second)} AS team2)"
+            for i, (first, second) in enumerate(kinds))
         return pairs.selectExpr("m", f"inline(array({variants}))").selectExpr(
             "m * 10 + kind AS request_seq", "1 AS req_type", "'2024-02-01' AS date",
             "CAST(NULL AS STRING) AS name", "CAST(NULL AS STRING) AS label", "team1", "team2")
