@@ -3,7 +3,7 @@ no stream is imitated."""
 
 from __future__ import annotations
 
-from catalog.oracle import _COUNTERS, _MATCHES, COUNTS
+from catalog.oracle import _COUNTERS, _MATCHES, _METRICS, BODIES, COUNTS
 
 VIEWS = """
 st_parts as (
@@ -63,4 +63,7 @@ STREAMS = {
       from contrib c
         left join counted r on r."matchId" = c."matchId" and r."playerId" = c."playerId"
       where match_date is not null""",
+    "stream_lines": BODIES["events_typed"],
+    "stream_merged_counts": _METRICS,
+    "stream_requests": BODIES["responses_written"],
 }

@@ -10,13 +10,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.feeds import PARTS, Feed, part_by_time, play
-from catalog.queries import HEADER, HISTORY, KEYS, query, rounded
+from catalog.queries import (
+    HEADER,
+    HISTORY,
+    KEYS,
+    answer_season,
+    bodies,
+    query,
+    request_lines,
+    rounded,
+)
 from touchline.operators import chemistry, events, metrics
 from touchline.plans.season import Season
-from touchline.sources import records, sinks
+from touchline.sources import numbering, records, sinks
 from touchline.sources.bridge import DAYS_APART, Bridge
+from touchline.sources.snapshots import Kept, Snapshots
 from touchline.streaming import chemistry as chemistry_stream
 from touchline.streaming import counters, finalise, joined, late, ratings, sessions, state
+from touchline.streaming import requests as request_stream
 
 #: How late events may be in the streams below.
 DELAY = "2 days"
@@ -240,3 +251,60 @@ def stream_chemistry(b: Bridge) -> DataFrame:
     rating_lines(b, changes)
     deltas = chemistry_stream.newest_deltas(b.spark.read.parquet(out))
     return rounded(chemistry.chemistry_table(deltas), "chemistry")
+
+
+@query
+def stream_lines(b: Bridge) -> DataFrame:
+    """Lines of text files, taken every few seconds while files arrive, until the query is stopped."""
+    folder = sinks.shared_folder(b.spark, "feed-text")
+    path, checkpoint = _out(b, "typed")
+    lines = sinks.materialise(records.event_line(timed_events(b), "part"), "event-lines")
+
+    def put(part: int) -> None:
+        lines.where(F.col("part") == part).select("value").write.mode("append").text(folder)
+
+    put(0)
+    typed = records.read_events(records.line_stream(b.spark, "text", path=folder))
+    running = sessions.append_to(typed, path, checkpoint, once=False)
+    for part in range(1, PARTS):
+        running.processAllAvailable()
+        put(part)
+    sessions.stop(running)
+    known = events.of_known_players(b.spark.read.parquet(path), b.players)
+    return events.flag_events(known).select(*KEYS, "eventId", "subEventId", *events.TAG_FLAGS)
+
+
+@query
+def stream_merged_counts(b: Bridge) -> DataFrame:
+    """Counters of many small batches, published after each and merged by threes; read through the
+    last manifest."""
+    parts = 12
+    feed = Feed(b.spark, "events", timed_events(b).withColumn("part", part_by_time("ts", parts)))
+    folder = sinks.shared_folder(b.spark, "store")
+    names = ", ".join(f"{c} BIGINT" for c in metrics.COUNTERS)
+    store = Snapshots(b.spark, folder, {"counts": Kept(
+        f"matchId BIGINT, playerId BIGINT, {names}", counters.added_up)}, merge_after=3)
+    for part in range(parts):
+        feed.put(part)
+        sessions.finish(counters.write_counts(
+            feed.stream(), f"{folder}/counts", f"{folder}/checkpoint"))
+        store.publish()
+    counted = counters.read_counts(store.read(store.latest(), "counts"))
+    return rounded(events.of_known_players(counted, b.players), *metrics.ratios())
+
+
+@query
+def stream_requests(b: Bridge) -> DataFrame:
+    """Files of requests that arrive one after the other; the answers of all batches in order."""
+    folder, out = (sinks.shared_folder(b.spark, name) for name in ("asked", "answered"))
+    season = answer_season(b)
+    lines = sinks.materialise(request_lines(b), "request-lines")
+    for part in range(3):
+        asked = lines.where(F.least(F.floor(F.col("request_seq") / 10**15), F.lit(2)) == part)
+        asked.repartitionByRange(2, "request_seq").sortWithinPartitions("request_seq").select(
+            "value").write.text(f"{folder}/part={part}")
+        sessions.finish(request_stream.write_answers(
+            b.spark.readStream.schema("value STRING, part INT").text(folder), lambda: 1,
+            lambda number: season, out, f"{out}/checkpoint"))
+    answers = numbering.numbered(numbering.text_lines(b.spark, f"{out}/responses"), "line_no")
+    return bodies(answers.withColumnRenamed("value", "response"), "line_no")

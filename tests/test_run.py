@@ -54,7 +54,42 @@ def test_feed_to_answers(spark, tmp_path):
         parts = sorted((tmp_path / folder).glob("part-*"))
         return [json.loads(line) for p in parts for line in p.read_text().splitlines()]
 
+    # Requests that arrive are answered as they come, each batch from one view of the tables.
+    (tmp_path / "asked").mkdir()
+    serve = ["serve", "--once", "--tables", f"{tmp_path}/tables", *files, "--teams",
+             f"{tmp_path}/teams.csv", "--requests", f"{tmp_path}/asked", "--out", f"{tmp_path}/served"]
+    text = (tmp_path / "requests.txt").read_text().splitlines(keepends=True)
+    (tmp_path / "asked" / "a.txt").write_text("".join(text[:3]))
+    run.main(serve)
+    (tmp_path / "asked" / "b.txt").write_text(text[3])
+    run.main(serve)
+    served = answers("served/responses/batch_id=0") + answers("served/responses/batch_id=1")
+
+    # A round that is cut off between two tables changes nothing for those who ask.
+    view = store.latest()
+    send("c.txt", [fx.event(3, 8, (1801,), match=2)] * 5 + [fx.match(7, [], label="Game 7")])
+    args = type("Args", (), {"option": [f"path={tmp_path}/feed"], "source": "text", "gap": "3 hours",
+                             "delay": "10 minutes", "players": f"{tmp_path}/players.csv"})()
+    steps = run.ingest_steps(spark, store, args)
+
+    def cut_off():
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):
+        run.one_round(store, {**steps, "finished": cut_off}, False, args)
+    assert store.written("counts").count() > store.read(store.latest(), "counts").count()
+    run.main(["answer", "--tables", f"{tmp_path}/tables", "--out", f"{tmp_path}/out3", *common])
+    assert store.latest().number == view.number and answers("out3") == answers("out1")
+    # The next round goes on where this one stopped; the late events change the finished match.
+    run.one_round(store, steps, True, args)
+    run.main(["answer", "--tables", f"{tmp_path}/tables", "--out", f"{tmp_path}/out4", *common])
+    run.main(["answer", "--feed", f"{tmp_path}/feed", "--out", f"{tmp_path}/out5", *common])
+    assert answers("out4")[1:] == answers("out5")[1:] and answers("out4")[1] == answers("out1")[1]
+    chances = [answers(out)[0]["team1"]["winning chance"] for out in ("out4", "out5")]
+    assert chances[0] == pytest.approx(chances[1])
+
     got = answers("out1")
+    assert served == got
     again = answers("out2")
     assert got[1:] == again[1:]
     for answer in (got[0], again[0]):
