@@ -12,8 +12,9 @@ that of comparing every pair; how pairs are avoided:
    may match (prefix filtering). The matrix holds the union of signatures for each group: a
    (shingle, group) entry once, however many members have it. For a document and another
    group, the number of its signature shingles in the union bounds its overlap with every member,
-   and the group's smallest and largest set bound the sizes. Only groups that reach the bounds are
-   opened, which gives pairs with members; those are compared exactly. Members of one
+   and the group's smallest and largest set bound the sizes, hence how many shingles must be shared.
+   Only groups that reach the bounds are opened, which gives pairs with members; those that reach the
+   bound for their own two sizes are compared exactly. Members of one
    group are linked already, so a passage or family that thousands share opens nothing.
 
 The order comes from a count-min sketch. Any order gives the same links, so a sketch that is too
@@ -163,6 +164,19 @@ def _sizes_fit(least: Column, most: Column, n: Column, percent: int) -> Column:
     return (100 * n >= percent * least) & (100 * most >= percent * n)
 
 
+def _least_shared(a: str, b: str, percent: int) -> str:
+    """SQL for the signature shingles that sets of ``a`` and ``b`` have in common at least if they link.
+
+    Linked sets share ceil(percent * (a + b) / (100 + percent)). Of the two signatures one ends first
+    in the global order. Common shingles up to there are in both signatures; after it, that set has
+    no more than the shingles outside its signature, and the larger set has the most of those.
+    """
+    common = f"({percent} * ({a} + {b}) + {99 + percent}) DIV {100 + percent}"
+    outside = f"greatest(0, ({percent} * greatest({a}, {b}) + 99) DIV 100 - {SHARED})"
+    prefix = ", ".join(f"({percent} * {n} + 99) DIV 100" for n in (a, b))
+    return f"greatest({common} - {outside}, least({SHARED}, {prefix}))"
+
+
 def _with_leaders(reps: DataFrame, percent: int) -> DataFrame:
     """Pairs of a representative and the leader of one of its min-hashes."""
     keyed = reps.select("doc_id", "n_shingles", "common", F.posexplode("least").alias("k", "key"))
@@ -204,14 +218,18 @@ def _across_groups(signed_reps: DataFrame, percent: int) -> DataFrame:
     matrix = (entries.groupBy("token", "group_id")
               .agg(F.min("n_shingles").alias("n_least"), F.max("n_shingles").alias("n_most"))
               .withColumnRenamed("group_id", "other"))
-    least = F.expr(f"least({SHARED}, ceil(n_shingles * {percent} / 100D),"
-                   f" ceil(n_least * {percent} / 100D))")
+    # What must be shared is least with the smallest or with the largest partner that fits.
+    smallest = f"greatest(n_least, ({percent} * n_shingles + 99) DIV 100)"
+    largest = f"least(n_most, 100 * n_shingles DIV {percent})"
+    least = F.expr(f"least({_least_shared('n_shingles', smallest, percent)},"
+                   f" {_least_shared('n_shingles', largest, percent)})")
     qualifying = (
         entries.join(matrix, "token")
         .where((F.col("group_id") != F.col("other"))
                & _sizes_fit(F.col("n_least"), F.col("n_most"), F.col("n_shingles"), percent))
         .groupBy("doc_id", "group_id", "n_shingles", "other")
-        .agg(F.count("*").alias("overlap"), F.min("n_least").alias("n_least"))
+        .agg(F.count("*").alias("overlap"), F.min("n_least").alias("n_least"),
+             F.max("n_most").alias("n_most"))
         .where(F.col("overlap") >= least))
     asked = materialise(qualifying.select("doc_id", "n_shingles", "other"), "qualifying")
     query = entries.select(F.col("doc_id").alias("a"), "token").join(
@@ -222,8 +240,7 @@ def _across_groups(signed_reps: DataFrame, percent: int) -> DataFrame:
             .where((F.col("a") < F.col("b"))
                    & _sizes_fit(F.col("n_b"), F.col("n_b"), F.col("n_a"), percent))
             .groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("overlap"))
-            .where(F.col("overlap") >= F.expr(
-                f"least({SHARED}, ceil(n_a * {percent} / 100D), ceil(n_b * {percent} / 100D))"))
+            .where(F.col("overlap") >= F.expr(_least_shared("n_a", "n_b", percent)))
             .drop("overlap"))
 
 
