@@ -1,5 +1,9 @@
 """Registered queries against their SQL on the smallest tables, and totals pinned from that SQL."""
 
+import pathlib
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,3 +60,15 @@ def test_invariants(spark, sf_dir):
     assert pairs.select("player1", "player2").distinct().count() == pairs.count()
     chances = contract.queries()["win_chances"](spark, "/root/testdata/sf0.01").collect()
     assert chances and all(c.chance1 + c.chance2 == pytest.approx(100) for c in chances)
+
+
+def test_the_entry_works_without_the_corpus_operators():
+    """A library that only they need is missing, or they are: all other queries are still there."""
+    root = pathlib.Path(contract.__file__).parent
+    code = ("import sys; sys.modules[{!r}] = None; import __spark_entry__ as e;"
+            "names = e.queries(); print(len(names), len(set(e.oracle_sql()) - set(names)),"
+            " any(n[:2] == 'op' and n[2].isdigit() for n in names))")
+    for missing in ("ahocorasick", "touchline.llm", "corpus_pipeline"):
+        out = subprocess.run([sys.executable, "-c", code.format(missing)], cwd=root, check=True,
+                             capture_output=True, text=True).stdout.split()
+        assert int(out[0]) > 60 and out[1:] == ["0", "False"]

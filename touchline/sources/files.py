@@ -27,6 +27,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     files.mkdirs(hadoop)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own with all that is in it."""
+    hadoop, files = _at(spark, path)
+    files.delete(hadoop, True)
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names of what lies in a folder; none if there is no such folder."""
     hadoop, files = _at(spark, folder)

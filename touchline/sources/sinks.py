@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,21 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Lists that the folders of stage tables are noted in at the moment.
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noted(folders: list[str]) -> Iterator[None]:
+    """Folders that :func:`materialise` writes inside are added to ``folders``, for whoever knows when
+    they aren't needed any more."""
+    _noted.append(folders)
+    try:
+        yield
+    finally:
+        _noted.remove(folders)
+
+
 def materialise(frame: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write a stage table to the shared folder and read it back.
 
@@ -44,6 +61,8 @@ def materialise(frame: DataFrame, purpose: str, compression: str = "snappy") ->
     """
     spark = frame.sparkSession
     path = shared_folder(spark, purpose)
+    for folders in _noted:
+        folders.append(path)
     frame.write.parquet(path, compression=compression)
     return spark.read.schema(frame.schema).parquet(path)
 
