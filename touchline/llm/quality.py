@@ -1,24 +1,27 @@
 """Document quality rules whose thresholds come from the corpus, per language and source.
 
 Every document is measured with built-in functions. A few limits hold for all (``base_failed``: too few
-words, or too many in repeated windows). Beyond them a document is rejected when a
-measure lies far above what is usual for its language and source: the threshold is the upper quartile
-plus ``SPREAD`` times the distance between the quartiles, taken from KLL sketches. Sketches are built
-per task and merged, so a source with a third of all documents costs no more than another. A
-(language, source) with fewer than ``LEAST_ROWS`` documents takes the thresholds of its
-language, merged from the same sketches, and a small language those of the whole corpus.
-Measures of what most documents have none of (symbols, repeats) have a threshold that is never below a
-floor, so that in an even group ordinary documents are not rejected for a trifle. The length of words
-varies in every group; it is judged by the sketches alone, above and below.
+words, or too many in repeated windows). Beyond them a document is rejected when a measure lies far
+outside of what is usual for its language and source: above the upper quartile by more than
+``SPREAD`` times the distance between the quartiles, or, for some measures, as far below the lower one.
+
+Quartiles are read from quantile sketches: counts of values in buckets whose edges grow by a fixed
+factor, so a quantile is right to within ``STEP``. Such a sketch is a small table of counts; it is
+built by a grouped count, two of them are merged by adding up, and nothing in it is left to chance, so
+the same rows always give the same thresholds. A source with a third of all documents is combined
+before it is shuffled like any other. The limits of a (language, source) are moved towards those of the
+language, and these towards those of the corpus, as ``PRIOR_ROWS`` documents would, so that a small
+group follows the larger ones. Where all of a group are alike, a least distance
+between the quartiles keeps ordinary documents from being rejected for a trifle.
 
 Defined results: a null text has no words and fails; a null language or source is a group of its
-own; repeated rows count as often as they occur; an empty table gives no rows; columns other than
-those named are passed over. Texts are measured whole.
+own; repeated rows count as often as they occur; a measure equal to a limit is within it; an empty
+table gives no rows; columns other than those named are passed over. Texts are measured whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.sources.sinks import materialise
@@ -28,14 +31,18 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SPREAD = 6.0
-LEAST_ROWS = 200
+#: Documents that the limits of the larger group count for.
+PRIOR_ROWS = 20
+#: Relative width of a bucket of the sketches.
+STEP = 0.002
+#: Bucket of the value 0.
+ZERO = -(2**31)
 #: Rows of thresholds (about 100 bytes each) up to which they are sent to all tasks.
 BROADCAST_ROWS = 20_000
-#: Measures with a threshold, and the value below which a document is never rejected for it.
-FLOORS = {"symbol_share": 0.05, "repeat_share": 0.2, "line_share": 0.4, "shout_share": 0.4}
-#: Measures judged on both sides without a floor, and the least distance between quartiles taken.
-SPREADS = {"word_length": 0.05}
-LIMITS = [*FLOORS, *SPREADS, *[f"{name}_least" for name in SPREADS]]
+#: Measures, whether they are judged below as well, and the least distance of quartiles taken.
+MEASURES = {"symbol_share": (False, 0.005), "repeat_share": (False, 0.05),
+            "line_share": (False, 0.07), "shout_share": (False, 0.01),
+            "letter_share": (True, 0.015), "word_length": (True, 0.05)}
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
 
@@ -87,6 +94,7 @@ def measures(docs: DataFrame, carried: list[str]) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated.alias("n_repeat_words"), F.size("lines").cast("long").alias("n_lines"),
         F.length(F.regexp_replace(letters, r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
+        F.length(F.regexp_replace(letters, r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
     )
 
 
@@ -97,46 +105,76 @@ def _shares(measured: DataFrame) -> DataFrame:
             .withColumn("repeat_share", share("n_repeat_words", "n_words"))
             .withColumn("line_share", share("n_dup_lines", "n_lines"))
             .withColumn("shout_share", share("n_upper", "word_chars"))
+            .withColumn("letter_share", share("n_letters", "word_chars"))
             .withColumn("word_length", share("word_chars", "n_words")))
 
 
 def sketches(shared: DataFrame) -> DataFrame:
-    """Mergeable quantile sketches of the measures for every language and source."""
-    return shared.groupBy("lang", "source").agg(
-        F.count("*").alias("rows"),
-        *[F.kll_sketch_agg_double(F.col(name)).alias(name) for name in (*FLOORS, *SPREADS)])
-
-
-def _limits(merged: DataFrame, suffix: str) -> DataFrame:
-    """Thresholds from the sketches of a table of groups."""
-    for name, floor in FLOORS.items():
-        q1, q3 = (F.kll_sketch_get_quantile_double(F.col(name), F.lit(q))
-                  for q in QUARTILES.values())
-        merged = merged.withColumn(
-            f"{name}{suffix}", F.greatest(F.lit(floor), q3 + SPREAD * (q3 - q1)))
-    for name, least in SPREADS.items():
-        q1, q3 = (F.kll_sketch_get_quantile_double(F.col(name), F.lit(q))
-                  for q in QUARTILES.values())
-        room = SPREAD * F.greatest(F.lit(least), q3 - q1)
-        merged = merged.withColumn(f"{name}{suffix}", q3 + room).withColumn(
-            f"{name}_least{suffix}", q1 - room)
-    return merged.drop(*FLOORS, *SPREADS).withColumnRenamed("rows", f"rows{suffix}")
+    """Mergeable sketches: (lang, source, measure, bucket, n)."""
+    def bucket(name: str) -> Column:
+        log = F.ceil(F.log(F.col(name)) / F.log(F.lit(1 + STEP))).cast("int")
+        return F.when(F.col(name) > 0, log).otherwise(ZERO)
+
+    values = F.array(*[F.struct(F.lit(n).alias("measure"), bucket(n).alias("bucket"))
+                       for n in MEASURES])
+    return shared.select("lang", "source", F.inline(values)).groupBy(
+        "lang", "source", "measure", "bucket").agg(F.count("*").alias("n"))
+
+
+def merged(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Sketches of larger groups."""
+    return found.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+
+
+def quartiles(found: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, measure, rows, q1, q3) read from sketches; a group has a few thousand buckets at most."""
+    group = Window.partitionBy(*keys, "measure")
+    ordered = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = found.withColumn("below", F.sum("n").over(ordered)).withColumn(
+        "rows", F.sum("n").over(group))
+    value = F.when(F.col("bucket") == ZERO, 0.0).otherwise(
+        F.pow(F.lit(1 + STEP), F.col("bucket") - 0.5))
+    return counted.withColumn("value", value).groupBy(*keys, "measure").agg(
+        F.max("rows").alias("rows"),
+        *[F.min(F.when(F.col("below") >= part * F.col("rows"), F.col("value"))).alias(q)
+          for q, part in QUARTILES.items()])
+
+
+def _limits(found: DataFrame, keys: list[str], suffix: str) -> DataFrame:
+    """(keys, measure, rows, least, most) with a suffix."""
+    room = F.lit(None).cast("double")
+    for name, (_, least) in MEASURES.items():
+        room = F.when(F.col("measure") == name, SPREAD * F.greatest(
+            F.lit(least), F.col("q3") - F.col("q1"))).otherwise(room)
+    return quartiles(found, keys).withColumn("room", room).select(
+        *[F.col(k).alias(f"{k}{suffix}") for k in keys], F.col("measure").alias(f"measure{suffix}"),
+        F.col("rows").alias(f"rows{suffix}"), (F.col("q1") - F.col("room")).alias(f"least{suffix}"),
+        (F.col("q3") + F.col("room")).alias(f"most{suffix}"))
 
 
 def thresholds(found: DataFrame) -> DataFrame:
     """One row for each (lang, source) with the limits that hold for it."""
-    def merge(groups) -> DataFrame:
-        return groups.agg(F.sum("rows").alias("rows"), *[
-            F.kll_merge_agg_double(F.col(name)).alias(name) for name in (*FLOORS, *SPREADS)])
-    own = _limits(found, "_own")
-    language = _limits(merge(found.groupBy("lang")), "_lang").withColumnRenamed("lang", "its_lang")
-    corpus = _limits(merge(found), "_all")
-    joined = (own.join(language, F.col("lang").eqNullSafe(F.col("its_lang")), "left")
-              .join(F.broadcast(corpus)))  # one row
-    limit = [F.when(F.col("rows_own") >= LEAST_ROWS, F.col(f"{n}_own"))
-             .when(F.col("rows_lang") >= LEAST_ROWS, F.col(f"{n}_lang"))
-             .otherwise(F.col(f"{n}_all")).alias(f"{n}_limit") for n in LIMITS]
-    return joined.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), *limit)
+    own = _limits(found, ["lang", "source"], "_own")
+    language = _limits(merged(found, ["lang"]), ["lang"], "_lang")
+    corpus = _limits(merged(found, []), [], "_all")  # a row for each measure
+    same = (F.col("lang_own").eqNullSafe(F.col("lang_lang"))
+            & (F.col("measure_own") == F.col("measure_lang")))
+    both = own.join(language, same).join(
+        F.broadcast(corpus), F.col("measure_own") == F.col("measure_all"))
+
+    def moved(side: str) -> Column:
+        def towards(rows: str, value: Column, other: Column) -> Column:
+            return (F.col(rows) * value + PRIOR_ROWS * other) / (F.col(rows) + PRIOR_ROWS)
+
+        of_language = towards("rows_lang", F.col(f"{side}_lang"), F.col(f"{side}_all"))
+        return towards("rows_own", F.col(f"{side}_own"), of_language)
+
+    each = both.select("lang_own", "source_own", "measure_own", moved("least").alias("least"),
+                       moved("most").alias("most"))
+    columns = [F.max(F.when(F.col("measure_own") == n, F.col(side))).alias(f"{n}_{side}")
+               for n in MEASURES for side in ("least", "most")]
+    return each.groupBy("lang_own", "source_own").agg(*columns).withColumnsRenamed(
+        {"lang_own": "of_lang", "source_own": "of_source"})
 
 
 def judged(docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -153,10 +191,10 @@ def judged(docs: DataFrame, carried: list[str]) -> DataFrame:
     joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("of_lang"))
                            & F.col("source").eqNullSafe(F.col("of_source")), "left")
     usual = F.lit(True)
-    for name in (*FLOORS, *SPREADS):
-        usual = usual & (F.col(name) <= F.col(f"{name}_limit"))
-    for name in SPREADS:
-        usual = usual & (F.col(name) >= F.col(f"{name}_least_limit"))
+    for name, (both_sides, _) in MEASURES.items():
+        usual = usual & (F.col(name) <= F.col(f"{name}_most"))
+        if both_sides:
+            usual = usual & (F.col(name) >= F.col(f"{name}_least"))
     return joined.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & usual)
 
