@@ -65,13 +65,21 @@ def _segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
     return out
 
 
+def _part(norm: Column, start: Column, size: Column) -> Column:
+    """Bytes of a substring. In a line of one byte a character they are found without counting
+    characters from its start."""
+    plain = F.octet_length(norm) == F.col("chars")
+    return F.when(plain, F.substring(norm.cast("binary"), start, size)).otherwise(
+        F.substring(norm, start, size).cast("binary"))
+
+
 def _key(length: Column, segment: int, part: Column) -> Column:
     return F.xxhash64(length, F.lit(segment), part)
 
 
 def _index_keys(threshold: int) -> Column:
     length, norm = F.col("chars"), F.col("norm")
-    return F.array(*[_key(length, i, F.substring(norm, start, size))
+    return F.array(*[_key(length, i, _part(norm, start, size))
                      for i, (start, size) in enumerate(_segments(length, threshold))])
 
 
@@ -87,7 +95,7 @@ def _probe_keys(threshold: int) -> Column:
             for shift in range(least, most + 1):
                 place = start + shift
                 inside = (place >= 1) & (place + size - 1 <= F.col("chars"))
-                keys.append(F.when(inside, _key(length, i, F.substring(norm, place, size))))
+                keys.append(F.when(inside, _key(length, i, _part(norm, place, size))))
     return F.array_compact(F.array(*keys))
 
 
@@ -304,16 +312,22 @@ def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def remove_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text``, and ``n_lines``, ``n_removed``."""
-    gone = _with_gone(docs, repeated_lines(docs, threshold))
+    """``docs`` with the repeated lines taken out of ``text``, and ``n_lines``, ``n_removed`` (which
+    replace columns of these names)."""
+    new = ["n_lines", "n_removed"]
+    # Other columns are carried together, so that none can clash with one in here.
+    rest = [c for c in docs.columns if c not in ("text", *new)]
+    rows = docs.select(F.struct(*rest).alias("row"), "doc_id", "text")
+    gone = _with_gone(rows, repeated_lines(docs, threshold))
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i))
     cut = F.col("gone").isNotNull() & F.col("text").isNotNull()
-    return gone.select(
-        *[F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text")
-          if c == "text" else F.col(c) for c in docs.columns],
+    found = gone.select(
+        "row", F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+    return found.select(*["text" if c == "text" else F.col("row")[c].alias(c)
+                          for c in docs.columns if c not in new], *new)
 
 
 def digest(found: DataFrame) -> DataFrame:
