@@ -73,21 +73,26 @@ class Model:
 
 
 def maximal_segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (first, end, score), in one pass over the positive weights."""
+    """All maximal-scoring segments (first, end, score), in linear time.
+
+    Every candidate knows the nearest one before it whose total at the start is lower (``back``). Looking
+    for such a one from a new candidate skips all between, and what was skipped once is behind
+    the new candidate from then on.
+    """
     total = np.append(0.0, np.cumsum(weights))
-    kept: list[tuple[int, int, float, float]] = []  # first, end, total before, total after
+    kept: list[tuple[int, int, float, float, int]] = []  # first, end, total before, after, back
     for at in np.flatnonzero(weights > 0).tolist():
         first, end, low, high = at, at + 1, float(total[at]), float(total[at + 1])
         while True:
             j = len(kept) - 1
             while j >= 0 and kept[j][2] >= low:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][3] >= high:
-                kept.append((first, end, low, high))
+                kept.append((first, end, low, high, j))
                 break
             first, low = kept[j][0], kept[j][2]
             del kept[j:]
-    return [(first, end, high - low) for first, end, low, high in kept]
+    return [(first, end, high - low) for first, end, low, high, _ in kept]
 
 
 def is_held_out(doc_id) -> F.Column:
