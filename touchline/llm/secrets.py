@@ -6,7 +6,8 @@ once, and a later run scans only blobs, or rule versions, it has not seen. Findi
 back to all paths. Everything is built-in functions.
 
 A position is found without a loop over the text: ``split`` gives the pieces between the matches of a
-pattern and ``regexp_extract_all`` the matches; running sums of their lengths are the places.
+pattern and ``regexp_extract_all`` the matches; running sums of their lengths are the places. The sums
+are made in parts of ``TOGETHER`` matches, so the time grows with the text and not with its square.
 
 Defined results: a null text is the empty one; a null path or version is kept as it is; repeated
 rows are repeated in the findings; an empty table gives no rows; other columns are passed over.
@@ -49,6 +50,8 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 RULES_VERSION = 1
 
+#: Matches whose places are found together, so that no array grows match by match with the text.
+TOGETHER = 128
 FINDINGS = "array<struct<start:long,rank:int,kind:string,`end`:long>>"
 
 
@@ -63,19 +66,40 @@ def _found(rule: Rule, rank: int, text: Column) -> Column:
     steps = F.slice(F.arrays_zip(gaps.alias("gap"), measured.alias("size"), judged.alias("judged")),
                     F.lit(1), F.size(measured))
     none = F.array().cast(FINDINGS)
-    begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("found"))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        one = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"),
-                               F.lit(rule.kind).alias("kind"), (start + x["size"]).alias("end")))
-        return F.struct((start + x["size"]).alias("at"),
-                        F.when(x["judged"] >= rule.least, F.concat(state["found"], one))
-                        .otherwise(state["found"]).alias("found"))
+    def one(start: Column, x: Column) -> Column:
+        found = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"),
+                                 F.lit(rule.kind).alias("kind"), (start + x["size"]).alias("end")))
+        return F.when(x["judged"] >= rule.least, found).otherwise(none)
+
+    def places(part: Column, at: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            start = state["at"] + x["gap"]
+            return F.struct((start + x["size"]).alias("at"),
+                            F.concat(state["found"], one(start, x)).alias("found"))
+
+        return F.aggregate(part, F.struct(at.alias("at"), none.alias("found")), step,
+                           lambda s: s["found"])
+
+    def starts(parts: Column) -> Column:
+        """Where the text stands before each part."""
+        sizes = F.transform(parts, lambda p: F.aggregate(
+            p, F.lit(0).cast("long"), lambda s, x: s + x["gap"] + x["size"]))
+        begin = F.array(F.lit(0).cast("long"))
+        return F.aggregate(sizes, begin, lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
+
+    def all_places(s: Column) -> Column:
+        # Arrays are bound to a name once: an expression is evaluated wherever it stands.
+        count = F.ceil(F.size(s) / TOGETHER).cast("int")
+        parts = F.transform(F.sequence(F.lit(1), count), lambda k: F.slice(
+            s, (k - 1) * TOGETHER + 1, F.lit(TOGETHER)))
+        bound = F.transform(F.array(parts), lambda p: F.arrays_zip(
+            p.alias("part"), F.slice(starts(p), F.lit(1), F.size(p)).alias("at")))[0]
+        return F.flatten(F.transform(bound, lambda z: places(z["part"], z["at"])))
 
     # A plain search first: few texts have a match, and only those are split.
     return F.when(F.regexp_like(text, pattern),
-                  F.aggregate(steps, begin, step, lambda s: s["found"])).otherwise(none)
+                  F.transform(F.array(steps), all_places)[0]).otherwise(none)
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
