@@ -168,12 +168,14 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame,
                         percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that contain no item; rows without ``doc_id`` are judged by text."""
-    with_id = docs.where("doc_id is not null")
-    hits = benchmark_hits(with_id, benchmark, percent).select("doc_id").distinct()
-    clean = with_id.join(hits, "doc_id", "left_anti")
-    nameless = docs.where("doc_id is null").withColumn("_key", F.xxhash64("text"))
-    keyed = nameless.select(F.col("_key").alias("doc_id"), "text")
-    bad = benchmark_hits(keyed, benchmark, percent).select(
-        F.col("doc_id").alias("_key")).distinct()
-    return clean.select(docs.columns).unionByName(
-        nameless.join(bad, "_key", "left_anti").select(docs.columns))
+    # Rows are carried whole, so that no column of theirs can clash with one in here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       "text")
+    with_id = rows.where("id is not null")
+    hits = benchmark_hits(with_id.withColumnRenamed("id", "doc_id"), benchmark, percent).select(
+        F.col("doc_id").alias("id")).distinct()
+    clean = with_id.join(hits, "id", "left_anti")
+    nameless = rows.where("id is null").withColumn("id", F.xxhash64("text"))
+    bad = benchmark_hits(nameless.select(F.col("id").alias("doc_id"), "text"), benchmark,
+                         percent).select(F.col("doc_id").alias("id")).distinct()
+    return clean.select("row.*").unionByName(nameless.join(bad, "id", "left_anti").select("row.*"))
