@@ -1,9 +1,8 @@
 """Pairwise chemistry.
 
 Chemistry is kept sparse: a pair that never shared a pitch has the initial value and no row.
-Each match contributes one signed change per pair of its participants. Participants meet in
-an equi-join on the match; all of them come from one match record, which bounds the group,
-and the join itself is split at run time if a match should ever be oversized.
+Each match contributes one signed change per pair of its participants. They are gathered by match
+and paired inside the row; all of them come from one match record, which bounds the group.
 """
 
 from __future__ import annotations
@@ -26,13 +25,17 @@ def participants(history: DataFrame) -> DataFrame:
 
 
 def match_pairs(people: DataFrame) -> DataFrame:
-    """Unordered pairs of one match, lower id first, with both moves."""
-    def side(n: int) -> DataFrame:
-        return people.select("matchId", "match_date", F.col("teamId").alias(f"team{n}"),
-                             F.col("playerId").alias(f"player{n}"), F.col("move").alias(f"move{n}"))
+    """Unordered pairs of one match, lower id first, with both moves.
 
-    pairs = side(1).join(side(2).drop("match_date"), "matchId")
-    return pairs.where(F.col("player1") < F.col("player2")).withColumn(
+    The participants of a match are gathered once; a match record bounds how many there are.
+    """
+    matches = people.where("matchId IS NOT NULL").groupBy("matchId", "match_date").agg(F.expr(
+        "array_sort(collect_list(struct(playerId, teamId, move))) AS people"))
+    pairs = """inline(flatten(transform(people, (p, i) -> transform(
+        slice(people, i + 2, size(people)), q -> struct(
+            p.playerId AS player1, q.playerId AS player2, p.teamId AS team1, q.teamId AS team2,
+            p.move AS move1, q.move AS move2)))))"""
+    return matches.selectExpr("matchId", "match_date", pairs).where("player1 < player2").withColumn(
         "same_team", F.col("team1") == F.col("team2"))
 
 
