@@ -173,13 +173,13 @@ def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.n
     """Codes and tags of at most ``SAMPLE_WINDOWS`` windows and as many changed ones."""
     random = np.random.default_rng(seed)
     codes, tags = [], []
+    share = max(1, SAMPLE_WINDOWS // max(len(texts), 1))  # so that no text supplies most of them
     for text in texts:
         spans, all_codes = base_spans(text), codes_of(text)
-        for begin, end in stretches(all_codes):
-            for start in _windows(begin, end):
-                if len(codes) < SAMPLE_WINDOWS:
-                    codes.append(_cut(all_codes, start))
-                    tags.append(_tagged(spans, start))
+        starts = [s for begin, end in stretches(all_codes) for s in _windows(begin, end)]
+        for k in np.sort(random.permutation(len(starts))[:share]):
+            codes.append(_cut(all_codes, starts[k]))
+            tags.append(_tagged(spans, starts[k]))
     plain = [t[:WINDOW * 4] for t in texts] or ["word " * WINDOW]
     for i in range(max(len(codes), 400)):
         kind, value = _forms(random)[i % 16]
@@ -195,10 +195,13 @@ def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.n
 
 
 def fitted(docs: DataFrame) -> Tagger:
-    """Tagger from a bounded sample, chosen by a hash of the text."""
-    sample = (docs.where(F.regexp_like("text", F.lit("[0-9@]")))
-              .select(F.xxhash64("text").alias("h"), "text")
-              .orderBy("h").limit(SAMPLE_DOCUMENTS).select("text").collect())
+    """Tagger from a bounded sample of distinct texts, the ones with the least hashes."""
+    usable = docs.where(F.regexp_like("text", F.lit("[0-9@]"))).withColumn("h", F.xxhash64("text"))
+    # Hashes alone are compared first; only then are the texts of the chosen ones read.
+    chosen = [r["h"] for r in usable.select("h").distinct().orderBy("h").limit(
+        SAMPLE_DOCUMENTS).collect()]
+    sample = usable.where(F.col("h").isin(chosen)).groupBy("h").agg(
+        F.min("text").alias("text")).orderBy("h").collect()
     tagger = Tagger(1 + 2 * len(KINDS))
     tagger.train(*training_windows([r["text"] for r in sample]), EPOCHS)
     return tagger
