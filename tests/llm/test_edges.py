@@ -10,7 +10,16 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import decontaminate, lines, pii, quality, queries, secrets, toxicity
+from touchline.llm import (
+    decontaminate,
+    lines,
+    packing,
+    pii,
+    quality,
+    queries,
+    secrets,
+    toxicity,
+)
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, gone string,"
           " _key string, n_lines string, n_removed string, row string, size string, id string,"
@@ -213,3 +222,19 @@ def test_base_spans_against_patterns(spark):
     got = pii.digest(pii.find_personal_data(docs, pii.fitted(docs))).collect()
     assert {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in got} == {
         i: counts(t) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("kind", ["triplets", "middling"])
+def test_evolution_saves_sequences_where_best_fit_falls_short(kind):
+    """Lengths that only fit together in certain threes: fewer bins than best-fit decreasing."""
+    rng = np.random.default_rng(1)
+    if kind == "triplets":
+        pairs = rng.integers(256, 400, (200, 2))
+        sizes = [int(x) for a, b in pairs for x in (a, b, 1024 - a - b)]
+    else:
+        sizes = [int(x) for x in rng.integers(200, 500, 600)]
+    decreasing = packing._packed(np.argsort(-np.array(sizes), kind="stable"), sizes, 1024)
+    best = packing.evolved(sizes, 1024, 0, [])
+    assert sorted(i for g in best for i in g) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in g) <= 1024 for g in best)
+    assert len(best) <= len(decreasing) - 3
