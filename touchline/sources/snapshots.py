@@ -73,11 +73,10 @@ class Snapshots:
         return Snapshot(number, json.loads(files.read_text(self.spark, self._manifest(number))))
 
     def _batches(self, name: str) -> list[int]:
-        """Ids of the batches that have been written whole."""
-        folder = f"{self.folder}/{name}"
-        ids = [int(n.removeprefix("batch_id=")) for n in files.names(self.spark, folder)
-               if n.startswith("batch_id=")]
-        return sorted(i for i in ids if files.is_complete(self.spark, f"{folder}/batch_id={i}"))
+        """Ids of all batches that have a folder."""
+        return sorted(int(n.removeprefix("batch_id="))
+                      for n in files.names(self.spark, f"{self.folder}/{name}")
+                      if n.startswith("batch_id="))
 
     def now(self) -> Snapshot:
         """The latest manifest and all batches written since, for the steps that make the tables."""
@@ -85,8 +84,10 @@ class Snapshots:
         return Snapshot(last.number, {name: self._grown(name, last.of(name)) for name in self.tables})
 
     def _grown(self, name: str, known: dict) -> dict:
+        # Only of batches that no manifest holds yet it is asked whether they are written whole.
         new = [i for i in self._batches(name)
-               if i > known["upto"] or (i < 0 and i not in known["extra"])]
+               if (i > known["upto"] or (i < 0 and i not in known["extra"]))
+               and files.is_complete(self.spark, f"{self.folder}/{name}/batch_id={i}")]
         parts = [{"path": f"{name}/batch_id={i}", "level": 0} for i in new]
         return {"parts": known["parts"] + parts, "upto": max([known["upto"], *new]),
                 "extra": known["extra"] + [i for i in new if i < 0]}
