@@ -1,7 +1,7 @@
 """Toxic passages as maximum-scoring segments, and the toxicity of documents.
 
-* *Token weights.* From labelled documents (one of each group of near copies, so that a token is not
-  taken for toxic because a copied document is), the log-odds of every token between toxic and other
+* *Token weights.* From labelled documents (one of each group of very near copies with the same label, so
+  that a token is not taken for toxic because a copied document is), the log-odds of every token between toxic and other
   documents with a Dirichlet prior in proportion to the token's overall frequency, moved towards
   zero by a multiple of their standard error, less a constant so that ordinary text scores below 0.
 * *Segments.* One scan over a document finds all its maximal-scoring segments.
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.words import PUNCTUATION, Words, range_hashes, signed, text_slices
+from touchline.llm.words import PUNCTUATION, Words, mixed, range_hashes, signed, text_slices
 from touchline.sources.sinks import materialise
 
 MAX_LABELLED = 20_000
@@ -49,6 +49,8 @@ MOST_WEIGHT = 6.0
 #: Expected number of segments as good by chance, below which a passage is significant.
 SIGNIFICANT = 0.01
 THRESHOLD = 0.3
+#: Least hashes that make a family of copies.
+FAMILY_HASHES = 4
 #: Tokens that a shorter text counts as: the distribution holds for long texts.
 LEAST_LENGTH = 100
 
@@ -203,17 +205,23 @@ def calibrated(model: Model, labelled: DataFrame) -> Model:
 
 
 def _with_family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The least hash of three words in a row, which copies and near copies mostly share."""
+    """A few least hashes of three words in a row, together: copies and very near copies share all of
+    them, documents that only have a passage in common don't."""
     for batch in batches:
         family = np.zeros(batch.num_rows, np.uint64)
         for row, words in _tokens(batch):
             hashes, starts = words.windows(3)
-            least = np.full(len(words.counts), np.uint64(2**64 - 1))
-            np.minimum.at(least, words.document[starts], hashes)
             short = np.flatnonzero(words.counts < 3)
             first = words.first[short]
-            least[short] = range_hashes(words.hashes, first, first + words.counts[short])
-            family[row:row + len(least)] = least
+            whole = range_hashes(words.hashes, first, first + words.counts[short])
+            key = np.zeros(len(words.counts), np.uint64)
+            for k in range(FAMILY_HASHES):
+                salt = np.uint64(0x632BE59BD9B4E019 * (k + 1) % 2**64)
+                least = np.full(len(words.counts), np.uint64(2**64 - 1))
+                np.minimum.at(least, words.document[starts], mixed(hashes ^ salt))
+                least[short] = whole
+                key = mixed(key ^ least)
+            family[row:row + len(key)] = key
         yield pa.RecordBatch.from_arrays(
             [batch.column("text"), batch.column("toxic").cast(pa.int32()),
              pa.array(signed(family))], ["text", "toxic", "family"])
@@ -231,7 +239,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     found = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic").mapInArrow(
         _with_family, "text string, toxic int, family long")
     labelled = materialise(
-        found.groupBy("family").agg(F.min(F.struct("text", "toxic")).alias("r")).select("r.*"),
+        found.groupBy("family", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"),
         "labelled")
     half = F.xxhash64("text") % 2 == 0
     return calibrated(token_weights(labelled.where(half)), labelled.where(~half))
