@@ -1,4 +1,4 @@
-"""A count-min sketch over 64-bit hashes: built per partition, merged in a tree."""
+"""A count-min sketch over 64-bit hashes: built per partition, added up piece by piece."""
 
 from __future__ import annotations
 
@@ -6,12 +6,17 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from touchline.llm.words import mixed
 
 DEPTH = 2
+#: Pieces that a sketch is sent in, and sketches of which a task adds up a piece.
+PIECES, FAN_IN = 64, 64
 
 
 def cells(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -39,29 +44,47 @@ def estimates(counts: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def merged(frame: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]],
            bits: int, dtype: str) -> np.ndarray:
-    """Sketch of the whole frame: one per partition, summed pairwise on the executors.
+    """Sketch of the whole frame: one per partition, added up on the executors.
 
-    Its size is fixed by ``bits`` and ``dtype``, so the driver gets the same few megabytes
-    whatever the number of rows.
+    A sketch travels in ``PIECES`` pieces, and a task adds up the same piece of ``FAN_IN`` sketches, level
+    by level, so it never holds more than that. The size is fixed by ``bits`` and ``dtype``: the
+    driver gets the same few megabytes whatever the number of rows.
     """
     most = int(np.iinfo(dtype).max)
+    schema = "place int, piece int, cells binary"
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((DEPTH, 1 << bits), dtype)
         for batch in batches:
             for hashes in hashes_of(batch):
                 added(counts, hashes, bits)
-        yield pa.RecordBatch.from_pydict({"sketch": [zlib.compress(counts.tobytes(), 1)]})
-
-    def both(a: bytes, b: bytes) -> bytes:
-        x, y = (np.frombuffer(zlib.decompress(part), dtype) for part in (a, b))
-        return zlib.compress((x + np.minimum(y, np.array(most, dtype) - x)).tobytes(), 1)
-
-    parts = frame.mapInArrow(per_partition, "sketch binary").rdd.map(lambda row: bytes(row[0]))
-    if parts.getNumPartitions() == 0:
-        return np.zeros((DEPTH, 1 << bits), dtype)
-    total = parts.treeReduce(both, 3)
-    return np.frombuffer(zlib.decompress(total), dtype).reshape(DEPTH, 1 << bits)
+        place = TaskContext.get().partitionId()
+        for piece, cells in enumerate(counts.reshape(PIECES, -1)):
+            yield pa.RecordBatch.from_pydict({
+                "place": pa.array([place], pa.int32()), "piece": pa.array([piece], pa.int32()),
+                "cells": [zlib.compress(cells.tobytes(), 1)]})
+
+    def add_up(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        total = None
+        for cells in rows["cells"]:
+            part = np.frombuffer(zlib.decompress(cells), dtype)
+            total = part if total is None else (
+                total + np.minimum(part, np.array(most, dtype) - total))
+        return pd.DataFrame({"place": [key[1]], "piece": [key[0]],
+                             "cells": [zlib.compress(total.tobytes(), 1)]})
+
+    partitions = frame.rdd.getNumPartitions()
+    parts = frame.mapInArrow(per_partition, schema)
+    while True:
+        partitions = -(-partitions // FAN_IN)
+        parts = parts.withColumn("place", F.floor(F.col("place") / FAN_IN).cast("int")).groupBy(
+            "piece", "place").applyInPandas(add_up, schema)
+        if partitions <= 1:
+            break
+    total = np.zeros((PIECES, (DEPTH << bits) // PIECES), dtype)
+    for row in parts.collect():  # one row for each piece
+        total[row["piece"]] = np.frombuffer(zlib.decompress(row["cells"]), dtype)
+    return total.reshape(DEPTH, 1 << bits)
 
 
 def filter_of(keys: DataFrame, name: str, bits: int):
