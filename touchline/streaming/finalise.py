@@ -69,8 +69,9 @@ class LastHeader(StatefulProcessor):
 def closed_matches(headers: DataFrame, timeout: str, delay: str) -> DataFrame:
     """(matchId, closed_ms, reason) of a stream of headers (``feed``, ``wyId``, ``header_ts``).
 
-    A column ``place`` orders headers of the same time, else their ids do. Feeds are independent of each other: a header closes the match before it in its own feed. One that
-    comes more than ``delay`` behind others is dropped. Needs a state store with timers.
+    A column ``place`` orders headers of the same time, else their ids do. Feeds are independent of each
+    other: a header closes the match before it in its own feed. One that comes more than ``delay``
+    behind others is dropped. Needs a state store with timers.
     """
     wait = int(pd.Timedelta(timeout).total_seconds() * 1000)
     # The time is part of the condition, so that it stays above the watermark: a row without a feed

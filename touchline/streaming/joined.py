@@ -7,13 +7,13 @@ after the events of their match. An event whose header doesn't come in time is p
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEADER = ["status", "match_date", "label", "gameweek", "venue"]
 
 
-def record_digest(record: list[str]) -> F.Column:
+def record_digest(record: list[str]) -> Column:
     """What tells two versions of a record apart."""
     return F.sha2(F.to_json(F.struct(*record)), 256)
 

@@ -9,7 +9,7 @@ are all rows, which :func:`reconciled` checks counter by counter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
@@ -80,7 +80,7 @@ def reconciled(counted: DataFrame, late: DataFrame, stored: DataFrame) -> DataFr
              totals(metrics.count_events(stored, counters), "stored")]
     joined = parts[0].join(parts[1], metrics.KEYS, "full").join(parts[2], metrics.KEYS, "full")
 
-    def number(prefix: str, counter: str) -> F.Column:
+    def number(prefix: str, counter: str) -> Column:
         return F.coalesce(F.col(f"{prefix}_{counter}"), F.lit(0).cast("bigint"))
 
     differences = {c: number("counted", c) + number("late", c) - number("stored", c)

@@ -33,8 +33,8 @@ def whole_sessions(closed: DataFrame, events: DataFrame, gap: str) -> DataFrame:
     """The streamed sessions, made whole from the stored ``events``.
 
     A player's sessions in a match stay as they were streamed if their counters and numbers of events
-    add up to those of all stored events. Otherwise some are open, or events came late, and all of that player's sessions in
-    that match are made anew; only those events are read into sessions.
+    add up to those of all stored events. Otherwise some are open, or events came late, and all of that
+    player's sessions in that match are made anew; only those events are read into sessions.
     """
     counters = {**metrics.all_counters(), EVENTS: "true"}
     keys = metrics.KEYS
