@@ -238,3 +238,24 @@ def test_evolution_saves_sequences_where_best_fit_falls_short(kind):
     assert sorted(i for g in best for i in g) == list(range(len(sizes)))
     assert all(sum(sizes[i] for i in g) <= 1024 for g in best)
     assert len(best) <= len(decreasing) - 3
+
+
+def test_the_tagger_finds_forms_that_the_patterns_do_not_know(spark, sf_dir):
+    """Values never seen in training, put into other texts; look-alikes stay alone."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tagger = pii.fitted(docs)
+    rng = np.random.default_rng(99)
+    plain = ["".join(c for c in r.text if not c.isdigit() and c not in "@+")[:900]
+             for r in docs.where("length(text) > 900").limit(40).collect()]
+    rows_, want = [], {}
+    for i in range(200):
+        forms = pii._forms(rng)
+        kind, value = forms[(5, 7)[i % 2]] if i < 100 else forms[9 + i % 7]
+        text = plain[i % len(plain)]
+        at = text.index(" ", int(rng.integers(50, 700)))
+        rows_.append((i, f"{text[:at]} {value} {text[at:]}"))
+        want[i] = f"{kind}:{at + 1}:{at + 1 + len(value)}"
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(
+        spark.createDataFrame(rows_, "doc_id long, text string"), tagger)).collect()}
+    assert sum(want[i] in got[i].split(",") for i in range(100)) >= 80
+    assert sum(got[i] != "" for i in range(100, 200)) <= 4

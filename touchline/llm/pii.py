@@ -37,7 +37,7 @@ WINDOW = 48
 STRIDE = 24
 #: Characters around a digit or @ that are looked at, and the gap that still joins two of them.
 AROUND = 16
-SURE = 0.95
+SURE = 0.6
 BATCH = 512
 
 _TRIGGER = np.zeros(256, bool)
