@@ -9,12 +9,14 @@ that of comparing every pair; how pairs are avoided:
    others. Components of the links found are the groups of similar documents.
 3. *Token-group matrix.* All shingles have one global order, the rarest first. A document's signature
    is the part of its shingles from which every partner has at least ``SHARED``, however the rest
-   may match (prefix filtering). The matrix holds the union of signatures for each group: a
-   (shingle, group) entry once, however many members have it. For a document and another
-   group, the number of its signature shingles in the union bounds its overlap with every member,
-   and the group's smallest and largest set bound the sizes, hence how many shingles must be shared.
-   Only groups that reach the bounds are opened, which gives pairs with members; those that reach the
-   bound for their own two sizes are compared exactly. Members of one
+   may match (prefix filtering). A document looks for partners that are not larger than itself;
+   those share so much with it that a shorter part of their signature is enough to index. The
+   matrix holds the union of these parts for each group: a (shingle, group) entry once, however
+   many members have it. For a document and another group, the number of its signature shingles in
+   the union bounds its overlap with every member, and the group's smallest and largest set bound
+   the sizes, hence how many shingles must be found. Only groups that reach the bounds are opened,
+   which gives pairs with members; those whose signatures share what their two sizes ask for are
+   compared exactly. Members of one
    group are linked already, so a passage or family that thousands share opens nothing.
 
 The order comes from a count-min sketch. Any order gives the same links, so a sketch that is too
@@ -164,17 +166,37 @@ def _sizes_fit(least: Column, most: Column, n: Column, percent: int) -> Column:
     return (100 * n >= percent * least) & (100 * most >= percent * n)
 
 
-def _least_shared(a: str, b: str, percent: int) -> str:
-    """SQL for the signature shingles that sets of ``a`` and ``b`` have in common at least if they link.
+def _linked_share(a: str, b: str, percent: int) -> str:
+    """SQL for the shingles that linked sets of sizes ``a`` and ``b`` have in common at least."""
+    return f"({percent} * ({a} + {b}) + {99 + percent}) DIV {100 + percent}"
 
-    Linked sets share ceil(percent * (a + b) / (100 + percent)). Of the two signatures one ends first
-    in the global order. Common shingles up to there are in both signatures; after it, that set has
-    no more than the shingles outside its signature, and the larger set has the most of those.
+
+def _outside_signature(n: str, percent: int) -> str:
+    """Shingles that a set of ``n`` has behind its signature."""
+    return f"greatest(0, ({percent} * {n} + 99) DIV 100 - {SHARED})"
+
+
+def _outside_index(n: str, percent: int) -> str:
+    """Shingles behind the part of the signature that is indexed.
+
+    A partner that is not smaller has ceil(2 * percent * n / (100 + percent)) of them at least, so the
+    part that holds ``SHARED`` common ones is shorter than the signature.
     """
-    common = f"({percent} * ({a} + {b}) + {99 + percent}) DIV {100 + percent}"
-    outside = f"greatest(0, ({percent} * greatest({a}, {b}) + 99) DIV 100 - {SHARED})"
-    prefix = ", ".join(f"({percent} * {n} + 99) DIV 100" for n in (a, b))
-    return f"greatest({common} - {outside}, least({SHARED}, {prefix}))"
+    return f"greatest(0, (2 * {percent} * {n} + {99 + percent}) DIV {100 + percent} - {SHARED})"
+
+
+def _least_found(larger: str, smaller: str, percent: int) -> str:
+    """Shingles that the larger set's signature and the indexed part of the smaller one share at least:
+    of the common ones, in their order, only as many can be missed as lie behind either."""
+    behind = (f"greatest({_outside_signature(larger, percent)},"
+              f" {_outside_index(smaller, percent)})")
+    return f"greatest(1, {_linked_share(larger, smaller, percent)} - {behind})"
+
+
+def _least_shared(larger: str, smaller: str, percent: int) -> str:
+    """Shingles that both signatures share at least."""
+    return (f"greatest(1, {_linked_share(larger, smaller, percent)}"
+            f" - {_outside_signature(larger, percent)})")
 
 
 def _with_leaders(reps: DataFrame, percent: int) -> DataFrame:
@@ -194,7 +216,7 @@ def _with_leaders(reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _across_groups(signed_reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents in different groups that the matrix lets through."""
+    """Pairs of documents in different groups that the matrix lets through, the larger one as ``a``."""
     entries = signed_reps.select("group_id", F.explode("signature").alias("token"))
     shared = materialise(
         entries.groupBy("token").agg(F.min("group_id").alias("g0"), F.max("group_id").alias("g1"))
@@ -206,27 +228,30 @@ def _across_groups(signed_reps: DataFrame, percent: int) -> DataFrame:
             signature = batch.column("signature")
             values = signature.flatten().to_numpy()
             counts = np.diff(signature.offsets.to_numpy())
+            place = np.arange(len(values)) - np.repeat(np.cumsum(counts) - counts, counts)
             keep = sketch.may_have(known.value, values, TOKEN_BITS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(batch.column(c).to_numpy(), counts)[keep])
-                 for c in ("doc_id", "group_id", "n_shingles")] + [pa.array(values[keep])],
-                ["doc_id", "group_id", "n_shingles", "token"])
+                 for c in ("doc_id", "group_id", "n_shingles")]
+                + [pa.array(values[keep]), pa.array(place[keep].astype(np.int32))],
+                ["doc_id", "group_id", "n_shingles", "token", "place"])
 
     found = signed_reps.select("doc_id", "group_id", "n_shingles", "signature").mapInArrow(
-        per_partition, f"{_ID.split(',')[0]}, group_id long, n_shingles long, token long")
+        per_partition, f"{_ID.split(',')[0]}, group_id long, n_shingles long, token long, place int")
     entries = materialise(found, "entries")
-    matrix = (entries.groupBy("token", "group_id")
+    matrix = (entries.where(f"place < n_shingles - {_outside_index('n_shingles', percent)}")
+              .groupBy("token", "group_id")
               .agg(F.min("n_shingles").alias("n_least"), F.max("n_shingles").alias("n_most"))
               .withColumnRenamed("group_id", "other"))
-    # What must be shared is least with the smallest or with the largest partner that fits.
+    # What must be found is least with the smallest or with the largest partner that fits.
     smallest = f"greatest(n_least, ({percent} * n_shingles + 99) DIV 100)"
-    largest = f"least(n_most, 100 * n_shingles DIV {percent})"
-    least = F.expr(f"least({_least_shared('n_shingles', smallest, percent)},"
-                   f" {_least_shared('n_shingles', largest, percent)})")
+    largest = "least(n_most, n_shingles)"
+    least = F.expr(f"least({_least_found('n_shingles', smallest, percent)},"
+                   f" {_least_found('n_shingles', largest, percent)})")
     qualifying = (
         entries.join(matrix, "token")
-        .where((F.col("group_id") != F.col("other"))
-               & _sizes_fit(F.col("n_least"), F.col("n_most"), F.col("n_shingles"), percent))
+        .where((F.col("group_id") != F.col("other")) & (F.col("n_least") <= F.col("n_shingles"))
+               & (100 * F.col("n_most") >= percent * F.col("n_shingles")))
         .groupBy("doc_id", "group_id", "n_shingles", "other")
         .agg(F.count("*").alias("overlap"), F.min("n_least").alias("n_least"),
              F.max("n_most").alias("n_most"))
@@ -236,9 +261,10 @@ def _across_groups(signed_reps: DataFrame, percent: int) -> DataFrame:
         asked.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), "other"), "a")
     member = entries.select(F.col("doc_id").alias("b"), F.col("group_id").alias("other"),
                             F.col("n_shingles").alias("n_b"), "token")
+    smaller = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a"))
+                                               & (F.col("b") < F.col("a")))
     return (query.join(member, ["other", "token"])
-            .where((F.col("a") < F.col("b"))
-                   & _sizes_fit(F.col("n_b"), F.col("n_b"), F.col("n_a"), percent))
+            .where(smaller & (100 * F.col("n_b") >= percent * F.col("n_a")))
             .groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("overlap"))
             .where(F.col("overlap") >= F.expr(_least_shared("n_a", "n_b", percent)))
             .drop("overlap"))
