@@ -321,3 +321,10 @@ def test_stop_commits_what_has_arrived(spark):
     sessions.stop(query)
     assert not query.isActive
     assert spark.read.parquet(f"{out}/data").count() == 1
+
+
+def test_a_sealed_career_takes_matches_in_again_and_again(spark):
+    """Only sealed blocks, nothing open: the state of a list could not be put back empty."""
+    rows = [(1, m, dt.date(2015, 1, m), 10, True, True, 0.1 * m, 1, 0) for m in range(1, 7)]
+    got, _ = rated(spark, [rows[:1], rows[5:], rows[1:2], rows[4:5], rows[2:4]], "1 hour")
+    same_lines(got, rating_history(spark.createDataFrame(rows, ROW)))
