@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests import fixtures as fx
 from touchline.operators import chemistry, metrics
 from touchline.operators.ratings import rating_history
-from touchline.sources import records
+from touchline.sources import records, sinks
 from touchline.sources.sinks import shared_folder
 from touchline.streaming import chemistry as chemistry_stream
 from touchline.streaming import counters, finalise, joined, late, ratings, sessions, state
@@ -328,3 +328,35 @@ def test_a_sealed_career_takes_matches_in_again_and_again(spark):
     rows = [(1, m, dt.date(2015, 1, m), 10, True, True, 0.1 * m, 1, 0) for m in range(1, 7)]
     got, _ = rated(spark, [rows[:1], rows[5:], rows[1:2], rows[4:5], rows[2:4]], "1 hour")
     same_lines(got, rating_history(spark.createDataFrame(rows, ROW)))
+
+
+def test_state_comes_with_the_rows(spark):
+    """No call to the state for each player or feed."""
+    source = folder(spark)
+    done = finished(spark, 3, [(1, 0.8)]).withColumn("arrival", F.current_timestamp())
+    done.write.parquet(f"{source}/done")
+    headers(spark, [(1, 5, 0, 0)]).write.parquet(f"{source}/heads")
+    for stream in (
+            ratings.rating_stream(spark.readStream.schema(done.schema).parquet(f"{source}/done")),
+            finalise.closed_matches(spark.readStream.schema(headers(spark, []).schema).parquet(
+                f"{source}/heads"), "1 day", "1 hour")):
+        plan = stream._jdf.queryExecution().analyzed().toString()
+        assert "FlatMapGroupsInPandasWithState" in plan
+
+
+def test_a_batch_of_closed_matches_is_run_once(spark, monkeypatch):
+    """Nothing below a batch is computed again by the parts of a plan that need it."""
+    kept = []
+    monkeypatch.setattr(finalise, "materialise",
+                        lambda frame, name: kept.append(name) or sinks.materialise(frame, name))
+    source, out = folder(spark), folder(spark)
+    rows = spark.createDataFrame([(1, True), (2, False)], "matchId BIGINT, closed BOOLEAN")
+    rows.write.parquet(source)
+    asked = []
+    monkeypatch.setattr(finalise, "finished_rows",
+                        lambda season, over: asked.append(sorted(map(tuple, over.collect()))) or over)
+    stored = spark.createDataFrame([(3,)], "matchId BIGINT")
+    sessions.finish(finalise.write_finished(
+        spark.readStream.schema(rows.schema).parquet(source), lambda: None, lambda: stored,
+        f"{out}/data", f"{out}/checkpoint"))
+    assert kept == ["to-finish", "over"] and asked == [[(1, True)]]
