@@ -96,3 +96,14 @@ def test_dense_chemistry_starts_at_the_start_value(spark):
     got = chemistry.dense_chemistry(ids, known)
     assert sorted((r.player1, r.player2, r.chemistry) for r in got.collect()) == [
         (1, 2, 0.5), (1, 3, 0.75), (2, 3, 0.5)]
+
+
+def test_points_are_dealt_to_all_cores(spark, monkeypatch):
+    """One small file of rows is not left to one task, round after round."""
+    seen = []
+    fitted = clustering.fitted_centers
+    monkeypatch.setattr(clustering, "fitted_centers",
+                        lambda rows, k: seen.append(len(rows.inputFiles())) or fitted(rows, k))
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id AS Id", "CAST(id % 7 AS DOUBLE) AS x")
+    assert clustering.clusters(rows, ["x"], 3).count() == 1000
+    assert seen == [spark.sparkContext.defaultParallelism]
