@@ -126,3 +126,15 @@ def test_a_thousand_batches_are_few_parts(spark):
         parts = store._merged("sums", parts + [{"path": f"sums/batch_id={batch}", "level": 0}])
         most = max(most, len(parts))
     assert most <= 15 * 3 and json.dumps(parts)
+
+
+def test_splits_grow_with_the_files(spark, tmp_path):
+    """Small files have several splits, large ones not thousands."""
+    from catalog import queries
+    from touchline.sources.bridge import Bridge
+
+    (tmp_path / "a.txt").write_text("x" * 99 + "\n")
+    (tmp_path / "b.txt").write_text(("x" * 99 + "\n") * 100_000)
+    with queries.small_splits(Bridge(spark, ""), str(tmp_path)):
+        assert 8 < spark.read.text(str(tmp_path)).rdd.getNumPartitions() <= 2 * queries.SPLITS
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != "16384"

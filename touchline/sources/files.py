@@ -22,6 +22,12 @@ def is_complete(spark: SparkSession, folder: str) -> bool:
     return exists(spark, f"{folder}/_SUCCESS")
 
 
+def length(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    hadoop, files = _at(spark, path)
+    return files.getContentSummary(hadoop).getLength()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     hadoop, files = _at(spark, path)
     files.mkdirs(hadoop)

@@ -41,5 +41,6 @@ def numbered(lines: DataFrame, name: str = "line_no") -> DataFrame:
         files, "_file").select(*SPLIT, (F.col("_files") + F.col("_blocks") - F.col("_first"))
                                .alias("_shift"))
     kept = [c for c in placed.columns if c not in (*SPLIT, "_place", name)]
-    return placed.join(starts, SPLIT).select(
+    # One row for each split, so that the lines stay where they are.
+    return placed.join(F.broadcast(starts), SPLIT).select(
         *kept, (F.col("_shift") + F.col("_place")).alias(name))
