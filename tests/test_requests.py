@@ -184,3 +184,13 @@ def test_an_empty_match_table_answers_not_found(spark):
         spark, [{"req_type": 3, "date": "2018-05-13", "label": "Win"}]))
     bare = Season(season.players, season.teams, empty, season.events)
     assert [r.msg for r in answers.match_reports(asked, bare).collect()] == ["No Matches found"]
+
+
+def test_clusters_are_fitted_once_for_a_season(spark, cup, monkeypatch):
+    fits = []
+    fitted = smoothing.fitted_clusters
+    monkeypatch.setattr(smoothing, "fitted_clusters", lambda *a: fits.append(1) or fitted(*a))
+    season = cup.with_given()
+    for _ in range(3):
+        ask(spark, season, [fx.prediction(HOME, AWAY)], smoothing=True)
+    assert len(fits) == 1
