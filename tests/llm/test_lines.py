@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from touchline.llm import lines
+from touchline.sources.sinks import materialise
 
 
 def distance(a, b):
@@ -101,3 +102,33 @@ def test_map_loses_no_line(spark):
     asked = {r.id for r in ids.collect()}
     assert asked <= kept and len(kept) < len(asked) + 50
     assert lines._likely_among(table, ids.where("false")).count() == 0
+
+
+def test_what_is_moved_to_find_repeated_lines(spark, monkeypatch):
+    rng, written = random.Random(5), {}
+    texts = ["\n".join("".join(rng.choices("abcdefgh ", k=40)) for _ in range(5)) for _ in range(20)]
+    docs = spark.createDataFrame([*enumerate(texts), (50, texts[3].split("\n")[2])],
+                                 "doc_id long, text string")
+
+    def noted(frame, purpose, *more):
+        written[purpose] = frame
+        return materialise(frame, purpose, *more)
+
+    monkeypatch.setattr(lines, "materialise", noted)
+    assert [tuple(r) for r in lines.repeated_lines(docs).collect()] == [(50, 0)]
+    # Only a line that comes again has its first place looked up.
+    assert [tuple(r.first) for r in written["first-lines"].collect()] == [(3, 2)]
+    # The probes carry the index, so keys are dealt out once.
+    plan = written["lines-that-meet"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(key") == 1
+
+
+def test_ids_that_use_all_bits(spark):
+    rng = random.Random(6)
+    rows, expected = [], set()
+    for k, (i, j) in enumerate([(2**63 - 1, -2**63 + 5), (-1, 2**62), (-2**62, 7)]):
+        a = "".join(rng.choices("abcdefgh ", k=30 + k))
+        rows += [(i, a, len(a)), (j, a[:10] + "x" + a[11:], len(a))]
+        expected.add((min(i, j), max(i, j)))
+    table = spark.createDataFrame(rows, "id long, norm string, chars int")
+    assert {tuple(r) for r in lines.near_lines(table).collect()} == expected

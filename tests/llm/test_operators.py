@@ -21,6 +21,7 @@ from touchline.llm import (
     toxicity,
 )
 from touchline.llm.queries import vocabulary
+from touchline.sources.sinks import materialise
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, gone int, _row int"
 
@@ -221,3 +222,19 @@ def test_maximal_segments_and_scores(spark):
     assert found[None].predicted == found[900].predicted == 0
     empty = docs.where("doc_id < 0")
     assert toxicity.score_documents(empty, model).count() == 0
+
+
+def test_sets_are_dealt_once(spark, monkeypatch):
+    rng, written = random.Random(4), []
+    base = [str(rng.randrange(10**6)) for _ in range(60)]
+    texts = [" ".join([*base[:k], "changed", *base[k + 1:]]) for k in (5, 20, 40)] + ["other words"]
+    docs = spark.createDataFrame([*enumerate(texts), (2, texts[2])], "doc_id long, text string")
+
+    def noted(frame, purpose, *more):
+        written.append(purpose)
+        return materialise(frame, purpose, *more)
+
+    monkeypatch.setattr(jaccard, "materialise", noted)
+    found = sorted((r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs, 2, 80).collect())
+    assert found == [(0, 0), (1, 0), (2, 0), (2, 0), (3, 3)]
+    assert "pairs" in written and "sets" not in written

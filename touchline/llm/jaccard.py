@@ -153,7 +153,8 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
     """The pairs (a, b, n_a, n_b) that link, by exact comparison."""
     pairs = materialise(pairs.select("a", "b", "n_a", "n_b").distinct(), "pairs")
-    sets = materialise(_sets_of(docs, pairs, size, lower), "sets")
+    # Dealt by id once: both joins read that shuffle, so the sets are neither written nor moved again.
+    sets = _sets_of(docs, pairs, size, lower)
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b"))
     counted = both.mapInArrow(_common, "a long, b long, n_a long, n_b long, common long")

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.attach import attached
@@ -84,8 +84,11 @@ def _index_keys(threshold: int) -> Column:
 
 
 def _probe_keys(threshold: int) -> Column:
-    """Keys of the substrings to look up: lines of the same length or up to ``threshold`` shorter."""
-    norm, keys = F.col("norm"), []
+    """Keys of the substrings to look up: lines of the same length or up to ``threshold`` shorter.
+
+    The first ``threshold + 1`` of them are those that the line is indexed under.
+    """
+    norm, own, others = F.col("norm"), [], []
     for shorter in range(threshold + 1):
         length = F.col("chars") - shorter
         for i, (start, size) in enumerate(_segments(length, threshold)):
@@ -95,8 +98,9 @@ def _probe_keys(threshold: int) -> Column:
             for shift in range(least, most + 1):
                 place = start + shift
                 inside = (place >= 1) & (place + size - 1 <= F.col("chars"))
-                keys.append(F.when(inside, _key(length, i, _part(norm, place, size))))
-    return F.array_compact(F.array(*keys))
+                key = F.when(inside, _key(length, i, _part(norm, place, size)))
+                (own if shorter == 0 and shift == 0 else others).append(key)
+    return F.array_compact(F.array(*own, *others))
 
 
 def _shift(name: str, x: Column, by: Column) -> Column:
@@ -236,18 +240,28 @@ def _likely_among(lines: DataFrame, ids: DataFrame) -> DataFrame:
 def _with_partners(distinct: DataFrame, threshold: int) -> DataFrame:
     """The lines that meet another one under some key, with their letters.
 
-    A key is summed up by the least and the greatest id indexed under it, so what comes out is no
-    more than what was probed. Members between the two are found as well: the keys that a line is
-    indexed under are among those it is probed with.
+    The keys that a line is indexed under are among those it is probed with, so only the probes are
+    moved, and the last bit of their id says whether they are of the index: the rows of a key see the
+    least and the greatest id indexed under it. The first bit of the id goes for that; lines that
+    differ in nothing else are a few more to compare.
     """
-    index = distinct.select("id", F.explode(_index_keys(threshold)).alias("key"))
-    ends = index.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    probe = distinct.select("id", F.explode(_probe_keys(threshold)).alias("key"))
-    hits = (probe.join(ends, "key").where("id <> least or id <> most")
+    packed, same_key = F.col("packed"), Window.partitionBy("key")
+    probe = distinct.select("id", F.posexplode(_probe_keys(threshold)).alias("at", "key")).select(
+        "key", F.shiftleft("id", 1).bitwiseOR(
+            F.when(F.col("at") <= threshold, 1).otherwise(0)).alias("packed"))
+    # Dealt out here, since what the window reads would else be unpacked before the shuffle.
+    probe = probe.repartition("key")
+    indexed = F.when(packed.bitwiseAND(1) == 1, F.shiftright(packed, 1))
+    hits = (probe.select(F.shiftright(packed, 1).alias("id"),
+                         F.min(indexed).over(same_key).alias("least"),
+                         F.max(indexed).over(same_key).alias("most"))
+            .where("id <> least or id <> most")
             .select(F.explode(F.array("id", "least", "most")).alias("id")).distinct())
     hits = materialise(hits, "lines-that-meet")
     # Shuffled at every size: these ids grow with the lines.
-    return materialise(_likely_among(distinct, hits).join(hits.hint("merge"), "id", "left_semi")
+    short = F.shiftright(F.shiftleft("id", 1), 1)
+    return materialise(_likely_among(distinct, hits).withColumn("short", short)
+                       .join(hits.withColumnRenamed("id", "short").hint("merge"), "short", "left_semi")
                        .select("id", "norm", "chars", _letters(F.col("norm")).alias("letters")),
                        "lines-with-partners")
 
@@ -292,18 +306,22 @@ def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         .select(F.xxhash64("norm").alias("id"), F.xxhash64(F.lit(1), "norm").alias("id2"),
                 "doc_id", "line_no"), "lines")
     first = materialise(
-        places.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("first")),
+        places.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"),
+                                        F.count("*").alias("n")).where("n > 1").drop("n"),
         "first-lines")
+    # Lines that come once are not moved again.
     again = materialise(
-        places.join(first, ["id", "id2"]).where(F.struct("doc_id", "line_no") > F.col("first"))
+        _likely_among(places, first.select("id")).join(first, ["id", "id2"])
+        .where(F.struct("doc_id", "line_no") > F.col("first"))
         .select("doc_id", "line_no"), "copied-lines")
     chars = F.length("norm")
     distinct = (_lines(_with_gone(docs, again)).where(chars >= LEAST_CHARS)
                 .select(F.xxhash64("norm").alias("id"), "norm", chars.alias("chars"),
                         F.struct("doc_id", "line_no").alias("first")))
-    distinct = materialise(distinct, "distinct-lines")
+    distinct = materialise(distinct, "distinct-lines", "zstd")
     near = near_lines(distinct, threshold)
-    start = distinct.select("id", "first")
+    start = _likely_among(distinct.select("id", "first"),
+                          near.select(F.explode(F.array("a", "b")).alias("id")))
     ordered = (near.join(start.withColumnsRenamed({"id": "a", "first": "first_a"}), "a")
                .join(start.withColumnsRenamed({"id": "b", "first": "first_b"}), "b"))
     later = (ordered.where("first_a <> first_b")
