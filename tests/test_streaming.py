@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import feeds
 from tests import fixtures as fx
 from touchline.operators import chemistry, metrics
 from touchline.operators.ratings import rating_history
@@ -262,6 +263,37 @@ def test_events_meet_their_header_early_late_or_never(spark):
         (1, "a"), (2, "b2"), (3, "a"), (4, None), (5, "b2")]
 
 
+def test_no_batch_only_moves_the_watermark(spark):
+    start = dt.datetime(2018, 5, 13, 12)
+    events = spark.createDataFrame(
+        [(10 * p + m, m, start + dt.timedelta(hours=6 * p), p) for p in range(4) for m in range(3)],
+        "event_id BIGINT, matchId BIGINT, ts TIMESTAMP, part INT")
+    headers = spark.createDataFrame(
+        [(m, start + dt.timedelta(hours=6 * p + 1), str(p), "Played", None, 1, "v", p)
+         for p in range(4) for m in (0, 1)],
+        "wyId BIGINT, header_ts TIMESTAMP, label STRING, status STRING, match_date DATE,"
+        " gameweek INT, venue STRING, part INT")
+    before = spark.conf.get(state.EMPTY_BATCHES)
+
+    def played(**more):
+        sent, known, out = feeds.Feed(spark, "sent", events), feeds.Feed(spark, "known", headers), folder(spark)
+        sent.far_row("ts")
+        known.far_row("header_ts")
+        with state.newest_in_memory(spark):
+            feeds.play([sent, known], lambda: sessions.append_to(joined.with_match_stream(
+                sent.stream(), known.stream(), "2 hours", "2 hours", "1 hour"),
+                f"{out}/data", f"{out}/checkpoint"), **more)
+        rows = spark.read.parquet(f"{out}/data").select("event_id", "label").collect()
+        batches = spark.read.format("binaryFile").load(f"{out}/checkpoint/commits").count()
+        return sorted(tuple(r) for r in rows), batches
+
+    rows, batches = played(empty_batches=False)
+    assert rows == [(10 * p + m, str(p) if m < 2 else None) for p in range(4) for m in range(3)]
+    # One for each part, one for the sentinels, and one after them that lets out what waits.
+    assert batches == 6 and played()[1] > 6
+    assert spark.conf.get(state.EMPTY_BATCHES) == before
+
+
 def test_late_rows_are_kept_and_counters_reconciled(spark):
     source, gate, out = folder(spark), folder(spark), folder(spark)
     parts = [[(0, fx.event(1, 8, (1801,))), (50, fx.event(1, 1, (703,)))],
