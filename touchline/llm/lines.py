@@ -242,8 +242,8 @@ def _with_partners(distinct: DataFrame, threshold: int) -> DataFrame:
 
     The keys that a line is indexed under are among those it is probed with, so only the probes are
     moved, and the last bit of their id says whether they are of the index: the rows of a key see the
-    least and the greatest id indexed under it. The first bit of the id goes for that; lines that
-    differ in nothing else are a few more to compare.
+    least and the greatest id indexed under it. The first bit of the id goes for that, so two
+    lines are told apart here by 63 bits of their hash.
     """
     packed, same_key = F.col("packed"), Window.partitionBy("key")
     probe = distinct.select("id", F.posexplode(_probe_keys(threshold)).alias("at", "key")).select(
