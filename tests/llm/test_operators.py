@@ -178,6 +178,45 @@ def test_ids_are_those_of_the_tokenizer():
         assert ids == [*plain.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_texts_encoded_together_have_the_ids_of_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(5)
+    parts = ["a", "bé", " ", "  ", "\n", "\n\n", "\t", "\u3000", "\xa0", "\x1c", "\x85", "'s", "don't", "12",
+             "<|endoftext|>", "!!", "漢字", "\r\n", " \n", "\n ", " x", " the end"]
+    texts = ["", " ", "x " * 9, *["".join(rng.choice(parts, n)) for n in rng.integers(0, 14, 2000)]]
+    encode = tokens.slice_encoder(vocabulary())
+    for slice_ in (texts, texts[:1], [texts[1]], []):
+        for text, raw in zip(slice_, encode(slice_), strict=True):
+            ids = np.frombuffer(raw, "<u4").tolist()
+            assert ids == [*plain.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_a_word_is_encoded_once_and_not_remembered():
+    """Nothing of the words stays in a worker, and a slice takes one call besides its first words."""
+    import tracemalloc
+
+    texts = [" ".join(f"w{i * j:x}y" for j in range(1, 500)) for i in range(1, 60)]
+    encode, calls = tokens.slice_encoder(vocabulary()), []
+    before = tokens._vocabularies[vocabulary()]
+    tokens._vocabularies[vocabulary()] = (lambda x: calls.append(x) or before[0](x), before[1])
+    try:
+        want = [tokens.encoder(vocabulary())(text) for text in texts]
+        counted, calls[:] = tokens.slice_encoder(vocabulary()), []
+        assert counted(texts) == want and len(calls) == len(texts) + 1
+        assert len(calls[-1].split()) == len({w for t in texts for w in t.split()[1:]})
+    finally:
+        tokens._vocabularies[vocabulary()] = before
+    encode(texts)
+    tracemalloc.start()
+    encode([text.replace("y", "z") for text in texts])
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 100_000
+
+
 def test_secrets_personal_data_and_benchmark(spark):
     texts = ["token = 'abcdef12' x", "é AKIA" + "A" * 16, "secret=token:abcdefgh", "f" * 24,
              "mail a.b@c.org, +1 (415) 555-7279 and 10.0.0.1", "4111 1111 1111 1111", None, ""]

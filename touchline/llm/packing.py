@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.tokens import encoder
+from touchline.llm.tokens import SLICE, slice_encoder
 from touchline.sources.sinks import materialise
 
 LENGTH = 1024
@@ -51,15 +51,25 @@ _ITEM = f"uid long, block long, {_PIECES}"
 _ELITE = "block long, island int, bins long, groups binary"
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of parts of a batch that are encoded together."""
+    doc_ids, texts, begin, held = batch.column(0), [], 0, 0
+    for row, text in enumerate(batch.column(1), 1):
+        texts.append(text.as_py() or "")
+        held += len(texts[-1])
+        if held >= SLICE or row == batch.num_rows:
+            yield doc_ids.slice(begin, row - begin).to_pylist(), texts
+            texts, begin, held = [], row, 0
+
+
 def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document."""
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
-        for batch in batches:
+        encode = slice_encoder(vocabulary)
+        for doc_ids, texts in (x for batch in batches for x in _slices(batch)):
             out: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = encode(text.as_py() or "")
+            for doc_id, raw in zip(doc_ids, encode(texts), strict=True):
                 count = len(raw) // 4
                 begin, end, number = 0, count % length or length, 0
                 while begin < count:
@@ -112,41 +122,55 @@ class Bins:
         self._note(number, room - size)
 
 
-def _packed(order: np.ndarray, sizes: list[int], capacity: int,
-            kept: list[list[int]] | None = None) -> list[list[int]]:
+class Packing:
+    """Groups of items, how much each holds, and how good that is."""
+
+    def __init__(self, groups: list[list[int]], held: list[int], capacity: int):
+        self.groups, self.held = groups, held
+        fill = np.array(held) / capacity
+        #: Fewer bins first; among as many, the more unevenly filled, which leaves room together.
+        self.quality = len(groups), -float((fill ** 2).sum())
+
+    @classmethod
+    def of(cls, groups: list[list[int]], sizes: list[int], capacity: int) -> Packing:
+        return cls(groups, [sum([sizes[i] for i in g]) for g in groups], capacity)
+
+
+def _best_fit(order: list[int], sizes: list[int], capacity: int, kept: list[list[int]] = (),
+              held: list[int] = ()) -> Packing:
+    """``kept`` bins that hold ``held``, and the items of ``order`` by best fit."""
     bins = Bins(capacity)
-    for members in kept or []:
-        bins.add(members, capacity - sum(sizes[i] for i in members))
-    for item in order.tolist():
+    for members, size in zip(kept, held, strict=True):
+        bins.add(members, capacity - size)
+    for item in order:
         bins.best_fit(item, sizes[item])
-    return bins.members
+    return Packing(bins.members, [capacity - room for room in bins.room], capacity)
 
 
-def _quality(groups: list[list[int]], sizes: list[int], capacity: int) -> tuple[int, float]:
-    """Fewer bins first; among as many, the more unevenly filled, which leaves room together."""
-    fill = np.array([sum(sizes[i] for i in g) for g in groups]) / capacity
-    return len(groups), -float((fill ** 2).sum())
+def _packed(order: np.ndarray, sizes: list[int], capacity: int) -> list[list[int]]:
+    return _best_fit(order.tolist(), sizes, capacity).groups
 
 
-def crossover(mother: list[list[int]], father: list[list[int]], sizes: list[int], capacity: int,
-              random: np.random.Generator) -> list[list[int]]:
+def crossover(mother: Packing, father: Packing, sizes: list[int], capacity: int,
+              random: np.random.Generator) -> Packing:
     """Well-filled bins of the father in the mother; what they displace is put back by best fit."""
-    well = [g for g in father if sum(sizes[i] for i in g) >= WELL_FILLED * capacity]
-    injected = [g for g, take in zip(well, random.random(len(well)) < 0.5, strict=True) if take]
-    taken = {i for g in injected for i in g}
-    kept, displaced = [list(g) for g in injected], []
-    for g in mother:
-        if taken.isdisjoint(g):
-            kept.append(list(g))
-        else:
+    least = WELL_FILLED * capacity
+    well = [(g, held) for g, held in zip(father.groups, father.held, strict=True) if held >= least]
+    injected = [x for x, take in zip(well, random.random(len(well)) < 0.5, strict=True) if take]
+    taken = {i for g, _ in injected for i in g}
+    full, displaced, loose = [list(g) for g, _ in injected], [], []
+    filled = [held for _, held in injected]
+    for g, held in zip(mother.groups, mother.held, strict=True):
+        if not taken.isdisjoint(g):
             displaced += [i for i in g if i not in taken]
-    # Ill-filled bins give their documents back too, for another combination.
-    full = [g for g in kept if sum(sizes[i] for i in g) >= WELL_FILLED * capacity]
-    if len(full) < len(kept):
-        loose = [g for g in kept if sum(sizes[i] for i in g) < WELL_FILLED * capacity]
-        displaced += [i for g in loose for i in g]
-    order = np.array(sorted(displaced, key=lambda i: (-sizes[i], i)), np.int64)
-    return _packed(order, sizes, capacity, full)
+        elif held >= least:
+            full.append(list(g))
+            filled.append(held)
+        else:
+            # Ill-filled bins give their documents back too, for another combination.
+            loose += g
+    order = sorted(sorted(displaced + loose), key=sizes.__getitem__, reverse=True)
+    return _best_fit(order, sizes, capacity, full, filled)
 
 
 def evolved(sizes: list[int], capacity: int, seed: int,
@@ -155,22 +179,21 @@ def evolved(sizes: list[int], capacity: int, seed: int,
     random = np.random.default_rng(seed)
     fewest = -(-sum(sizes) // capacity)
     decreasing = np.argsort(-np.array(sizes), kind="stable")
-    people = list(migrants)
+    people = [Packing.of(groups, sizes, capacity) for groups in migrants]
     if not people:
-        people.append(_packed(decreasing, sizes, capacity))
-    while len(people) < POPULATION and len(people[0]) > fewest:
+        people.append(_best_fit(decreasing.tolist(), sizes, capacity))
+    while len(people) < POPULATION and len(people[0].groups) > fewest:
         noise = np.array(sizes) * random.uniform(0.8, 1.25, len(sizes))
-        people.append(_packed(np.argsort(-noise, kind="stable"), sizes, capacity))
-    ranked = sorted(people, key=lambda g: _quality(g, sizes, capacity))
+        people.append(_best_fit(np.argsort(-noise, kind="stable").tolist(), sizes, capacity))
+    ranked = sorted(people, key=lambda p: p.quality)
     for _ in range(GENERATIONS):
-        if len(ranked[0]) <= fewest or len(ranked) < 2:
+        if len(ranked[0].groups) <= fewest or len(ranked) < 2:
             break
         father = ranked[0]
         children = [crossover(mother, father, sizes, capacity, random) for mother in ranked[1:]]
         children.append(crossover(father, ranked[1], sizes, capacity, random))
-        ranked = sorted([*ranked, *children],
-                        key=lambda g: _quality(g, sizes, capacity))[:POPULATION]
-    return ranked[0]
+        ranked = sorted([*ranked, *children], key=lambda p: p.quality)[:POPULATION]
+    return ranked[0].groups
 
 
 def _as_bytes(groups: list[list[int]], count: int) -> bytes:
