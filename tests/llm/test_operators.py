@@ -217,6 +217,23 @@ def test_a_word_is_encoded_once_and_not_remembered():
     assert kept < 100_000
 
 
+def test_tasks_hand_texts_to_python_in_small_batches(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for run in (lambda docs: jaccard.jaccard_components(docs), lambda docs: packing.pack(docs, vocabulary())):
+        spark.conf.unset(key)
+        run(spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e")], "doc_id long, text string"))
+        texts = spark.range(0, 600, 1, 1).selectExpr("id", "repeat('abcdefg ', 5000) text")
+        found = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) > 20_000_000 and max(found) < 5_000_000
+    spark.conf.unset(key)
+
+
 def test_secrets_personal_data_and_benchmark(spark):
     texts = ["token = 'abcdef12' x", "é AKIA" + "A" * 16, "secret=token:abcdefgh", "f" * 24,
              "mail a.b@c.org, +1 (415) 555-7279 and 10.0.0.1", "4111 1111 1111 1111", None, ""]

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm import sketch
+from touchline.llm.batches import small_batches
 from touchline.llm.components import components
 from touchline.llm.words import Words, mixed, range_hashes, signed, text_slices
 from touchline.sources.sinks import materialise
@@ -276,6 +277,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85,
     """(doc_id, n_shingles, component_id) for every row; the id is the smallest reachable one."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
+    small_batches(spark)
 
     def set_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, _, _, hashes in _sets(batch, size, lower):

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.batches import small_batches
 from touchline.llm.tokens import SLICE, slice_encoder
 from touchline.sources.sinks import materialise
 
@@ -269,6 +270,7 @@ def _dealt(items: DataFrame, seed: int) -> DataFrame:
 
 def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
     """Pieces of all documents with ``sequence_id`` and ``offset``."""
+    small_batches(docs.sparkSession)
     cut = materialise(pieces(docs, vocabulary, length).withColumn(
         "uid", F.monotonically_increasing_id()), "pieces")
     columns = [*[c.split()[0] for c in _PIECES.split(", ")], "sequence_id", "offset"]
