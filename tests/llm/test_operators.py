@@ -294,3 +294,65 @@ def test_sets_are_dealt_once(spark, monkeypatch):
     found = sorted((r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs, 2, 80).collect())
     assert found == [(0, 0), (1, 0), (2, 0), (2, 0), (3, 3)]
     assert "pairs" in written and "sets" not in written
+
+
+def _families():
+    """Texts of random words: families of near copies, and pairs that have half their words in common."""
+    rng, texts = random.Random(9), []
+
+    def some(n):
+        return [f"v{rng.randrange(10**6)}" for _ in range(n)]
+
+    for size in (8, 60, 400):
+        for _ in range(6):
+            base = some(size)
+            for k in range(5):
+                at = rng.randrange(size)
+                texts.append([*base[:at], *some(k * size // 40), *base[at:]])
+        for _ in range(20):
+            half = some(size)
+            texts += [half + some(size), half + some(size)]
+    rng.shuffle(texts)
+    return [" ".join(t) for t in texts]
+
+
+def test_pairs_that_share_half_are_not_compared_whole(spark, monkeypatch):
+    texts, compared, root = _families(), [], {}
+    sets = [{tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in map(str.split, texts)]
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    linked = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))
+              if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for a, b in linked:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+
+    def noted(frame, purpose, *more):
+        written = materialise(frame, purpose, *more)
+        if purpose == "pairs":
+            compared.extend((r.a, r.b) for r in written.collect())
+        return written
+
+    monkeypatch.setattr(jaccard, "materialise", noted)
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs, 5, 80).collect()}
+    assert found == {i: find(i) for i in range(len(texts))}
+    assert len(linked) > 50
+    far = [(a, b) for a, b in compared if 100 * len(sets[a] & sets[b]) < 60 * len(sets[a] | sets[b])]
+    assert not far
+
+
+def test_parities_bound_what_two_sets_have_in_common():
+    rng = np.random.default_rng(5)
+    for n, m, both in ((0, 3, 0), (1, 1, 1), (70, 900, 50), (400, 500, 390), (5000, 40, 40), (90_000, 70_000, 9)):
+        values = rng.integers(0, 2**63, n + m - both, dtype=np.uint64)
+        a, b = values[:n], values[n - both:]
+        left, right = jaccard._parities(np.repeat([0, 1], [n, m]), np.append(a, b), np.array([n, m]))
+        differ = jaccard._differing(left, right)
+        assert differ <= n + m - 2 * both and (n + m - differ) % 2 == 0
+        assert differ == jaccard._differing(right, left)
+    assert jaccard._differing(left, right) > 10_000

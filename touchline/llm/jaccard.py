@@ -14,10 +14,13 @@ that of comparing every pair; how pairs are avoided:
    matrix holds the union of these parts for each group: a (shingle, group) entry once, however
    many members have it. For a document and another group, the number of its signature shingles in
    the union bounds its overlap with every member, and the group's smallest and largest set bound
-   the sizes, hence how many shingles must be found. Only groups that reach the bounds are opened,
-   which gives pairs with members; those whose signatures share what their two sizes ask for are
-   compared exactly. Members of one
+   the sizes, hence how many shingles must be found. If all that was found belongs to one member, the
+   pair is known; other groups that reach the bounds are opened, which gives pairs with members whose
+   signatures share what their two sizes ask for. Members of one
    group are linked already, so a passage or family that thousands share opens nothing.
+4. *Parities.* A document has a bit for each residue of the shingles' hashes: whether it has an odd number
+   with that residue. Each bit in which two documents differ stands for at least one shingle that only
+   one of them has, which bounds what they have in common. Pairs within that bound are compared exactly.
 
 The order comes from a count-min sketch. Any order gives the same links, so a sketch that is too
 small for a corpus costs time only. Sets needed for a comparison are read again from the texts of just
@@ -51,6 +54,9 @@ ORDER_BITS = 19
 ID_BITS = 20
 TOKEN_BITS = 22
 
+#: Bits of the shortest and the longest parity; between them, the power of two from the number of shingles on.
+LEAST_PARITY, MOST_PARITY = 64, 1 << 15
+
 _ID = "doc_id long, n_shingles long"
 
 
@@ -78,13 +84,36 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(values)))
 
 
+def _parities(document: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Of every document, which residues of its hashes are taken by an odd number of them (little-endian)."""
+    bits = np.full(len(n), LEAST_PARITY)
+    while (bits < np.minimum(n, MOST_PARITY)).any():
+        bits = np.where(bits < np.minimum(n, MOST_PARITY), 2 * bits, bits)
+    ends = np.cumsum(bits)
+    spread = mixed(hashes ^ np.uint64(0xA24BAED4963EE407))
+    place = (spread & (bits[document] - 1).astype(np.uint64)).astype(np.int64) + (ends - bits)[document]
+    odd = np.bincount(place, minlength=int(bits.sum())) & 1
+    raw = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [raw[(end - size) // 8:end // 8] for end, size in zip(ends.tolist(), bits.tolist(), strict=True)]
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """Bits in which two parities differ; the longer one is folded to the length of the other."""
+    long, short = (a, b) if len(a) > len(b) else (b, a)
+    folded, size = int.from_bytes(long, "little"), 8 * len(long)
+    while size > 8 * len(short):
+        size //= 2
+        folded = (folded >> size) ^ (folded & ((1 << size) - 1))
+    return (folded ^ int.from_bytes(short, "little")).bit_count()
+
+
 def _least_overlap(n, percent: int):
     """Shingles that a set of ``n`` has in common with every partner at least."""
     return -(-n * percent // 100)
 
 
 def _signatures(size: int, lower: bool, percent: int, counts, heavy: int):
-    """Function for ``mapInArrow``: set size, digest, min-hashes and signature of every document."""
+    """Function for ``mapInArrow``: set size, digest, min-hashes, signature and parity of every document."""
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,7 +143,9 @@ def _signatures(size: int, lower: bool, percent: int, counts, heavy: int):
                     pa.array(signed(range_hashes(mixed(hashes + np.uint64(1)), begins, ends))),
                     pa.array(common), _lists(least.reshape(-1), np.full(rows, MIN_HASHES)),
                     _lists(chosen, length),
-                ], ["doc_id", "n_shingles", "digest1", "digest2", "common", "least", "signature"])
+                    pa.array(_parities(document, hashes, n), pa.binary()),
+                ], ["doc_id", "n_shingles", "digest1", "digest2", "common", "least", "signature",
+                    "parity"])
 
     return per_partition
 
@@ -151,9 +182,34 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(found, pa.int64())], ["a", "b", "n_a", "n_b", "common"])
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) that link, by exact comparison."""
-    pairs = materialise(pairs.select("a", "b", "n_a", "n_b").distinct(), "pairs")
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits in which the parities of a pair differ."""
+    for batch in batches:
+        differ = [_differing(a, b) for a, b in zip(batch.column("parity_a").to_pylist(),
+                                                   batch.column("parity_b").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), batch.column("n_a"), batch.column("n_b"),
+             pa.array(differ, pa.int64())], ["a", "b", "n_a", "n_b", "differ"])
+
+
+def _may_link(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) whose parities allow a link."""
+    # An id may stand for several texts; those of the pair's size are meant.
+    of = rows.where("doc_id is not null").select("doc_id", "n_shingles", "parity")
+    both = (pairs.join(of.toDF("a", "n_a", "parity_a"), ["a", "n_a"])
+            .join(of.toDF("b", "n_b", "parity_b"), ["b", "n_b"])
+            .select("a", "b", "n_a", "n_b", "parity_a", "parity_b"))
+    compared = both.mapInArrow(_near, "a long, b long, n_a long, n_b long, differ long")
+    # Common are at most (n_a + n_b - differ) / 2, and at least what _linked_share says.
+    return compared.where(F.col("n_a") + F.col("n_b") - F.col("differ")
+                          >= 2 * F.expr(_linked_share("n_a", "n_b", percent))).drop("differ")
+
+
+def _linked(docs: DataFrame, rows: DataFrame, pairs: DataFrame, size: int, percent: int,
+            lower: bool) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) that link, by exact comparison of those whose parities allow it."""
+    pairs = pairs.select("a", "b", "n_a", "n_b").distinct()
+    pairs = materialise(_may_link(rows, pairs, percent).distinct(), "pairs")
     # Dealt by id once: both joins read that shuffle, so the sets are neither written nor moved again.
     sets = _sets_of(docs, pairs, size, lower)
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
@@ -238,12 +294,14 @@ def _across_groups(signed_reps: DataFrame, percent: int) -> DataFrame:
                 + [pa.array(values[keep]), pa.array(place[keep].astype(np.int32))],
                 ["doc_id", "group_id", "n_shingles", "token", "place"])
 
-    found = signed_reps.select("doc_id", "group_id", "n_shingles", "signature").mapInArrow(
+    entries = signed_reps.select("doc_id", "group_id", "n_shingles", "signature").mapInArrow(
         per_partition, f"{_ID.split(',')[0]}, group_id long, n_shingles long, token long, place int")
-    entries = materialise(found, "entries")
+    # What the filter lets through grows faster than the input; what is shared does not.
+    entries = materialise(entries.join(shared, "token", "left_semi"), "entries")
     matrix = (entries.where(f"place < n_shingles - {_outside_index('n_shingles', percent)}")
               .groupBy("token", "group_id")
-              .agg(F.min("n_shingles").alias("n_least"), F.max("n_shingles").alias("n_most"))
+              .agg(F.min("n_shingles").alias("n_least"), F.max("n_shingles").alias("n_most"),
+                   F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
               .withColumnRenamed("group_id", "other"))
     # What must be found is least with the smallest or with the largest partner that fits.
     smallest = f"greatest(n_least, ({percent} * n_shingles + 99) DIV 100)"
@@ -256,20 +314,31 @@ def _across_groups(signed_reps: DataFrame, percent: int) -> DataFrame:
                & (100 * F.col("n_most") >= percent * F.col("n_shingles")))
         .groupBy("doc_id", "group_id", "n_shingles", "other")
         .agg(F.count("*").alias("overlap"), F.min("n_least").alias("n_least"),
-             F.max("n_most").alias("n_most"))
+             F.max("n_most").alias("n_most"), F.min("first").alias("first"),
+             F.max("last").alias("last"))
         .where(F.col("overlap") >= least))
-    asked = materialise(qualifying.select("doc_id", "n_shingles", "other"), "qualifying")
-    query = entries.select(F.col("doc_id").alias("a"), "token").join(
-        asked.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), "other"), "a")
-    member = entries.select(F.col("doc_id").alias("b"), F.col("group_id").alias("other"),
-                            F.col("n_shingles").alias("n_b"), "token")
+    found = materialise(qualifying.drop("group_id", "overlap"), "qualifying")
+    # A member that shares nothing in the matrix can't be a partner, so one that has all of it is alone.
+    alone = (F.col("first") == F.col("last")) & (F.col("n_least") == F.col("n_most"))
     smaller = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a"))
                                                & (F.col("b") < F.col("a")))
-    return (query.join(member, ["other", "token"])
-            .where(smaller & (100 * F.col("n_b") >= percent * F.col("n_a")))
-            .groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("overlap"))
-            .where(F.col("overlap") >= F.expr(_least_shared("n_a", "n_b", percent)))
-            .drop("overlap"))
+    fits = smaller & (100 * F.col("n_b") >= percent * F.col("n_a"))
+    known_pairs = found.where(alone).select(
+        F.col("doc_id").alias("a"), F.col("first").alias("b"), F.col("n_shingles").alias("n_a"),
+        F.col("n_least").alias("n_b")).where(fits)
+    # Written apart, for then it shows that they are few and the entries need not move.
+    asked = materialise(found.where(~alone).select("doc_id", "n_shingles", "other"), "asked")
+    query = entries.select(F.col("doc_id").alias("a"), "token").join(
+        asked.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), "other"), "a")
+    opened = materialise(asked.select(F.col("other").alias("group_id")).distinct(), "opened")
+    member = entries.join(opened, "group_id", "left_semi").select(
+        F.col("doc_id").alias("b"), F.col("group_id").alias("other"), F.col("n_shingles").alias("n_b"),
+        "token")
+    return known_pairs.unionByName(
+        query.join(member, ["other", "token"]).where(fits)
+        .groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("overlap"))
+        .where(F.col("overlap") >= F.expr(_least_shared("n_a", "n_b", percent)))
+        .drop("overlap"))
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85,
@@ -284,13 +353,13 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85,
             yield hashes
 
     counts = sketch.merged(docs.select("text"), set_hashes, ORDER_BITS, "uint32")
-    # Twice what a cell holds on average tells a common shingle from a crowded cell.
-    heavy = int(32 + 2 * counts.sum() / counts.size)
+    # Few single shingles have two cells as crowded as the fullest hundredth.
+    heavy = max(32, int(np.quantile(counts, 0.99)))
     known = docs.where("doc_id is not null")
     rows = materialise(docs.mapInArrow(
         _signatures(size, lower, percent, spark.sparkContext.broadcast(counts), heavy),
         f"{_ID}, digest1 long, digest2 long, common double, least array<long>,"
-        " signature array<long>"), "signatures")
+        " signature array<long>, parity binary"), "signatures")
 
     digest = ["digest1", "digest2", "n_shingles"]
     linkable = rows.where("doc_id is not null and n_shingles > 0")
@@ -305,16 +374,22 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85,
         .groupBy("doc_id").agg(F.max(F.struct("n_shingles", "common", "least")).alias("r"))
         .select("doc_id", "r.*"), "representatives")
     first_links = materialise(
-        _linked(known, _with_leaders(light, percent), size, percent, lower).select("a", "b"),
+        _linked(known, rows, _with_leaders(light, percent), size, percent, lower).select("a", "b"),
         "links")
     groups = materialise(
         components(first_links).withColumnsRenamed({"node": "doc_id", "component": "found_id"}),
         "groups")
-    group_of = light.select("doc_id").join(groups, "doc_id", "left").select(
-        "doc_id", F.coalesce("found_id", "doc_id").alias("group_id"))
+    # Documents that stand for themselves and are in no group are nearly all: the others are named, so
+    # that the signatures need not move if those are few.
+    others = materialise(
+        members.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("rep_id")).alias("own"))
+        .where("not own").select("doc_id"), "others")
     signed_reps = materialise(
-        linkable.select("doc_id", "n_shingles", "signature").join(group_of, "doc_id"), "grouped")
-    more_links = _linked(known, _across_groups(signed_reps, percent), size, percent, lower)
+        linkable.select("doc_id", "n_shingles", "signature").join(others, "doc_id", "left_anti")
+        .join(groups, "doc_id", "left")
+        .select("doc_id", "n_shingles", "signature",
+                F.coalesce("found_id", "doc_id").alias("group_id")), "grouped")
+    more_links = _linked(known, rows, _across_groups(signed_reps, percent), size, percent, lower)
     links = materialise(first_links.unionByName(more_links.select("a", "b")), "links")
     final = components(links).withColumnsRenamed({"node": "rep_id", "component": "found_id"})
     placed = members.join(final, "rep_id", "left").select(
