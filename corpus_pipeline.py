@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontaminate, jaccard, lines, packing, quality
+from touchline.llm import attach, decontaminate, jaccard, lines, packing, quality
 from touchline.llm.queries import vocabulary
 from touchline.sources import files, sinks
 from touchline.sources.sinks import materialise
@@ -54,8 +54,7 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8 or more)."""
     found = materialise(jaccard.jaccard_components(docs, 5, 80), "components")
-    others = found.where("doc_id <> component_id").select("doc_id")
-    kept = docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    kept = attach.without(docs, found.where("doc_id <> component_id"))
     repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         return kept

@@ -7,6 +7,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from touchline.llm import attach
 
 
 def corpus():
@@ -77,3 +78,18 @@ def test_every_stage_and_the_sequences(spark, tmp_path):
             assert offset == at
             at += length
         assert at <= 1024
+
+
+def test_texts_stay_where_they_are_when_few_documents_go(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)] + [(None, "none"), (3, "again")],
+                                 "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    try:
+        left = attach.without(docs, docs.where("doc_id % 3 = 0"))
+        assert "SortMergeJoin" not in left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in left.where("doc_id is not null").collect()) == [
+            i for i in range(50) if i % 3]
+        assert left.where("doc_id is null").count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

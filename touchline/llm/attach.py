@@ -1,4 +1,4 @@
-"""Lists that belong to documents, brought to them without moving the texts if they are few."""
+"""Lists that belong to documents, or documents to leave out, without moving the texts if they are few."""
 
 from __future__ import annotations
 
@@ -23,3 +23,11 @@ def attached(docs: DataFrame, places: DataFrame, item: Column, item_bytes: int,
     if size <= BROADCAST_BYTES:
         lists = F.broadcast(lists)
     return docs.join(lists, F.col("doc_id") == F.col("_list_doc"), "left").drop("_list_doc")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` whose ``doc_id`` is not in ``ids``."""
+    ids = materialise(ids.select("doc_id").distinct(), "left-out")
+    if ids.count() * 64 <= BROADCAST_BYTES:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
